@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorlab.operators import indexing
+from factorlab.operators import indexing, ratings
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -61,6 +61,47 @@ def q_indexed_ratings(spark, sf_dir):
     return _base(spark, sf_dir)["indexed"]
 
 
+# ---------------------------------------------------------------- step 2: grouping
+
+def _pairs(spark, sf_dir):
+    b = _base(spark, sf_dir)
+    if "pairs" not in b:
+        b["pairs"] = ratings.rating_pairs(b["indexed"])
+        b["n_items"] = ratings.max_index(b["items"], "asin_index")
+        b["n_users"] = ratings.max_index(b["users"], "reviewer_index")
+    return b
+
+
+def _render_entries(df, key):
+    return df.select(key, F.array_join(F.transform(
+        "entries", lambda e: F.concat(e["pos"].cast("string"), F.lit(":"), e["val"].cast("string"))),
+        ",").alias("ratings"))
+
+
+def q_rating_pairs(spark, sf_dir):
+    return _pairs(spark, sf_dir)["pairs"]
+
+
+def q_ratings_by_user(spark, sf_dir):
+    return _render_entries(ratings.ratings_by_user(_pairs(spark, sf_dir)["pairs"]), "reviewer_index")
+
+
+def q_ratings_by_item(spark, sf_dir):
+    return _render_entries(ratings.ratings_by_item(_pairs(spark, sf_dir)["pairs"]), "asin_index")
+
+
+def q_user_matrix(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    m = ratings.user_item_matrix(b["pairs"], b["n_items"])
+    return m.select("reviewer_index", F.array_join("ratings", ",").alias("ratings"))
+
+
+def q_item_matrix(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    m = ratings.item_user_matrix(b["pairs"], b["n_users"])
+    return m.select("asin_index", F.array_join("ratings", ",").alias("ratings"))
+
+
 # ---------------------------------------------------------------- SQL oracles
 
 _RV = """rv AS (
@@ -84,7 +125,12 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+_PAIRS = """pairs AS (
+  SELECT reviewer_index, asin_index, max(CAST(trunc(overall) AS INTEGER)) AS rating
+  FROM ir GROUP BY reviewer_index, asin_index)"""
+
 _BASE = _with(_RV, _ITEMS, _USERS, _IR)
+_BASE_P = _with(_RV, _ITEMS, _USERS, _IR, _PAIRS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -96,6 +142,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "item_index": q_item_index,
         "user_index": q_user_index,
         "indexed_ratings": q_indexed_ratings,
+        "rating_pairs": q_rating_pairs,
+        "ratings_by_user": q_ratings_by_user,
+        "ratings_by_item": q_ratings_by_item,
+        "user_matrix": q_user_matrix,
+        "item_matrix": q_item_matrix,
     }
 
 
@@ -109,6 +160,23 @@ def oracle_sql() -> dict[str, str]:
         "item_index": _BASE + "SELECT * FROM items",
         "user_index": _BASE + "SELECT * FROM users",
         "indexed_ratings": _BASE + "SELECT * FROM ir",
+        "rating_pairs": _BASE_P + "SELECT * FROM pairs",
+        "ratings_by_user": _BASE_P + """SELECT reviewer_index,
+            string_agg(CAST(asin_index AS varchar) || ':' || CAST(rating AS varchar), ',' ORDER BY asin_index)
+            AS ratings FROM pairs GROUP BY reviewer_index""",
+        "ratings_by_item": _BASE_P + """SELECT asin_index,
+            string_agg(CAST(reviewer_index AS varchar) || ':' || CAST(rating AS varchar), ',' ORDER BY reviewer_index)
+            AS ratings FROM pairs GROUP BY asin_index""",
+        "user_matrix": _BASE_P + """SELECT u.reviewer_index,
+            string_agg(CAST(coalesce(p.rating, 0) AS varchar), ',' ORDER BY g.pos) AS ratings
+            FROM users u CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM items) + 1)) g
+            LEFT JOIN pairs p ON p.reviewer_index = u.reviewer_index AND p.asin_index = g.pos
+            GROUP BY u.reviewer_index""",
+        "item_matrix": _BASE_P + """SELECT i.asin_index,
+            string_agg(CAST(coalesce(p.rating, 0) AS varchar), ',' ORDER BY g.pos) AS ratings
+            FROM items i CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM users) + 1)) g
+            LEFT JOIN pairs p ON p.asin_index = i.asin_index AND p.reviewer_index = g.pos
+            GROUP BY i.asin_index""",
     }
 
 

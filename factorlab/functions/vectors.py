@@ -64,3 +64,19 @@ def densify(entries, length, default=0) -> Column:
     m = _col(entries)
     return F.transform(F.sequence(F.lit(1), _col(length) if not isinstance(length, int) else F.lit(length)),
                        lambda p: F.coalesce(F.element_at(m, p), F.lit(default)))
+
+
+def scatter_dense(entries, length, value_field: str = "val", pos_field: str = "pos",
+                  zero=0) -> Column:
+    """Dense array of ``length`` from entries sorted by unique 1-based ``pos``.
+
+    Each entry contributes the run of zeros since the previous entry plus its value, and a
+    final run pads to ``length``: linear in the output size, no per-position lookups.
+    """
+    e = _col(entries)
+    n = F.lit(length) if isinstance(length, int) else _col(length)
+    pieces = F.transform(e, lambda x, j: F.concat(
+        F.array_repeat(F.lit(zero), x[pos_field] - F.coalesce(F.get(e, j - 1)[pos_field], F.lit(0)) - 1),
+        F.array(x[value_field])))
+    last = F.coalesce(F.element_at(e, -1)[pos_field], F.lit(0))
+    return F.concat(F.flatten(pieces), F.array_repeat(F.lit(zero), n - last))
