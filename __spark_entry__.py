@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factorlab.operators import indexing, ratings
+from factorlab.functions.vectors import arithmetic_vector
+from factorlab.operators import als, indexing, metrics, predict, ratings, recommend
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -102,6 +103,117 @@ def q_item_matrix(spark, sf_dir):
     return m.select("asin_index", F.array_join("ratings", ",").alias("ratings"))
 
 
+# ---------------------------------------------------------------- step 3: prediction + metrics
+# Factors in these queries are the arithmetic start vectors (reproducible in SQL) over the
+# index tables, so prediction and metrics are checked on their own.
+
+PRED_K = 20
+
+
+def _arith_factors(spark, sf_dir, k):
+    b = _pairs(spark, sf_dir)
+    memo = f"arith{k}"
+    if memo not in b:
+        b[memo] = (
+            b["users"].select("reviewer_index", arithmetic_vector("reviewer_index", k).alias("features")),
+            b["items"].select("asin_index", arithmetic_vector("asin_index", k).alias("features")))
+    return b[memo]
+
+
+def q_predict_ratings(spark, sf_dir):
+    X, Y = _arith_factors(spark, sf_dir, PRED_K)
+    return predict.predict_ratings(_base(spark, sf_dir)["indexed"], X, Y)
+
+
+def q_predict_grid(spark, sf_dir):
+    X, Y = _arith_factors(spark, sf_dir, PRED_K)
+    return predict.predict_grid(X, Y, _base(spark, sf_dir)["items"], n_users=10, n_items=100)
+
+
+def q_train_mae(spark, sf_dir):
+    return metrics.mae(q_predict_ratings(spark, sf_dir)).select(F.round("mae", 9).alias("mae"))
+
+
+def q_train_mse(spark, sf_dir):
+    return metrics.mse(q_predict_ratings(spark, sf_dir)).select(F.round("mse", 9).alias("mse"))
+
+
+# ---------------------------------------------------------------- step 4: own ALS (λ = 1)
+
+def _keyed(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    if "by_user" not in b:
+        triples = ratings.rating_triples(b["indexed"])
+        b["by_user"] = als.prepare_keyed(triples, "reviewer_index", "asin_index")
+        b["by_item"] = als.prepare_keyed(triples, "asin_index", "reviewer_index")
+    return b
+
+
+def _fit(spark, sf_dir, k, epochs, init="arithmetic"):
+    b = _keyed(spark, sf_dir)
+    memo = ("fit", k, epochs, init)
+    if memo not in b:
+        Y = als.initial_factors(b["indexed"], "asin_index", k, init)
+        for _ in range(epochs):
+            X = als.half_step(b["by_user"], Y, k, 1.0)
+            Y = als.half_step(b["by_item"], X, k, 1.0)
+        b[memo] = als.ALSModel(X.withColumnRenamed("id", "reviewer_index"),
+                               Y.withColumnRenamed("id", "asin_index"), k, 1.0)
+    return b[memo]
+
+
+def _sides(model, rank, digits):
+    cols = [F.round(F.element_at("features", f), digits).alias(f"f{f}") for f in range(1, rank + 1)]
+    users = model.user_factors.select(F.lit("user").alias("side"), F.col("reviewer_index").alias("id"), *cols)
+    items = model.item_factors.select(F.lit("item").alias("side"), F.col("asin_index").alias("id"), *cols)
+    return users.unionByName(items)
+
+
+def q_als_normal_eq(spark, sf_dir):
+    b = _keyed(spark, sf_dir)
+    Y = als.initial_factors(b["indexed"], "asin_index", 2, "arithmetic")
+    ne = als.normal_equations(b["by_user"], Y, 2)
+    g, r = F.col("gram"), F.col("rhs")
+    return ne.select(F.col("id").alias("reviewer_index"),
+                     *[F.round(g[j], 6).alias(name) for j, name in ((0, "g11"), (1, "g12"), (3, "g22"))],
+                     F.round(r[0], 6).alias("b1"), F.round(r[1], 6).alias("b2"), "n")
+
+
+def q_als_half_step_users(spark, sf_dir):
+    b = _keyed(spark, sf_dir)
+    Y = als.initial_factors(b["indexed"], "asin_index", 2, "arithmetic")
+    X = als.half_step(b["by_user"], Y, 2, 1.0)
+    return X.select(F.col("id").alias("reviewer_index"),
+                    *[F.round(F.element_at("features", f), 6).alias(f"f{f}") for f in (1, 2)])
+
+
+def q_als_fit_rank1(spark, sf_dir):
+    return _sides(_fit(spark, sf_dir, 1, 2), 1, 4)
+
+
+def q_als_fit_rank2(spark, sf_dir):
+    return _sides(_fit(spark, sf_dir, 2, 2), 2, 4)
+
+
+def q_als_objective(spark, sf_dir):
+    obj = als.objective(ratings.rating_triples(_base(spark, sf_dir)["indexed"]), _fit(spark, sf_dir, 2, 2))
+    return obj.select(*[F.round(c, 3).alias(c) for c in ("sse", "x_sq", "y_sq", "objective")])
+
+
+def q_als_fit_k20(spark, sf_dir):
+    model = _fit(spark, sf_dir, 20, 15, init="random")
+    users = model.user_factors.select(F.lit("user").alias("side"), F.col("reviewer_index").alias("id"), "features")
+    items = model.item_factors.select(F.lit("item").alias("side"), F.col("asin_index").alias("id"), "features")
+    return users.unionByName(items)
+
+
+# ---------------------------------------------------------------- step 5: recommend
+
+def q_recommend_unseen(spark, sf_dir):
+    X, Y = _arith_factors(spark, sf_dir, 1)
+    return recommend.recommend_unseen(X, Y, _pairs(spark, sf_dir)["pairs"], n=10)
+
+
 # ---------------------------------------------------------------- SQL oracles
 
 _RV = """rv AS (
@@ -133,6 +245,65 @@ _BASE = _with(_RV, _ITEMS, _USERS, _IR)
 _BASE_P = _with(_RV, _ITEMS, _USERS, _IR, _PAIRS)
 
 
+def _arith_sql(col: str, f: int) -> str:
+    return f"((CAST({col} AS BIGINT) * 7919 + {f} * 104729) % 1000 + 1) / CAST(1001 AS double)"
+
+
+def _factor_ctes(k: int) -> str:
+    xs = ", ".join(f"{_arith_sql('reviewer_index', f)} AS x{f}" for f in range(1, k + 1))
+    ys = ", ".join(f"{_arith_sql('asin_index', f)} AS y{f}" for f in range(1, k + 1))
+    return f"xf AS (SELECT reviewer_index, {xs} FROM users),\nyf AS (SELECT asin_index, {ys} FROM items)"
+
+
+def _dot_sql(k: int, a: str = "x", b: str = "y") -> str:
+    return "(CAST(0 AS double)" + "".join(f" + {a}{f} * {b}{f}" for f in range(1, k + 1)) + ")"
+
+
+_PRED = _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(PRED_K), f"""pred AS (
+  SELECT ir.reviewer_index, ir.asin_index, ir.asin, ir.overall, {_dot_sql(PRED_K)} AS predicted_overall
+  FROM ir JOIN xf ON ir.reviewer_index = xf.reviewer_index JOIN yf ON ir.asin_index = yf.asin_index)""")
+
+
+def _als_ctes(rank: int, epochs: int) -> list[str]:
+    """Unrolled ALS epochs in SQL: closed-form solve for rank 1 and rank 2, λ = 1."""
+    lam = "CAST(1 AS double)"
+    ys = ", ".join(f"{_arith_sql('asin_index', f)} AS f{f}" for f in range(1, rank + 1))
+    ctes = [f"y0 AS (SELECT asin_index AS id, {ys} FROM items)"]
+
+    def half(name, key, other, src):
+        inner = (f"FROM ir JOIN {src} s ON ir.{other} = s.id GROUP BY ir.{key}")
+        if rank == 1:
+            return (f"{name} AS (SELECT ir.{key} AS id, sum(ir.overall * s.f1) / (sum(s.f1 * s.f1) + {lam}) AS f1 "
+                    f"{inner})")
+        det = f"((a + {lam}) * (c + {lam}) - g * g)"
+        return (f"{name} AS (SELECT id, ((c + {lam}) * b1 - g * b2) / {det} AS f1, "
+                f"((a + {lam}) * b2 - g * b1) / {det} AS f2 FROM (SELECT ir.{key} AS id, "
+                f"sum(s.f1 * s.f1) AS a, sum(s.f1 * s.f2) AS g, sum(s.f2 * s.f2) AS c, "
+                f"sum(ir.overall * s.f1) AS b1, sum(ir.overall * s.f2) AS b2 {inner}))")
+    for e in range(1, epochs + 1):
+        ctes.append(half(f"x{e}", "reviewer_index", "asin_index", f"y{e - 1}"))
+        ctes.append(half(f"y{e}", "asin_index", "reviewer_index", f"x{e}"))
+    return ctes
+
+
+def _als_sides_sql(rank: int, epochs: int) -> str:
+    cols = ", ".join(f"round(f{f}, 4) AS f{f}" for f in range(1, rank + 1))
+    return (_with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(rank, epochs))
+            + f"SELECT 'user' AS side, id, {cols} FROM x{epochs} UNION ALL "
+              f"SELECT 'item' AS side, id, {cols} FROM y{epochs}")
+
+
+def _als_objective_sql() -> str:
+    dot = "(CAST(0 AS double) + x.f1 * y.f1 + x.f2 * y.f2)"
+    body = f"""SELECT round(sse, 3) AS sse, round(x_sq, 3) AS x_sq, round(y_sq, 3) AS y_sq,
+        round(sse + CAST(1 AS double) * (x_sq + y_sq), 3) AS objective FROM
+        (SELECT sum(pow(ir.overall - {dot}, 2)) AS sse FROM ir JOIN x2 x ON ir.reviewer_index = x.id
+           JOIN y2 y ON ir.asin_index = y.id) e,
+        (SELECT sum(CAST(0 AS double) + f1 * f1 + f2 * f2) AS x_sq FROM x2) nx,
+        (SELECT sum(CAST(0 AS double) + f1 * f1 + f2 * f2) AS y_sq FROM y2) ny"""
+    return _with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(2, 2)) + body
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ratings_view": q_ratings_view,
@@ -147,6 +318,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ratings_by_item": q_ratings_by_item,
         "user_matrix": q_user_matrix,
         "item_matrix": q_item_matrix,
+        "predict_ratings": q_predict_ratings,
+        "predict_grid": q_predict_grid,
+        "train_mae": q_train_mae,
+        "train_mse": q_train_mse,
+        "als_normal_eq": q_als_normal_eq,
+        "als_half_step_users": q_als_half_step_users,
+        "als_fit_rank1": q_als_fit_rank1,
+        "als_fit_rank2": q_als_fit_rank2,
+        "als_objective": q_als_objective,
+        "als_fit_k20": q_als_fit_k20,
+        "recommend_unseen": q_recommend_unseen,
     }
 
 
@@ -177,6 +359,31 @@ def oracle_sql() -> dict[str, str]:
             FROM items i CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM users) + 1)) g
             LEFT JOIN pairs p ON p.asin_index = i.asin_index AND p.reviewer_index = g.pos
             GROUP BY i.asin_index""",
+        "predict_ratings": _PRED + "SELECT * FROM pred",
+        "predict_grid": _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(PRED_K)) + f"""
+            SELECT x.reviewer_index, y.asin_index, items.asin, {_dot_sql(PRED_K)} AS predicted_overall
+            FROM (SELECT * FROM xf ORDER BY reviewer_index DESC LIMIT 10) x
+            CROSS JOIN (SELECT * FROM yf ORDER BY asin_index DESC LIMIT 100) y
+            JOIN items ON items.asin_index = y.asin_index""",
+        "train_mae": _PRED + "SELECT round(avg(abs(overall - predicted_overall)), 9) AS mae FROM pred",
+        "train_mse": _PRED + "SELECT round(avg(pow(overall - predicted_overall, 2)), 9) AS mse FROM pred",
+        "als_normal_eq": _with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(2, 0)) + """
+            SELECT ir.reviewer_index, round(sum(s.f1 * s.f1), 6) AS g11, round(sum(s.f1 * s.f2), 6) AS g12,
+                   round(sum(s.f2 * s.f2), 6) AS g22, round(sum(ir.overall * s.f1), 6) AS b1,
+                   round(sum(ir.overall * s.f2), 6) AS b2, count(*) AS n
+            FROM ir JOIN y0 s ON ir.asin_index = s.id GROUP BY ir.reviewer_index""",
+        "als_half_step_users": _with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(2, 1)) + """
+            SELECT id AS reviewer_index, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM x1""",
+        "als_fit_rank1": _als_sides_sql(1, 2),
+        "als_fit_rank2": _als_sides_sql(2, 2),
+        "als_objective": _als_objective_sql(),
+        "recommend_unseen": _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _factor_ctes(1)) + """,
+            cand AS (SELECT xf.reviewer_index, yf.asin_index, xf.x1 * yf.y1 AS score FROM xf CROSS JOIN yf
+                     WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.reviewer_index = xf.reviewer_index
+                                       AND p.asin_index = yf.asin_index)),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY reviewer_index ORDER BY score DESC, asin_index)
+                       AS rn FROM cand)
+            SELECT reviewer_index, CAST(rn AS INTEGER) AS rec_rank, asin_index, score FROM ranked WHERE rn <= 10""",
     }
 
 
