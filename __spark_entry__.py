@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factorlab.functions.vectors import arithmetic_vector
-from factorlab.operators import als, indexing, metrics, predict, ratings, recommend
+from factorlab.operators import als, indexing, metrics, predict, ratings, recommend, similarity
+from factorlab.session import cut_lineage
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -214,6 +215,56 @@ def q_recommend_unseen(spark, sf_dir):
     return recommend.recommend_unseen(X, Y, _pairs(spark, sf_dir)["pairs"], n=10)
 
 
+# ---------------------------------------------------------------- step 7: similarity
+
+def _cos(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    if "cos" not in b:
+        b["cos"] = cut_lineage(similarity.user_cosine(b["pairs"]))
+    return b
+
+
+def q_user_norms(spark, sf_dir):
+    return similarity.user_norms(_pairs(spark, sf_dir)["pairs"])
+
+
+def q_user_cosine(spark, sf_dir):
+    return _cos(spark, sf_dir)["cos"]
+
+
+def q_similar_users_top10(spark, sf_dir):
+    return similarity.similar_users(_pairs(spark, sf_dir)["pairs"], user=None, n=10)
+
+
+def q_similar_users_top10_all(spark, sf_dir):
+    return similarity.similar_users_all(_cos(spark, sf_dir)["cos"], n=10)
+
+
+def _scores(spark, sf_dir):
+    b = _cos(spark, sf_dir)
+    if "scores" not in b:
+        b["scores"] = similarity.neighbour_scores(b["pairs"], b["cos"])
+    return b["scores"]
+
+
+def q_neighbour_scores(spark, sf_dir):
+    return _scores(spark, sf_dir).select("reviewer_index", "asin_index", F.round("score", 6).alias("score"))
+
+
+def q_similarity_vector(spark, sf_dir):
+    b = _cos(spark, sf_dir)
+    vec = similarity.similarity_vectors(b["cos"], b["n_users"])
+    return vec.select("reviewer_index", F.posexplode("Similarity").alias("pos", "cos")) \
+        .select("reviewer_index", (F.col("pos") + 1).alias("other_index"), "cos")
+
+
+def q_score_vector(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    vec = similarity.score_vectors(_scores(spark, sf_dir), b["n_items"])
+    return vec.select("reviewer_index", F.posexplode("g_score_vector").alias("pos", "score")) \
+        .select("reviewer_index", (F.col("pos") + 1).alias("asin_index"), F.round("score", 6).alias("score"))
+
+
 # ---------------------------------------------------------------- SQL oracles
 
 _RV = """rv AS (
@@ -304,6 +355,25 @@ def _als_objective_sql() -> str:
     return _with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(2, 2)) + body
 
 
+_NORMS = """norms AS (
+  SELECT reviewer_index, sum(CAST(rating AS double) * CAST(rating AS double)) AS norm_sq
+  FROM pairs GROUP BY reviewer_index)"""
+_COS = """dots AS (
+  SELECT a.reviewer_index AS u, b.reviewer_index AS v, sum(CAST(a.rating AS double) * b.rating) AS dot
+  FROM pairs a JOIN pairs b ON a.asin_index = b.asin_index AND a.reviewer_index <= b.reviewer_index
+  GROUP BY 1, 2),
+cos AS (
+  SELECT u, v, dot / (sqrt(na.norm_sq) * sqrt(nb.norm_sq)) AS cos
+  FROM dots JOIN norms na ON na.reviewer_index = u JOIN norms nb ON nb.reviewer_index = v),
+sym AS (SELECT u, v, cos FROM cos UNION ALL SELECT v AS u, u AS v, cos FROM cos WHERE u <> v)"""
+_SCORES = """mass AS (SELECT u, sum(cos) AS mass FROM sym GROUP BY u),
+num AS (SELECT s.u, p.asin_index, sum(s.cos * p.rating) AS num
+        FROM sym s JOIN pairs p ON p.reviewer_index = s.v GROUP BY 1, 2),
+scores AS (SELECT num.u AS reviewer_index, asin_index, num / mass AS score FROM num JOIN mass ON mass.u = num.u)"""
+_SIM = _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _NORMS, _COS)
+_SIM_SCORES = _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _NORMS, _COS, _SCORES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ratings_view": q_ratings_view,
@@ -329,6 +399,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "als_objective": q_als_objective,
         "als_fit_k20": q_als_fit_k20,
         "recommend_unseen": q_recommend_unseen,
+        "user_norms": q_user_norms,
+        "user_cosine": q_user_cosine,
+        "similar_users_top10": q_similar_users_top10,
+        "similar_users_top10_all": q_similar_users_top10_all,
+        "neighbour_scores": q_neighbour_scores,
+        "similarity_vector": q_similarity_vector,
+        "score_vector": q_score_vector,
     }
 
 
@@ -384,6 +461,35 @@ def oracle_sql() -> dict[str, str]:
             ranked AS (SELECT *, row_number() OVER (PARTITION BY reviewer_index ORDER BY score DESC, asin_index)
                        AS rn FROM cand)
             SELECT reviewer_index, CAST(rn AS INTEGER) AS rec_rank, asin_index, score FROM ranked WHERE rn <= 10""",
+        "user_norms": _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _NORMS)
+            + "SELECT reviewer_index, norm_sq, sqrt(norm_sq) AS norm FROM norms",
+        "user_cosine": _SIM + "SELECT u, v, cos FROM cos",
+        "similar_users_top10": _SIM + """,
+            tgt AS (SELECT max(reviewer_index) AS t FROM users),
+            t AS (SELECT asin_index, rating AS r0 FROM pairs, tgt WHERE reviewer_index = tgt.t),
+            n0 AS (SELECT sum(CAST(r0 AS double) * r0) AS n0 FROM t),
+            d AS (SELECT p.reviewer_index AS v, sum(CAST(p.rating AS double) * t.r0) AS dot
+                  FROM pairs p JOIN t ON p.asin_index = t.asin_index GROUP BY 1),
+            c AS (SELECT v, dot / (sqrt(n0) * sqrt(norms.norm_sq)) AS cos
+                  FROM d JOIN norms ON norms.reviewer_index = d.v, n0, tgt WHERE v <> tgt.t)
+            SELECT (SELECT t FROM tgt) AS reviewer_index,
+                   CAST(row_number() OVER (ORDER BY cos DESC, v) AS INTEGER) AS sim_rank, v AS similar_index, cos
+            FROM c ORDER BY cos DESC, v LIMIT 10""",
+        "similar_users_top10_all": _SIM + """,
+            r AS (SELECT u, v, cos, row_number() OVER (PARTITION BY u ORDER BY cos DESC, v) AS rn
+                  FROM sym WHERE u <> v)
+            SELECT u AS reviewer_index, CAST(rn AS INTEGER) AS sim_rank, v AS similar_index, cos FROM r WHERE rn <= 10""",
+        "neighbour_scores": _SIM_SCORES + "SELECT reviewer_index, asin_index, round(score, 6) AS score FROM scores",
+        "similarity_vector": _SIM + """
+            SELECT u.reviewer_index, g.pos AS other_index, coalesce(s.cos, CAST(0 AS double)) AS cos
+            FROM (SELECT DISTINCT u AS reviewer_index FROM sym) u
+            CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM users) + 1)) g
+            LEFT JOIN sym s ON s.u = u.reviewer_index AND s.v = g.pos""",
+        "score_vector": _SIM_SCORES + """
+            SELECT u.reviewer_index, g.pos AS asin_index, round(coalesce(s.score, CAST(0 AS double)), 6) AS score
+            FROM (SELECT DISTINCT reviewer_index FROM scores) u
+            CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM items) + 1)) g
+            LEFT JOIN scores s ON s.reviewer_index = u.reviewer_index AND s.asin_index = g.pos""",
     }
 
 
