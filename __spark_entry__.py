@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factorlab.functions.vectors import arithmetic_vector
-from factorlab.operators import als, indexing, metrics, predict, ratings, recommend, similarity
+from factorlab.functions.parsing import accepted_examples, parse_examples
+from factorlab.functions.vectors import dot
+from factorlab.operators import als, als_builtin, indexing, metrics, mlp, predict, ratings, recommend, similarity
+from factorlab.sources.examples import example_line
 from factorlab.session import cut_lineage
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders
 
@@ -265,6 +268,68 @@ def q_score_vector(spark, sf_dir):
         .select("reviewer_index", (F.col("pos") + 1).alias("asin_index"), F.round("score", 6).alias("score"))
 
 
+# ---------------------------------------------------------------- step 6: Spark ML ALS
+
+def _builtin(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    if "builtin" not in b:
+        b["builtin"] = als_builtin.fit_builtin(ratings.rating_triples(b["indexed"]), rank=20, max_iter=15,
+                                               reg=0.01, seed=42)
+    return b
+
+
+def q_builtin_als_mse(spark, sf_dir):
+    b = _builtin(spark, sf_dir)
+    pred = als_builtin.predict_builtin(b["builtin"], ratings.rating_triples(b["indexed"]))
+    return metrics.error_metrics(pred)
+
+
+def q_builtin_user_factors(spark, sf_dir):
+    return als_builtin.builtin_factors(_builtin(spark, sf_dir)["builtin"])[0]
+
+
+# ---------------------------------------------------------------- step 8: exported examples + regression
+
+def _example_lines(spark, sf_dir):
+    """Training lines ``([x…], [y…], r)`` rendered from the arithmetic factors (k = 20)."""
+    X, Y = _arith_factors(spark, sf_dir, PRED_K)
+    both = predict.with_factors(_base(spark, sf_dir)["indexed"], X, Y)
+    return both.select(example_line("reviewer_latent_vector", "asin_latent_vector", "overall").alias("value"))
+
+
+def _parsed(spark, sf_dir):
+    return accepted_examples(parse_examples(_example_lines(spark, sf_dir), width=2 * PRED_K))
+
+
+def q_parse_examples(spark, sf_dir):
+    ex = _parsed(spark, sf_dir)
+    return ex.select((F.size("user_vec") + F.size("item_vec")).alias("width"), "label",
+                     F.round(dot("user_vec", "item_vec"), 9).alias("dot"))
+
+
+def q_dot_baseline_mae(spark, sf_dir):
+    ex = _parsed(spark, sf_dir).select("label", dot("user_vec", "item_vec").alias("predicted_overall"))
+    return metrics.mae(ex, label="label").select(F.round("mae", 9).alias("mae"))
+
+
+def q_mlp_predictions(spark, sf_dir):
+    """MLP on the learnt k = 20 factors (15 plain-λ ALS epochs), trained 30 epochs."""
+    b = _base(spark, sf_dir)
+    memo = "mlp"
+    if memo not in b:
+        model = _fit(spark, sf_dir, 20, 15, init="random")
+        ex = predict.with_factors(b["indexed"], model.user_factors, model.item_factors).select(
+            F.concat("reviewer_latent_vector", "asin_latent_vector").alias("features"),
+            F.col("overall").alias("label"))
+        b[memo] = (mlp.fit_mlp(ex, epochs=30, num_partitions=8), ex)
+    net, ex = b[memo]
+    return mlp.predict_mlp(net, ex)
+
+
+def q_mlp_mae(spark, sf_dir):
+    return metrics.error_metrics(q_mlp_predictions(spark, sf_dir), label="label", prediction="prediction")
+
+
 # ---------------------------------------------------------------- SQL oracles
 
 _RV = """rv AS (
@@ -406,6 +471,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "neighbour_scores": q_neighbour_scores,
         "similarity_vector": q_similarity_vector,
         "score_vector": q_score_vector,
+        "builtin_als_mse": q_builtin_als_mse,
+        "builtin_user_factors": q_builtin_user_factors,
+        "parse_examples": q_parse_examples,
+        "dot_baseline_mae": q_dot_baseline_mae,
+        "mlp_predictions": q_mlp_predictions,
+        "mlp_mae": q_mlp_mae,
     }
 
 
@@ -490,6 +561,8 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT reviewer_index FROM scores) u
             CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM items) + 1)) g
             LEFT JOIN scores s ON s.reviewer_index = u.reviewer_index AND s.asin_index = g.pos""",
+        "parse_examples": _PRED + f"SELECT {2 * PRED_K} AS width, overall AS label, round(predicted_overall, 9) AS dot FROM pred",
+        "dot_baseline_mae": _PRED + "SELECT round(avg(abs(predicted_overall - overall)), 9) AS mae FROM pred",
     }
 
 
