@@ -1,0 +1 @@
+"""Column expressions: vector algebra on arrays and the example-line parser."""

@@ -1,0 +1 @@
+"""End-to-end flows composing the operators (index → ALS → predict → recommend, …)."""

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workloads reproduced here read finished review files only; no stream source, window,
+watermark or state exists in them, so this package holds nothing. Each operator in
+``factorlab.operators`` is a DataFrame function and can be applied to the output of a
+``foreachBatch`` sink if reviews arrive as a stream.
+"""
