@@ -111,11 +111,14 @@ def user_cosine(pairs: DataFrame, block_users: int | None = None,
                 max_group_rows: int = 2_000_000) -> DataFrame:
     """``(u, v, cos)`` for every pair ``u <= v`` sharing at least one rated item
     (the diagonal is included; pairs without a shared item have cosine 0 and are omitted)."""
-    stats = pairs.agg(F.max(USER_IDX).alias("n"), F.count(F.lit(1)).alias("rows")).first()
-    n_users, n_rows = int(stats["n"] or 0), int(stats["rows"])
-    bs = block_users or _block_size(n_users, 8, 256, 4096)
+    n_users = max_id(pairs, USER_IDX)
+    bs = block_users or _block_size(n_users, 8, 256, 2048)
     nb = max(1, math.ceil(n_users / bs))
-    splits = max(1, math.ceil(2 * n_rows / nb / max_group_rows))
+    # The largest user block bounds a group (a hot user makes its block large): split items
+    # so that two such blocks together stay under max_group_rows.
+    biggest = (pairs.groupBy(block_of(USER_IDX, bs).alias("blk")).count()
+               .agg(F.max("count")).first()[0]) or 0
+    splits = max(1, math.ceil(2 * biggest / max_group_rows))
     rows = pairs.select(F.col(USER_IDX).alias("u"), F.col(ITEM_IDX).alias("i"),
                         F.col("rating").cast("double").alias("r"),
                         block_of(USER_IDX, bs).alias("blk"))
@@ -211,19 +214,29 @@ def _scores_fn(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None = None,
-                     block_items: int | None = None) -> DataFrame:
+                     block_items: int | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
     """``(reviewer_index, asin_index, score)`` for every user and every item rated by at
     least one of the user's neighbours (other scores are 0 and omitted).
 
     Groups are (user block, item block): the cosine rows of the block's users go to every
     item block, the ratings of an item block go to every user block.
     """
-    n_users = max_id(pairs, USER_IDX)
-    n_items = max_id(pairs, ITEM_IDX)
-    bu = block_users or _block_size(n_users, 8, 256, 2048)
-    bi = block_items or _block_size(n_items, 4, 512, 4096)
-    nbu, nbi = max(1, math.ceil(n_users / bu)), max(1, math.ceil(n_items / bi))
+    stats = pairs.agg(F.max(USER_IDX).alias("nu"), F.max(ITEM_IDX).alias("ni"),
+                      F.count(F.lit(1)).alias("rows")).first()
+    n_users, n_items, n_rows = int(stats["nu"] or 0), int(stats["ni"] or 0), int(stats["rows"])
     sym = symmetric(cos)
+    if block_users is None or block_items is None:
+        n_sym = sym.count()
+        # a group holds the cosine rows of one user block and the ratings of one item block:
+        # aim at 8 x 4 groups for parallelism, keep each part under max_group_rows and the
+        # accumulator at most 2048 x 4096 cells
+        per_user = max(1.0, n_sym / max(n_users, 1))
+        per_item = max(1.0, n_rows / max(n_items, 1))
+        bu = block_users or int(max(64, min(2048, math.ceil(n_users / 8), max_group_rows / per_user)))
+        bi = block_items or int(max(64, min(4096, math.ceil(n_items / 4), max_group_rows / per_item)))
+    else:
+        bu, bi = block_users, block_items
+    nbu, nbi = max(1, math.ceil(n_users / bu)), max(1, math.ceil(n_items / bi))
     s_rows = sym.select(block_of("u", bu).alias("ga"), all_blocks(nbi).alias("c"), F.lit(0).alias("kind"),
                         F.col("u").alias("a"), F.col("v").alias("b"), F.col("cos").alias("w"))
     r_rows = pairs.select(all_blocks(nbu).alias("ga"), block_of(ITEM_IDX, bi).alias("c"), F.lit(1).alias("kind"),
