@@ -126,7 +126,8 @@ def _arith_factors(spark, sf_dir, k):
 
 def q_predict_ratings(spark, sf_dir):
     X, Y = _arith_factors(spark, sf_dir, PRED_K)
-    return predict.predict_ratings(_base(spark, sf_dir)["indexed"], X, Y)
+    b = _pairs(spark, sf_dir)
+    return predict.predict_ratings(b["indexed"], X, Y, b["n_users"], b["n_items"], PRED_K)
 
 
 def q_predict_grid(spark, sf_dir):
@@ -162,7 +163,8 @@ def _fit(spark, sf_dir, k, epochs, init="arithmetic"):
             X = als.half_step(b["by_user"], Y, k, 1.0)
             Y = als.half_step(b["by_item"], X, k, 1.0)
         b[memo] = als.ALSModel(X.withColumnRenamed("id", "reviewer_index"),
-                               Y.withColumnRenamed("id", "asin_index"), k, 1.0)
+                               Y.withColumnRenamed("id", "asin_index"), k, 1.0,
+                               b["by_user"].n_keys, b["by_item"].n_keys)
     return b[memo]
 
 

@@ -61,7 +61,7 @@ def main():
 
     # 4. predict every rating + MAE/MSE/RMSE
     timed("predict_mae", lambda: run(metrics.error_metrics(
-        predict.predict_ratings(indexed, model.user_factors, model.item_factors))))
+        predict.predict_model(indexed, model))))
 
     # 5. top-10 unseen items for every user
     pairs = cut_lineage(ratings.rating_pairs(indexed))

@@ -31,3 +31,16 @@ def block_count(max_id: int | None, size: int) -> int:
 def max_id(df: DataFrame, col: str) -> int:
     value = df.agg(F.max(col)).first()[0]
     return int(value or 0)
+
+
+def broadcast_if_bounded(df: DataFrame, rows: int | None, row_bytes: int,
+                         limit_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast ``df`` only when a proven row bound times the row size is under the limit;
+    otherwise leave the join strategy to AQE's measured sizes."""
+    if rows is not None and rows * row_bytes <= limit_bytes:
+        return F.broadcast(df)
+    return df
+
+
+def factor_row_bytes(k: int) -> int:
+    return 8 * k + 32
