@@ -27,7 +27,7 @@ _MEMO: dict = {}
 
 def _base(spark: SparkSession, sf_dir: str) -> dict:
     """Clean reviews, both indexes and the indexed ratings of ``sf_dir`` (memoised)."""
-    key = (id(spark.sparkContext._jsc), sf_dir)
+    key = (id(spark), sf_dir)
     if key not in _MEMO:
         reviews = clean_reviews(ratings_from_orders(spark, sf_dir))
         items, users, indexed = indexing.index_reviews(reviews)
@@ -245,6 +245,11 @@ def q_similar_users_top10_all(spark, sf_dir):
     return similarity.similar_users_all(_cos(spark, sf_dir)["cos"], n=10)
 
 
+def q_similarity_mass(spark, sf_dir):
+    return similarity.similarity_mass(_cos(spark, sf_dir)["cos"]).select(
+        "reviewer_index", F.round("mass", 9).alias("mass"))
+
+
 def _scores(spark, sf_dir):
     b = _cos(spark, sf_dir)
     if "scores" not in b:
@@ -470,6 +475,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_cosine": q_user_cosine,
         "similar_users_top10": q_similar_users_top10,
         "similar_users_top10_all": q_similar_users_top10_all,
+        "similarity_mass": q_similarity_mass,
         "neighbour_scores": q_neighbour_scores,
         "similarity_vector": q_similarity_vector,
         "score_vector": q_score_vector,
@@ -552,6 +558,7 @@ def oracle_sql() -> dict[str, str]:
             r AS (SELECT u, v, cos, row_number() OVER (PARTITION BY u ORDER BY cos DESC, v) AS rn
                   FROM sym WHERE u <> v)
             SELECT u AS reviewer_index, CAST(rn AS INTEGER) AS sim_rank, v AS similar_index, cos FROM r WHERE rn <= 10""",
+        "similarity_mass": _SIM + "SELECT u AS reviewer_index, round(sum(cos), 9) AS mass FROM sym GROUP BY u",
         "neighbour_scores": _SIM_SCORES + "SELECT reviewer_index, asin_index, round(score, 6) AS score FROM scores",
         "similarity_vector": _SIM + """
             SELECT u.reviewer_index, g.pos AS other_index, coalesce(s.cos, CAST(0 AS double)) AS cos

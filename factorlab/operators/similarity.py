@@ -142,6 +142,12 @@ def symmetric(cos: DataFrame) -> DataFrame:
                            .select(F.col("v").alias("u"), F.col("u").alias("v"), "cos"))
 
 
+def similarity_mass(cos: DataFrame) -> DataFrame:
+    """``(reviewer_index, mass)``: Σ_v cos(u, v) over all users v (u itself included), the
+    denominator of the weighted score; a native partial+final aggregate."""
+    return symmetric(cos).groupBy(F.col("u").alias(USER_IDX)).agg(F.sum("cos").alias("mass"))
+
+
 # ------------------------------------------------------------------ single-user neighbours
 
 def similar_users(pairs: DataFrame, user: int | None = None, n: int = 10,

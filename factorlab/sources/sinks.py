@@ -27,3 +27,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
+
+
+def register_views(tables: dict) -> None:
+    """Expose results under SQL names (``createOrReplaceTempView``) so they can be queried
+    with ``spark.sql``."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
