@@ -83,3 +83,31 @@ def test_objective_never_increases(spark):
         if prev is not None:
             assert obj <= prev + 1e-9
         prev = obj
+
+
+def test_sort_merge_fallback_path(spark):
+    """Factor tables over the broadcast bound: sort-merge join, then regroup by (key, salt)."""
+    rng = np.random.default_rng(2)
+    u, i = rng.integers(1, 25, 300), rng.integers(1, 20, 300)
+    u[:100] = 3
+    r = rng.integers(1, 6, 300).astype(float)
+    model = check(spark, u, i, r, 2, epochs=2, broadcast_bytes=0, max_rows_per_group=30)
+    assert model.max_users == 24 or model.max_users == int(u.max())
+
+
+def test_plan_has_no_rating_shuffle_when_broadcast(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"reviewer_index": rng.integers(1, 20, 100).astype("int32"),
+                        "asin_index": rng.integers(1, 15, 100).astype("int32"),
+                        "overall": rng.integers(1, 6, 100).astype(float)})
+    keyed = als.prepare_keyed(spark.createDataFrame(pdf), "reviewer_index", "asin_index")
+    from pyspark.sql import functions as F
+
+    from factorlab.session import cut_lineage
+    Y = cut_lineage(als.initial_factors(spark.createDataFrame(pdf), "asin_index", 3))
+    factors = Y.select(F.col("id").alias("asin_index"), F.col("features").alias("_v"))
+    joined = keyed.df.join(F.broadcast(factors), "asin_index")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    # the only exchange is the broadcast of the factor side
+    assert "Exchange hashpartitioning" not in plan
