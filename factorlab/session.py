@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. AQE re-plans joins at run time (broadcast only when the
@@ -68,7 +69,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and return the re-read plan.
 
     The result survives executor loss (it is read back from shared storage, not from
-    executor memory) and its partitioning and in-partition order are fixed.
+    executor memory) and its partitioning and in-partition order are fixed. An eager
+    checkpoint runs one job to compute the data and a second one to write it; the data
+    is persisted for the duration so the second job reads it instead of recomputing the
+    last stage (which may be a Python stage), then released.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
