@@ -6,7 +6,7 @@
 Both are sparse matrix products (R Rᵀ and S R). They are computed block-wise, never by a
 per-item self join: users are cut into contiguous index blocks, each rating row is
 replicated once per block it must meet (a fan-out equal to the block count), and one
-Arrow call per block group accumulates the products into a dense block-sized array with
+Arrow call (``applyInArrow``) per block group accumulates the products into a dense block-sized array with
 ``numpy.bincount``. Work inside a group is the number of co-rating contributions of that
 block pair; memory is bounded by the block sizes. When the rows of a block pair exceed
 ``max_group_rows``, items are split into several groups as well and the partial dot
@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,33 +77,46 @@ _COS = T.StructType([
 ])
 
 
+_COS_ARROW = pa.schema([("u", pa.int32()), ("v", pa.int32()), ("dot", pa.float64()), ("cos", pa.float64())])
+
+
+def _np(table: pa.Table, name: str, dtype=None) -> np.ndarray:
+    arr = table.column(name).to_numpy()
+    return arr.astype(dtype, copy=False) if dtype is not None else arr
+
+
 def _cosine_fn(with_norms: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ga, gb = int(pdf["ga"].iloc[0]), int(pdf["gb"].iloc[0])
-        blk = pdf["blk"].to_numpy()
-        a = pdf[blk == ga]
-        b = a if ga == gb else pdf[blk == gb]
-        b = b.sort_values("i", kind="stable")
-        ua, ub = np.unique(a["u"].to_numpy()), np.unique(b["u"].to_numpy())
-        la = np.searchsorted(ua, a["u"].to_numpy())
-        lb = np.searchsorted(ub, b["u"].to_numpy())
-        ra, rb = a["r"].to_numpy(np.float64), b["r"].to_numpy(np.float64)
+    """``applyInArrow`` body for one (block, block, item split) group."""
+    def run(table: pa.Table) -> pa.Table:
+        if table.num_rows == 0:
+            return _COS_ARROW.empty_table()
+        ga, gb = int(table.column("ga")[0].as_py()), int(table.column("gb")[0].as_py())
+        blk, u, i = _np(table, "blk"), _np(table, "u"), _np(table, "i")
+        r = _np(table, "r", np.float64)
+        in_a = blk == ga
+        in_b = in_a if ga == gb else blk == gb
+        ua_rows, ub_rows = u[in_a], u[in_b]
+        order = np.argsort(i[in_b], kind="stable")
+        ib_sorted, ub_rows, rb = i[in_b][order], ub_rows[order], r[in_b][order]
+        ra = r[in_a]
+        ua, ub = np.unique(ua_rows), np.unique(ub_rows)
+        la, lb = np.searchsorted(ua, ua_rows), np.searchsorted(ub, ub_rows)
         acc = np.zeros(len(ua) * len(ub))
-        for ia, ib in ragged_pairs(a["i"].to_numpy(), b["i"].to_numpy()):
+        for ia, ib in ragged_pairs(i[in_a], ib_sorted):
             acc += np.bincount(la[ia] * len(ub) + lb[ib], weights=ra[ia] * rb[ib], minlength=acc.size)
         acc = acc.reshape(len(ua), len(ub))
         if ga == gb:
             acc = np.triu(acc)
-        r, c = np.nonzero(acc)
-        dots = acc[r, c]
+        rr, cc = np.nonzero(acc)
+        dots = acc[rr, cc]
         if with_norms:
             na = np.bincount(la, weights=ra * ra, minlength=len(ua))
             nb = np.bincount(lb, weights=rb * rb, minlength=len(ub))
-            cos = dots / (np.sqrt(na[r]) * np.sqrt(nb[c]))
+            cos = dots / (np.sqrt(na[rr]) * np.sqrt(nb[cc]))
         else:
             cos = np.full(len(dots), np.nan)
-        return pd.DataFrame({"u": ua[r].astype(np.int32), "v": ub[c].astype(np.int32), "dot": dots,
-                             "cos": cos})
+        return pa.Table.from_arrays([pa.array(ua[rr].astype(np.int32)), pa.array(ub[cc].astype(np.int32)),
+                                     pa.array(dots), pa.array(cos)], schema=_COS_ARROW)
     return run
 
 
@@ -126,7 +139,7 @@ def user_cosine(pairs: DataFrame, block_users: int | None = None,
         "u", "i", "r", "blk",
         F.least("blk", "o").alias("ga"), F.greatest("blk", "o").alias("gb"),
         (F.pmod(F.xxhash64("i"), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)).alias("c"))
-    out = rows.groupBy("ga", "gb", "c").applyInPandas(_cosine_fn(splits == 1), _COS)
+    out = rows.groupBy("ga", "gb", "c").applyInArrow(_cosine_fn(splits == 1), _COS)
     if splits == 1:
         return out.select("u", "v", "cos")
     dots = out.groupBy("u", "v").agg(F.sum("dot").alias("dot"))
@@ -197,26 +210,30 @@ _SCORES = T.StructType([
 ])
 
 
-def _scores_fn(pdf: pd.DataFrame) -> pd.DataFrame:
-    kind = pdf["kind"].to_numpy()
-    s = pdf[kind == 0]
-    r = pdf[kind == 1].sort_values("a", kind="stable")
-    if s.empty:
-        return pd.DataFrame({USER_IDX: [], ITEM_IDX: [], "score": []})
-    users = np.unique(s["a"].to_numpy())
-    items = np.unique(r["b"].to_numpy())
-    lu = np.searchsorted(users, s["a"].to_numpy())
-    cs = s["w"].to_numpy(np.float64)
+_SCORES_ARROW = pa.schema([(USER_IDX, pa.int32()), (ITEM_IDX, pa.int32()), ("score", pa.float64())])
+
+
+def _scores_fn(table: pa.Table) -> pa.Table:
+    """``applyInArrow`` body for one (user block, item block) group."""
+    kind = _np(table, "kind")
+    a, b, w = _np(table, "a"), _np(table, "b"), _np(table, "w", np.float64)
+    s_rows = kind == 0
+    if not s_rows.any():
+        return _SCORES_ARROW.empty_table()
+    su, sv, cs = a[s_rows], b[s_rows], w[s_rows]
+    r_rows = ~s_rows
+    order = np.argsort(a[r_rows], kind="stable")
+    rv, ri, rr = a[r_rows][order], b[r_rows][order], w[r_rows][order]
+    users, items = np.unique(su), np.unique(ri)
+    lu, li = np.searchsorted(users, su), np.searchsorted(items, ri)
     mass = np.bincount(lu, weights=cs, minlength=len(users))
-    li = np.searchsorted(items, r["b"].to_numpy())
-    rr = r["w"].to_numpy(np.float64)
     acc = np.zeros(len(users) * len(items))
-    for i_s, i_r in ragged_pairs(s["b"].to_numpy(), r["a"].to_numpy()):
+    for i_s, i_r in ragged_pairs(sv, rv):
         acc += np.bincount(lu[i_s] * len(items) + li[i_r], weights=cs[i_s] * rr[i_r], minlength=acc.size)
     acc = acc.reshape(len(users), len(items))
     ru, ci = np.nonzero(acc)
-    return pd.DataFrame({USER_IDX: users[ru].astype(np.int32), ITEM_IDX: items[ci].astype(np.int32),
-                         "score": acc[ru, ci] / mass[ru]})
+    return pa.Table.from_arrays([pa.array(users[ru].astype(np.int32)), pa.array(items[ci].astype(np.int32)),
+                                 pa.array(acc[ru, ci] / mass[ru])], schema=_SCORES_ARROW)
 
 
 def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None = None,
@@ -248,7 +265,7 @@ def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None =
     r_rows = pairs.select(all_blocks(nbu).alias("ga"), block_of(ITEM_IDX, bi).alias("c"), F.lit(1).alias("kind"),
                           F.col(USER_IDX).alias("a"), F.col(ITEM_IDX).alias("b"),
                           F.col("rating").cast("double").alias("w"))
-    return s_rows.unionByName(r_rows).groupBy("ga", "c").applyInPandas(_scores_fn, _SCORES)
+    return s_rows.unionByName(r_rows).groupBy("ga", "c").applyInArrow(_scores_fn, _SCORES)
 
 
 # ------------------------------------------------------------------ dense forms
