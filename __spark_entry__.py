@@ -220,6 +220,12 @@ def q_recommend_unseen(spark, sf_dir):
     return recommend.recommend_unseen(X, Y, _pairs(spark, sf_dir)["pairs"], n=10)
 
 
+def q_recommend_unseen_als(spark, sf_dir):
+    """Top-10 unseen items per user from the learnt k = 20 factors (15 plain-λ epochs)."""
+    model = _fit(spark, sf_dir, 20, 15, init="random")
+    return recommend.recommend_unseen(model.user_factors, model.item_factors, _pairs(spark, sf_dir)["pairs"], n=10)
+
+
 # ---------------------------------------------------------------- step 7: similarity
 
 def _cos(spark, sf_dir):
@@ -471,6 +477,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "als_objective": q_als_objective,
         "als_fit_k20": q_als_fit_k20,
         "recommend_unseen": q_recommend_unseen,
+        "recommend_unseen_als": q_recommend_unseen_als,
         "user_norms": q_user_norms,
         "user_cosine": q_user_cosine,
         "similar_users_top10": q_similar_users_top10,

@@ -31,8 +31,10 @@ def check(spark, u, i, r, k, epochs=2, **kw):
     pdf = pd.DataFrame({"reviewer_index": u.astype("int32"), "asin_index": i.astype("int32"), "overall": r})
     model = als.fit(spark.createDataFrame(pdf), k=k, lam=1.0, epochs=epochs, init="arithmetic", **kw)
     Xr, Yr = numpy_als(u, i, r, k, 1.0, epochs, arith(k))
-    X = {a: np.array(b) for a, b in model.user_factors.collect()}
-    Y = {a: np.array(b) for a, b in model.item_factors.collect()}
+    xs, ys = model.user_factors.collect(), model.item_factors.collect()
+    assert len(xs) == len({a for a, _ in xs}) and len(ys) == len({a for a, _ in ys})  # one row per id
+    X = {a: np.array(b) for a, b in xs}
+    Y = {a: np.array(b) for a, b in ys}
     assert set(X) == set(Xr) and set(Y) == set(Yr)
     assert max(np.abs(X[a] - Xr[a]).max() for a in X) < 1e-8
     assert max(np.abs(Y[a] - Yr[a]).max() for a in Y) < 1e-8
@@ -111,3 +113,19 @@ def test_plan_has_no_rating_shuffle_when_broadcast(spark):
     assert "BroadcastHashJoin" in plan
     # the only exchange is the broadcast of the factor side
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_rating_without_factor_is_dropped(spark):
+    """A rating whose item has no factor drops out of the join; a user whose only rating is
+    on that item gets no factor."""
+    pdf = pd.DataFrame({"reviewer_index": np.array([1, 1, 2, 3], dtype="int32"),
+                        "asin_index": np.array([1, 2, 1, 3], dtype="int32"),
+                        "overall": [5.0, 3.0, 4.0, 2.0]})
+    df = spark.createDataFrame(pdf)
+    keyed = als.prepare_keyed(df, "reviewer_index", "asin_index")
+    Y = spark.createDataFrame([(1, [0.5, 0.25]), (2, [1.0, 0.5])], "id int, features array<double>")
+    X = {r[0]: np.array(r[1]) for r in als.half_step(keyed, Y, 2, 1.0).collect()}
+    assert set(X) == {1, 2}
+    V = np.array([[0.5, 0.25], [1.0, 0.5]])
+    want = np.linalg.solve(V.T @ V + np.eye(2), V.T @ np.array([5.0, 3.0]))
+    assert np.abs(X[1] - want).max() < 1e-12
