@@ -213,8 +213,16 @@ _SCORES = T.StructType([
 _SCORES_ARROW = pa.schema([(USER_IDX, pa.int32()), (ITEM_IDX, pa.int32()), ("score", pa.float64())])
 
 
-def _scores_fn(table: pa.Table) -> pa.Table:
-    """``applyInArrow`` body for one (user block, item block) group."""
+def _scores_fn(divide: bool):
+    """``applyInArrow`` body for one (user block, item block, neighbour split) group; with
+    ``divide`` the group holds every neighbour of its users and returns final scores,
+    otherwise partial numerators."""
+    def run(table: pa.Table) -> pa.Table:
+        return _scores_block(table, divide)
+    return run
+
+
+def _scores_block(table: pa.Table, divide: bool) -> pa.Table:
     kind = _np(table, "kind")
     a, b, w = _np(table, "a"), _np(table, "b"), _np(table, "w", np.float64)
     s_rows = kind == 0
@@ -232,8 +240,9 @@ def _scores_fn(table: pa.Table) -> pa.Table:
         acc += np.bincount(lu[i_s] * len(items) + li[i_r], weights=cs[i_s] * rr[i_r], minlength=acc.size)
     acc = acc.reshape(len(users), len(items))
     ru, ci = np.nonzero(acc)
+    vals = acc[ru, ci] / mass[ru] if divide else acc[ru, ci]
     return pa.Table.from_arrays([pa.array(users[ru].astype(np.int32)), pa.array(items[ci].astype(np.int32)),
-                                 pa.array(acc[ru, ci] / mass[ru])], schema=_SCORES_ARROW)
+                                 pa.array(vals)], schema=_SCORES_ARROW)
 
 
 def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None = None,
@@ -260,12 +269,26 @@ def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None =
     else:
         bu, bi = block_users, block_items
     nbu, nbi = max(1, math.ceil(n_users / bu)), max(1, math.ceil(n_items / bi))
-    s_rows = sym.select(block_of("u", bu).alias("ga"), all_blocks(nbi).alias("c"), F.lit(0).alias("kind"),
-                        F.col("u").alias("a"), F.col("v").alias("b"), F.col("cos").alias("w"))
-    r_rows = pairs.select(all_blocks(nbu).alias("ga"), block_of(ITEM_IDX, bi).alias("c"), F.lit(1).alias("kind"),
-                          F.col(USER_IDX).alias("a"), F.col(ITEM_IDX).alias("b"),
+    # A hot item makes its item block large: split the neighbours v as well (each S row and
+    # each rating row belongs to the split of its v, so nothing is replicated for it) and
+    # add the partial numerators natively afterwards.
+    biggest = (pairs.groupBy(block_of(ITEM_IDX, bi).alias("c")).count().agg(F.max("count")).first()[0]) or 0
+    splits = max(1, math.ceil(biggest / max_group_rows))
+
+    def vsplit(col):
+        return (F.pmod(F.xxhash64(col), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)).alias("vs")
+
+    s_rows = sym.select(block_of("u", bu).alias("ga"), all_blocks(nbi).alias("c"), vsplit("v"),
+                        F.lit(0).alias("kind"), F.col("u").alias("a"), F.col("v").alias("b"), F.col("cos").alias("w"))
+    r_rows = pairs.select(all_blocks(nbu).alias("ga"), block_of(ITEM_IDX, bi).alias("c"), vsplit(USER_IDX),
+                          F.lit(1).alias("kind"), F.col(USER_IDX).alias("a"), F.col(ITEM_IDX).alias("b"),
                           F.col("rating").cast("double").alias("w"))
-    return s_rows.unionByName(r_rows).groupBy("ga", "c").applyInArrow(_scores_fn, _SCORES)
+    out = s_rows.unionByName(r_rows).groupBy("ga", "c", "vs").applyInArrow(_scores_fn(splits == 1), _SCORES)
+    if splits == 1:
+        return out
+    num = out.groupBy(USER_IDX, ITEM_IDX).agg(F.sum("score").alias("num"))
+    mass = similarity_mass(cos)
+    return num.join(mass, USER_IDX).select(USER_IDX, ITEM_IDX, (F.col("num") / F.col("mass")).alias("score"))
 
 
 # ------------------------------------------------------------------ dense forms

@@ -60,11 +60,12 @@ def test_blocks_and_item_splits_match_brute_force(spark):
         S[u, v] = S[v, u] = c
     num = S @ R
     mass = S.sum(1)
-    got = similarity.neighbour_scores(pairs, cos, block_users=16, block_items=8).collect()
     nz = {(u, i) for u in range(1, n + 1) for i in range(1, m + 1) if num[u, i] > 0}
-    assert len(got) == len(nz)
-    for u, i, s in got:
-        assert abs(s - num[u, i] / mass[u]) < 1e-12
+    for kw in ({"block_users": 16, "block_items": 8}, {"block_users": 16, "block_items": 8, "max_group_rows": 30}):
+        got = similarity.neighbour_scores(pairs, cos, **kw).collect()
+        assert len(got) == len(nz)
+        for u, i, s in got:
+            assert abs(s - num[u, i] / mass[u]) < 1e-12
 
 
 def test_similar_users_excludes_self_and_orders(spark, tiny):
