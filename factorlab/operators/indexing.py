@@ -11,6 +11,8 @@ task:
    (partition id in the upper bits, row number in the lower 33 bits);
 4. per-partition row counts (one row per partition) are turned into running offsets by a
    window over that tiny table, broadcast back (size bound: the partition count).
+
+``dense_indexes`` does this for users and items together in one pass.
 """
 
 from __future__ import annotations
@@ -46,6 +48,42 @@ def dense_index(reviews: DataFrame, column: str, index_column: str,
             .select(column, (F.col("_offset") + F.col("_pos") + 1).cast("int").alias(index_column)))
 
 
+def dense_indexes(reviews: DataFrame, specs: list[tuple[str, str]],
+                  num_partitions: int | None = None) -> list[DataFrame]:
+    """Several dense indexes in one pass: ``specs`` = [(id column, index column), …].
+
+    The ids of all columns are tagged with their spec number and ranked together (one
+    range partitioning, one checkpoint, one count table). The tiny count table, one row per
+    (partition, tag), gives each tag's running offset across partitions and the number of
+    rows of lower tags inside a partition (rows are sorted by tag, then id).
+    """
+    tagged = None
+    for tag, (column, _) in enumerate(specs):
+        part = (reviews.select(F.lit(tag).alias("_tag"), F.col(column).cast("string").alias("_id"))
+                .where(F.col("_id").isNotNull()))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    ids = tagged.distinct()
+    ranged = (ids.repartitionByRange(num_partitions, "_tag", "_id") if num_partitions
+              else ids.repartitionByRange("_tag", "_id"))
+    ranged = cut_lineage(ranged.sortWithinPartitions("_tag", "_id"))
+    local = ranged.select(
+        "_tag", "_id",
+        F.spark_partition_id().alias("_pid"),
+        F.monotonically_increasing_id().alias("_mid"),
+    ).withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    counts = local.groupBy("_pid", "_tag").agg(F.count(F.lit(1)).alias("_n"))
+    earlier_parts = Window.partitionBy("_tag").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    lower_tags = Window.partitionBy("_pid").orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_pid", "_tag",
+        (F.coalesce(F.sum("_n").over(earlier_parts), F.lit(0))
+         - F.coalesce(F.sum("_n").over(lower_tags), F.lit(0))).alias("_shift"))
+    ranked = local.join(F.broadcast(offsets), ["_pid", "_tag"]).select(
+        "_tag", "_id", (F.col("_shift") + F.col("_pos") + 1).cast("int").alias("_idx"))
+    return [ranked.where(F.col("_tag") == tag).select(F.col("_id").alias(column), F.col("_idx").alias(index))
+            for tag, (column, index) in enumerate(specs)]
+
+
 def item_index(reviews: DataFrame, num_partitions: int | None = None) -> DataFrame:
     return dense_index(reviews, ITEM_ID, ITEM_IDX, num_partitions)
 
@@ -76,7 +114,6 @@ def attach_indexes(reviews: DataFrame, items: DataFrame, users: DataFrame) -> Da
 
 
 def index_reviews(reviews: DataFrame, num_partitions: int | None = None):
-    """Clean reviews → (item index, user index, indexed ratings)."""
-    items = item_index(reviews, num_partitions)
-    users = user_index(reviews, num_partitions)
+    """Clean reviews → (item index, user index, indexed ratings); both indexes in one pass."""
+    items, users = dense_indexes(reviews, [(ITEM_ID, ITEM_IDX), (USER_ID, USER_IDX)], num_partitions)
     return items, users, attach_indexes(reviews, items, users)

@@ -30,3 +30,14 @@ def test_entity_counts(spark, tiny):
     items, users, _ = indexing.index_reviews(clean_reviews(tiny))
     row = indexing.entity_counts(items, users).first()
     assert (row["num_distinct_asins"], row["num_distinct_reviewerIDs"]) == (3, 3)
+
+
+def test_combined_indexes_equal_separate_ones(spark):
+    reviews = clean_reviews(ratings_from_orders(spark, SF))
+    for parts in (None, 1, 5):
+        items, users = indexing.dense_indexes(reviews, [("asin", "asin_index"), ("reviewerID", "reviewer_index")], parts)
+        for got, col, idx in ((items, "asin", "asin_index"), (users, "reviewerID", "reviewer_index")):
+            ref = reviews.select(col).distinct().withColumn("ref", F.row_number().over(Window.orderBy(col)))
+            joined = got.join(ref, col)
+            assert got.count() == ref.count() == joined.count()
+            assert joined.where(f"ref != {idx}").count() == 0
