@@ -29,14 +29,35 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app="factorlab-bench")
-    times = {}
+    times, errors = {}, {}
 
     def timed(name, fn):
+        """Time one step; a failing step is recorded (null time + error) and re-raised so
+        the steps depending on it are skipped."""
         t0 = time.time()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as exc:  # noqa: BLE001 - reported in the JSON line
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {exc}"[:300]
+            raise
         times[name] = round(time.time() - t0, 3)
         return out
 
+    try:
+        _steps(spark, sf_dir, timed)
+    except Exception:  # noqa: BLE001 - already recorded by timed()
+        pass
+    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    line = {"metric": "total_sec", "value": round(sum(v for v in times.values() if v), 3), "unit": "sec",
+            "queries": times, "sf": sf}
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
+
+
+def _steps(spark, sf_dir, timed):
+    """The headline steps, in order; later steps reuse earlier results."""
     # 0. first query of a fresh JVM (class loading, code generation): reported on its own
     timed("jvm_warmup", lambda: run(spark.range(100_000).selectExpr("id % 7 AS k").groupBy("k").count()))
 
@@ -82,10 +103,6 @@ def main():
         run(metrics.error_metrics(als_builtin.predict_builtin(m, triples)))
     timed("builtin_als", builtin)
 
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf}))
-
 
 if __name__ == "__main__":
     main()
