@@ -27,7 +27,11 @@ _MEMO: dict = {}
 
 def _base(spark: SparkSession, sf_dir: str) -> dict:
     """Clean reviews, both indexes and the indexed ratings of ``sf_dir`` (memoised)."""
-    key = (id(spark), sf_dir)
+    try:
+        session_key = spark.sparkContext.applicationId   # unique per running context
+    except Exception:  # Spark Connect
+        session_key = id(spark)
+    key = (session_key, sf_dir)
     if key not in _MEMO:
         reviews = clean_reviews(ratings_from_orders(spark, sf_dir))
         items, users, indexed = indexing.index_reviews(reviews)
