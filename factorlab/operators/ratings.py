@@ -1,7 +1,7 @@
 """Rating tables: triples, de-duplicated pairs, per-key lists and dense matrix rows.
 
 The long form ``(reviewer_index, asin_index, rating)`` is the primary representation; the
-list and dense-row forms exist because the reference builds them, and are derived from the
+list and dense-row forms exist because the original workflow builds them, and are derived from the
 de-duplicated pairs so every row is bounded by the number of items (or users).
 """
 
