@@ -95,12 +95,13 @@ def user_index(reviews: DataFrame, num_partitions: int | None = None) -> DataFra
 def entity_counts(items: DataFrame, users: DataFrame) -> DataFrame:
     """One row: number of distinct items and users (exact, from the index tables).
 
-    Each count is a partial+final aggregate; the two one-row results are combined through
-    a join on a constant key so no driver round trip is needed.
+    One partial+final aggregate over the tagged union of both tables; no join.
     """
-    n_items = items.agg(F.count(ITEM_ID).alias("num_distinct_asins")).withColumn("_k", F.lit(1))
-    n_users = users.agg(F.count(USER_ID).alias("num_distinct_reviewerIDs")).withColumn("_k", F.lit(1))
-    return n_items.join(n_users, "_k").drop("_k")
+    tagged = (items.select(F.lit(1).alias("_t"), F.col(ITEM_ID).alias("_id"))
+              .unionByName(users.select(F.lit(2).alias("_t"), F.col(USER_ID).alias("_id"))))
+    return tagged.agg(
+        F.count(F.when(F.col("_t") == 1, F.col("_id"))).alias("num_distinct_asins"),
+        F.count(F.when(F.col("_t") == 2, F.col("_id"))).alias("num_distinct_reviewerIDs"))
 
 
 def attach_indexes(reviews: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:

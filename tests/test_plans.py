@@ -51,3 +51,14 @@ def test_cosine_has_no_self_join(spark):
     plan = _plan(similarity.user_cosine(pairs))
     assert "Join" not in plan           # block groups, not a per-item self join
     assert "Arrow" in plan
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    import __spark_entry__ as entry
+    slow = {"als_fit_k20", "recommend_unseen_als", "mlp_predictions", "mlp_mae", "builtin_als_mse",
+            "builtin_user_factors"}
+    for name, fn in entry.queries().items():
+        if name in slow:
+            continue
+        plan = _plan(fn(spark, SF))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
