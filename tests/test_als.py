@@ -129,3 +129,10 @@ def test_rating_without_factor_is_dropped(spark):
     V = np.array([[0.5, 0.25], [1.0, 0.5]])
     want = np.linalg.solve(V.T @ V + np.eye(2), V.T @ np.array([5.0, 3.0]))
     assert np.abs(X[1] - want).max() < 1e-12
+
+
+def test_id_stats_bounds(spark):
+    dense = spark.createDataFrame([(1, 3, 1.0), (2, 3, 1.0), (2, 1, 1.0)], "u int, i int, r double")
+    assert als.id_stats(dense, "u", "i") == (3, 2, 3)
+    odd = spark.createDataFrame([(-5, 0, 1.0), (-3, 0, 1.0), (-3, 7, 1.0)], "u int, i int, r double")
+    assert als.id_stats(odd, "u", "i") == (3, 2, 2)   # exact distinct counts below 1
