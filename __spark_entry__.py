@@ -8,6 +8,7 @@ DuckDB SQL over the same parquet files; column names match the Spark results.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,20 @@ from factorlab.sources.examples import example_line
 from factorlab.session import cut_lineage
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders
 
+# The training-data subpackage and the pipeline are optional; this is their only guard.
+_LLM = find_spec("factorlab.llm") is not None and find_spec("factorlab.llm.queries") is not None
+if _LLM:
+    from factorlab.llm.queries import ORACLE_SQL as _LLM_ORACLES
+    from factorlab.llm.queries import QUERIES as _LLM_QUERIES
+else:
+    _LLM_ORACLES, _LLM_QUERIES = {}, {}
+if _LLM and find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline
+
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_ORACLES = {**_LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 _MEMO: dict = {}
@@ -496,6 +511,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dot_baseline_mae": q_dot_baseline_mae,
         "mlp_predictions": q_mlp_predictions,
         "mlp_mae": q_mlp_mae,
+        **_LLM_QUERIES,
     }
 
 
@@ -583,6 +599,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN scores s ON s.reviewer_index = u.reviewer_index AND s.asin_index = g.pos""",
         "parse_examples": _PRED + f"SELECT {2 * PRED_K} AS width, overall AS label, round(predicted_overall, 9) AS dot FROM pred",
         "dot_baseline_mae": _PRED + "SELECT round(avg(abs(predicted_overall - overall)), 9) AS mae FROM pred",
+        **_LLM_ORACLES,
     }
 
 
