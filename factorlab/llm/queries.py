@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from factorlab.llm import simhash
+from factorlab.llm import linededup, simhash
 
 QUERIES = {
     "op4_simhash_trie": simhash.query,
+    "op8_deletion_neighbourhood": linededup.query,
 }
 
 #: No operator of this list can be written in SQL as a whole; each is tested against a
