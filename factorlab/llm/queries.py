@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from factorlab.llm import linededup, simhash
+from factorlab.llm import linededup, quality, simhash
 
 QUERIES = {
     "op4_simhash_trie": simhash.query,
     "op8_deletion_neighbourhood": linededup.query,
+    "op10_empirical_bayes": quality.query,
 }
 
 #: No operator of this list can be written in SQL as a whole; each is tested against a
