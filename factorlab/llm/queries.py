@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from factorlab.llm import linededup, quality, simhash
+from factorlab.llm import decontaminate, linededup, quality, simhash
 
 QUERIES = {
+    "op1_template_decontamination": decontaminate.query,
     "op4_simhash_trie": simhash.query,
     "op8_deletion_neighbourhood": linededup.query,
     "op10_empirical_bayes": quality.query,
