@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from factorlab.llm import decontaminate, linededup, quality, simhash
+from factorlab.llm import decontaminate, linededup, packing, quality, simhash
 
 QUERIES = {
     "op1_template_decontamination": decontaminate.query,
+    "op3_column_generation": packing.query,
     "op4_simhash_trie": simhash.query,
     "op8_deletion_neighbourhood": linededup.query,
     "op10_empirical_bayes": quality.query,
