@@ -101,12 +101,16 @@ def _one_word_apart(a: Column, b: Column) -> Column:
 
 def _neighbours(texts: DataFrame) -> DataFrame:
     """``(place, partner)``: the earliest earlier line one word apart from each line."""
-    hashed = texts.select("place", F.transform("words", lambda w: F.xxhash64(w)).alias("w"))
-    variants = hashed.select("place", F.posexplode(F.transform(
+    hashed = texts.select("place.h1", F.transform("words", lambda w: F.xxhash64(w)).alias("w"))
+    variants = hashed.select("h1", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.size("w")),
         lambda i: F.when(i == 0, F.xxhash64("w")).otherwise(
             F.xxhash64(F.slice("w", 1, i - 1), F.slice("w", i + 1, F.size("w")))))).alias("gone", "key"))
     variants = written(variants, "variants")
+    shared = (variants.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+              .filter("lo <> hi").select("key"))
+    variants = written(variants.join(shared, "key", "left_semi").join(
+        texts.select(F.col("place.h1").alias("h1"), "place"), "h1").select("key", "gone", "place"), "shared-variants")
     by_gap = variants.groupBy("key", "gone").agg(F.min("place").alias("least"), F.max("place").alias("most"))
     by_key = by_gap.groupBy("key").agg(
         F.min(F.when(F.col("gone") == 0, F.col("least"))).alias("whole"),
