@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from factorlab.session import ensure_checkpoint_dir
@@ -41,6 +43,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def byte_slices(batches: Iterable[pa.RecordBatch], column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches where the strings of ``column`` reach ``max_bytes`` (one row at least)."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            reached = (ends[start - 1] if start else 0) + max_bytes
+            stop = max(start + 1, int(np.searchsorted(ends, reached, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def as_bytes(column: pa.Array) -> list:
     """UTF-8 bytes of a string column, nulls as None, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -24,10 +24,11 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import read_documents, sized_partitions, slices, written
+from factorlab.llm.common import byte_slices, read_documents, sized_partitions, written
 
 LENGTH = 2048
 END_ID = 1
@@ -36,38 +37,50 @@ STEP = 8
 GAP = 2e-3
 #: Pricing rounds at most (the work of the program does not depend on the data size).
 ROUNDS = 1500
-#: Distinct words remembered by a worker in each of two generations.
-CACHE_WORDS = 400_000
+#: Distinct words (and blank-separated parts) remembered by a worker in each of two generations.
+CACHE_WORDS = 300_000
+#: Text bytes tokenized in one step.
+BATCH_BYTES = 8 << 20
 
 
 # ------------------------------------------------------------------ tokens
 
 #: Texts made of these characters only are split here; any other goes to the tokenizer whole.
-_SIMPLE = re.compile(r"[\x00-\x7f\xa0-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\xff‘’“”–—…]*")
+_SIMPLE = re.compile(r"[\x00-\x1b\x20-\x7f\xa0-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\xff‘’“”–—…]*")
 #: The word pattern of the vocabulary file over those characters, on lower-case text.
-_WORDS = re.compile(r"[a-zµß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zµß-öø-ÿ0-9]+")
+_WORDS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+")
 
 
-class Cache(dict):
-    """Word -> ids, in two generations: words used again outlive a change of generation."""
+class Cache:
+    """Text -> ids in two generations: entries used again outlive a change of generation."""
 
-    def __init__(self):
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        self[word] = ids = self.older[word]
-        return ids
-
-    def age(self) -> None:
-        self.older = dict(self)
-        self.clear()
+    def get(self, keys: list[str], make) -> list[bytes]:
+        """Ids of every key; ``make`` gives those of a list of unknown ones."""
+        found = list(map(self.young.get, keys))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if gaps:
+            again = list(map(self.older.get, [keys[i] for i in gaps]))
+            new = [keys[i] for i, ids in zip(gaps, again) if ids is None]
+            fresh = dict(zip(new, make(new)))
+            for i, ids in zip(gaps, again):
+                found[i] = fresh[keys[i]] if ids is None else ids
+            if len(self.young) + len(gaps) > self.size:
+                self.older, self.young = self.young, {}
+            self.young.update((keys[i], found[i]) for i in gaps)
+        return found
 
 
 class WordTokens:
-    """Ids of whole texts, as little-endian uint32 bytes, for a vocabulary with word ends.
+    """Ids of whole texts, as uint32 arrays, for a vocabulary with word ends.
 
-    Words are merged independently of each other, so the ids of a text are those of its words
-    one after another. Words seen before come from a cache.
+    The vocabulary file's words are merged independently of each other and white space is dropped,
+    so the ids of a text are those of its blank-separated parts one after another. The
+    distinct parts of a batch are looked up (or tokenized once) and their ids gathered.
     """
 
     def __init__(self, path: str):
@@ -81,36 +94,48 @@ class WordTokens:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.cache = Cache()
+        self.words, self.parts = Cache(CACHE_WORDS), Cache(CACHE_WORDS)
 
     def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
+    def _tokenize(self, words: list[str]) -> list[bytes]:
+        found = []
         for batch in itertools.batched(words, 2000):
             ids = self._plain(" ".join(batch))
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(batch) and (not len(ids) or stops[-1] == len(ids)):
-                parts = np.split(ids, stops[:-1])
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) == len(batch) and stops[-1] == 4 * len(ids):
+                data = ids.tobytes()
+                found += [data[a:b] for a, b in itertools.pairwise([0, *stops.tolist()])]
             else:   # a word that splits again: one by one
-                parts = [self._plain(w) for w in batch]
-            self.cache.update(zip(batch, (p.tobytes() for p in parts)))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for text in texts:
-            text = text or ""
-            simple = _SIMPLE.fullmatch(text) and not any(s in text for s in self.special)
-            split.append(_WORDS.findall(text.lower()) if simple else text)
-        words = set()
-        for s in split:
-            if isinstance(s, list):
-                words.update(s)
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.age()
-        self._learn(list(words - self.cache.keys() - self.cache.older.keys()))
-        return [b"".join(map(self.cache.__getitem__, s)) if isinstance(s, list) else self._plain(s).tobytes()
-                for s in split]
+                found += [self._plain(w).tobytes() for w in batch]
+        return found
+
+    def _split(self, parts: list[str]) -> list[bytes]:
+        split = [_WORDS.findall(p) for p in parts]
+        words = list(set().union(*split))
+        ids = dict(zip(words, self.words.get(words, self._tokenize)))
+        return [ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s]) for s in split]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        texts = [t or "" for t in texts]
+        simple = [bool(_SIMPLE.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
+        lists = pc.utf8_split_whitespace(pa.array([t.lower() if s else "" for t, s in zip(texts, simple)], pa.large_string()))
+        coded = lists.values.dictionary_encode()
+        known = self.parts.get(coded.dictionary.to_pylist(), self._split)
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        pool, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        index = coded.indices.to_numpy()
+        counts = sizes[index]
+        before = np.r_[0, np.cumsum(counts, dtype=np.int64)]
+        shift = first[index] - before[:-1]
+        if before[-1] < 1 << 31:
+            shift = shift.astype(np.int32)
+        place = np.repeat(shift, counts)
+        place += np.arange(len(place), dtype=place.dtype)
+        ids = pool[place]
+        bounds = before[lists.offsets.to_numpy()]
+        return [ids[a:b] if s else self._plain(t) for t, s, (a, b) in zip(texts, simple, itertools.pairwise(bounds.tolist()))]
 
 
 _LOADED: dict[str, WordTokens] = {}
@@ -125,18 +150,17 @@ def word_tokens(path: str) -> WordTokens:
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens)``: full sequences and the rest of each row."""
-    end = np.array([END_ID], "<u4").tobytes()
+    end = np.array([END_ID], "<u4")
 
     def run(batches):
         tokens = word_tokens(path)
-        for part in slices(batches, 64):
+        for part in byte_slices(batches, 1, BATCH_BYTES):
             rows = []
             for doc, ids in zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist())):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    cut = ids[4 * start:4 * (start + length)]
-                    rows.append((doc, start, len(cut) // 4, zlib.crc32(cut), total))
+                ids = np.concatenate([ids, end])
+                for start in range(0, len(ids), length):
+                    cut = ids[start:start + length]
+                    rows.append((doc, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes()), len(ids)))
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
