@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from factorlab.llm import decontaminate, langid, linededup, packing, quality, simhash, warc
+from factorlab.llm import chat, decontaminate, langid, linededup, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_template_decontamination": decontaminate.query,
     "op2_compression_langid": langid.query,
     "op3_column_generation": packing.query,
     "op4_simhash_trie": simhash.query,
+    "op5_reply_trees": chat.query,
     "op8_deletion_neighbourhood": linededup.query,
     "op9_splittable_warc": warc.query,
     "op10_empirical_bayes": quality.query,
