@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factorlab.llm import ann, chat, decontaminate, langid, linededup, packing, quality, simhash, warc
+from factorlab.llm import ann, chat, decontaminate, langid, linededup, packing, pii, quality, simhash, warc
 
 QUERIES = {
     "op1_template_decontamination": decontaminate.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash_trie": simhash.query,
     "op5_reply_trees": chat.query,
     "op6_kmeans_tree": ann.query,
+    "op7_keyed_surrogates": pii.query,
     "op8_deletion_neighbourhood": linededup.query,
     "op9_splittable_warc": warc.query,
     "op10_empirical_bayes": quality.query,
