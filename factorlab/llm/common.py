@@ -8,7 +8,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factorlab.session import ensure_checkpoint_dir
 
@@ -36,6 +37,23 @@ def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
     return docs.select(*columns) if columns else docs
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not use, one for each of ``names``."""
+    used = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most ``rows`` rows."""
     for batch in batches:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import read_documents, slices, written
+from factorlab.llm.common import read_documents, slices, spare, written
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -225,8 +225,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that no item contaminates; all columns stay."""
-    gone = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    (key,) = spare(docs, "key")
+    gone = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

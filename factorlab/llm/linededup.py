@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import read_documents, written
+from factorlab.llm.common import own_columns, read_documents, spare, written
 
 #: Lines shorter than this many words are only matched exactly.
 FUZZY_WORDS = 8
@@ -155,13 +155,14 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the duplicate lines taken out of the text; every row and column stays."""
-    gone = (duplicate_lines(docs, id_col, text_col, **options).groupBy("doc_id")
-            .agg(F.collect_list("line_key").alias("_gone")).withColumnRenamed("doc_id", "_id"))
-    lines = F.filter(F.split(text_col, "\n"),
-                     lambda line, i: ~F.array_contains("_gone", _line_key(i, line)))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("_id")), "left")
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    key, keys = spare(docs, "key", "keys")
+    gone = (duplicate_lines(docs, id_col, text_col, **options).groupBy(F.col("doc_id").alias(key))
+            .agg(F.collect_list("line_key").alias(keys)))
+    source = F.col(text_col).cast("string")
+    lines = F.filter(F.split(source, "\n"), lambda line, i: ~F.array_contains(keys, _line_key(i, line)))
+    text = F.when(F.col(keys).isNull(), source).otherwise(F.array_join(lines, "\n")).alias(text_col)
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)), "left")
+    return joined.select(*[text if name == text_col else column for name, column in zip(docs.columns, own_columns(docs))])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@
 4. Texts are rewritten in one pass without a shuffle of the texts.
 
 Defined cases: null text stays null, with no entities; an empty text stays empty; repeated rows are
-rewritten alike; null doc_ids too (with the joined exceptions as one document). All other columns stay.
+rewritten alike; null doc_ids too (with the joined exceptions as one document). All other columns stay; a
+column named ``entities`` is replaced.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from factorlab.llm.common import read_documents, slices, written
+from factorlab.llm.common import own_columns, read_documents, slices, spare, written
 
 BROADCAST_ROWS = 100_000
 MAX_ATTEMPTS = 50
@@ -322,21 +324,26 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     moved = written(table.filter("attempt > 0").select("kind", "canonical", "attempt"), "exceptions")
     few = moved.count() <= broadcast_rows
     everywhere = {(r["kind"], r["canonical"]): r["attempt"] for r in moved.collect()} if few else {}
-    source = docs.withColumn("_text", F.col(text_col).cast("string"))
+    key_id, moves = spare(docs, "key_id", "moves")
+    kept = [(f, c) for f, c in zip(docs.schema.fields, own_columns(docs)) if f.name not in (text_col, "entities")]
+    names = [f.name for f, _ in kept]
+    source = docs
     if few:
-        source = source.withColumn("_moved", F.lit(None).cast("array<struct<kind:string,canonical:string,attempt:int>>"))
+        source = source.withColumn(moves, F.lit(None).cast("array<struct<kind:string,canonical:string,attempt:int>>"))
     else:
-        by_doc = (found.join(moved, ["kind", "canonical"]).groupBy(F.col("doc_id").alias("_id"))
-                  .agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("_moved")))
-        source = source.join(by_doc, docs[id_col].eqNullSafe(F.col("_id")), "left").drop("_id")
-    names = [c for c in docs.columns if c != text_col]
-    source = source.select(*[docs[c] for c in names], "_text", "_moved")
+        by_doc = (found.join(moved, ["kind", "canonical"]).groupBy(F.col("doc_id").alias(key_id))
+                  .agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias(moves)))
+        source = source.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col(key_id)), "left")
+    # plain names inside the Arrow pass: the caller's may hold dots
+    plain = [f"c{i}" for i in range(len(names))]
+    source = source.select(*[c.alias(n) for n, (_, c) in zip(plain, kept)],
+                           F.col(text_col).cast("string").alias("new_text"), F.col(moves).alias("moves"))
 
     def run(batches):
         memo = {}
         for part in slices(batches):
             texts, spans = [], []
-            for text, own in zip(part.column("_text").to_pylist(), part.column("_moved").to_pylist()):
+            for text, own in zip(part.column(len(names)).to_pylist(), part.column(len(names) + 1).to_pylist()):
                 if text is None:
                     texts.append(None)
                     spans.append([])
@@ -348,10 +355,12 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
             kind = pa.list_(pa.struct([("type", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
             keep = [part.column(c) for c in range(len(names))]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(texts, pa.string()), pa.array(spans, kind)],
-                                             [*names, text_col, "entities"])
+                                             [*plain, "new_text", "entities"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:len(names)]]
-    return source.mapInArrow(run, ", ".join([*fields, f"`{text_col}` string", "entities array<struct<type:string,start:int,stop:int>>"]))
+    spans = ArrayType(StructType([StructField("type", StringType()), StructField("start", IntegerType()), StructField("stop", IntegerType())]))
+    schema = StructType([*(StructField(n, f.dataType) for n, (f, _) in zip(plain, kept)),
+                         StructField("new_text", StringType()), StructField("entities", spans)])
+    return source.mapInArrow(run, schema).toDF(*names, text_col, "entities")
 
 
 #: Key of the registered query; a real run passes its own secret.

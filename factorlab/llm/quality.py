@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import read_documents, slices, written
+from factorlab.llm.common import read_documents, slices, spare, written
 
 WORD = re.compile(r"\w+")
 SHAPES = ("upper", "symbols", "pipes", "digits", "distinct", "repeats", "word_length", "line_length", "words")
@@ -264,9 +264,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     Repeated rows of a doc_id go together (a doc_id goes if any of its rows is rejected); rows
     without doc_id can't be named by a decision and stay.
     """
+    (key,) = spare(docs, "key")
     gone = classify(docs, labels, **options).filter("NOT keep AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+        F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import as_bytes, read_documents, sized_partitions, slices, written
+from factorlab.llm.common import as_bytes, own_columns, read_documents, sized_partitions, slices, spare, written
 from factorlab.llm.components import connected_components
 
 BITS = 64
@@ -288,21 +288,22 @@ def keep_first(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_bits
     """
     prints = written(fingerprints(docs, words_per_shingle=words_per_shingle), "fingerprints")
     groups = components(prints, max_bits, **options)
+    key, rows, own = spare(docs, "key", "rows", "own")
     winners = (prints.join(groups, "fp").filter("doc_id = component_id")
-               .groupBy("doc_id").agg(F.count("*").alias("_rows")).withColumnRenamed("doc_id", "_id"))
-    columns = [docs[c] for c in docs.columns]
-    chosen = docs.join(winners, F.col("doc_id") == F.col("_id"))
-    kept = chosen.filter("_rows = 1").select(*columns).unionByName(
-        chosen.filter("_rows > 1").select(*columns).dropDuplicates(["doc_id"]))
+               .groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(rows)))
+    chosen = docs.join(winners, F.col("doc_id").cast("long") == F.col(key))
+    kept = chosen.filter(F.col(rows) == 1).select(*own_columns(docs)).unionByName(
+        chosen.filter(F.col(rows) > 1).dropDuplicates([key]).select(*own_columns(docs)))
 
     @F.pandas_udf("long")
     def print_of(texts: pd.Series) -> pd.Series:
         values = [fingerprint(None if t is None else t.encode(), words_per_shingle) for t in texts]
         return pd.Series(np.array(values, np.uint64).view(np.int64))
 
-    unnamed = docs.filter("doc_id IS NULL").withColumn("_fp", print_of("text"))
-    unnamed = unnamed.join(groups.filter("component_id IS NULL"), F.col("_fp") == F.col("fp"))
-    return kept.unionByName(unnamed.dropDuplicates(["root"]).select(*docs.columns))
+    unnamed = docs.filter("doc_id IS NULL").withColumn(own, print_of(F.col("text").cast("string")))
+    nobody = groups.filter("component_id IS NULL").select(F.col("fp").alias(key), F.col("root").alias(rows))
+    unnamed = unnamed.join(nobody, F.col(own) == F.col(key)).dropDuplicates([rows])
+    return kept.unionByName(unnamed.select(*own_columns(docs)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
