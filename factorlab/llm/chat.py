@@ -72,10 +72,12 @@ def ancestor_tables(messages: DataFrame) -> list[DataFrame]:
         now = tables[-1]
         above = now.select("tree", F.col("id").alias("up"), F.col("up").alias("far"), F.col("step").alias("more"),
                            F.col("score").alias("rest"))
-        doubled = now.join(above, ["tree", "up"], "left").select(
+        # messages that have reached their root take no further part in the join
+        doubled = now.filter("up IS NOT NULL").join(above, ["tree", "up"], "left").select(
             "tree", "id", F.col("far").alias("up"), (F.col("step") + F.coalesce("more", F.lit(0))).alias("step"),
             (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))
-        tables.append(written(doubled, f"links-{len(tables)}"))
+        arrived = now.filter("up IS NULL").select("tree", "id", "up", "step", "score")
+        tables.append(written(doubled.unionByName(arrived), f"links-{len(tables)}"))
     return tables
 
 
