@@ -34,7 +34,6 @@ from factorlab.llm.common import shared_folder, slices, written
 MIN_REVISIT = 100
 RANGE_BYTES = 8 << 20
 CHUNK = 1 << 20
-ROWS_PER_ARCHIVE = 50_000
 DATE = "2024-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -149,9 +148,8 @@ def with_references(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFra
     return base.join(firsts, F.col("digest") == F.col("_digest"), "left").select("page_id", "url", "html", "digest", refers)
 
 
-def write_archives(pages: DataFrame, folder: str, rows_per_archive: int = ROWS_PER_ARCHIVE,
-                   min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """Write all pages as archives below ``folder``; returns ``(path, bytes, records)``."""
+def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT) -> DataFrame:
+    """Write all pages as archives below ``folder``, one per task; returns ``(path, bytes, records)``."""
     def run(batches):
         system, path = open_folder(folder)
         name = f"pages-{uuid.uuid4().hex}.warc.gz"
@@ -167,11 +165,8 @@ def write_archives(pages: DataFrame, folder: str, rows_per_archive: int = ROWS_P
             sink.close()
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "bytes": [size], "records": [count]})
 
-    rows = pages.count()
-    parts = max(1, -(-rows // rows_per_archive))
-    spread = with_references(pages, min_revisit).repartition(max(parts, pages.sparkSession.sparkContext.defaultParallelism)
-                                                             if rows >= rows_per_archive else parts)
-    return written(spread.mapInArrow(run, "path string, bytes long, records long"), "archives")
+    records = with_references(pages, min_revisit)
+    return written(records.mapInArrow(run, "path string, bytes long, records long"), "archives")
 
 
 def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
