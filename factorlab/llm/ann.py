@@ -94,14 +94,16 @@ class Tree:
 
 
 def _kmeans(vectors: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    # einsum: plain loops; the driver's threaded BLAS stalls when other processes hold the cores
+    nearest = lambda c: np.einsum("ij,kj->ik", vectors, c).argmax(axis=1)
     centres = vectors[rng.choice(len(vectors), k, replace=False)]
     for _ in range(rounds):
-        near = (vectors @ centres.T).argmax(axis=1)
+        near = nearest(centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, vectors)
         norms = np.sqrt((sums * sums).sum(axis=1))
         centres = np.where(norms[:, None] > 1e-12, sums / np.maximum(norms, 1e-12)[:, None], centres)
-    return centres, (vectors @ centres.T).argmax(axis=1)
+    return centres, nearest(centres)
 
 
 def grow(sample: np.ndarray, leaves: int, branching: int = BRANCHING, seed: int = 7) -> Tree:

@@ -37,6 +37,8 @@ STEP = 8
 GAP = 2e-3
 #: Pricing rounds at most (the work of the program does not depend on the data size).
 ROUNDS = 1500
+#: Smallest pivot of a basis change.
+PIVOT = 1e-7
 #: Distinct words (and blank-separated parts) remembered by a worker in each of two generations.
 CACHE_WORDS = 300_000
 #: Text bytes tokenized in one step.
@@ -215,6 +217,24 @@ def _first_basis(widths: np.ndarray, need: np.ndarray, length: int) -> tuple[np.
     return basis, times
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray | None:
+    """Gauss-Jordan with row pivots; None if singular. Plain array steps: the driver's threaded BLAS isn't needed
+    for a few hundred rows and stalls when other processes hold the cores."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for k in range(n):
+        pivot = k + int(np.abs(both[k:, k]).argmax())
+        if pivot != k:
+            both[[k, pivot]] = both[[pivot, k]]
+        if abs(both[k, k]) < 1e-9:
+            return None
+        both[k] /= both[k, k]
+        rows = np.flatnonzero(both[:, k])
+        rows = rows[rows != k]
+        both[rows] -= both[rows, k][:, None] * both[k]
+    return both[:, n:].copy()
+
+
 def solve(widths: np.ndarray, counts: np.ndarray, length: int, gap: float = GAP,
           rounds: int = ROUNDS) -> list[tuple[int, np.ndarray]]:
     """``(times, pattern)`` covering ``counts`` exactly, nearly as few sequences as possible.
@@ -227,9 +247,9 @@ def solve(widths: np.ndarray, counts: np.ndarray, length: int, gap: float = GAP,
     if not len(widths):
         return []
     basis, times = _first_basis(widths, need, length)
-    inverse = np.linalg.inv(basis)
+    inverse = _inverse(basis)
     centre = widths / length
-    bound = float(centre @ need)
+    bound = float((centre * need).sum())
     for turn in range(rounds):
         if times.sum() <= (1 + gap) * bound:
             break
@@ -237,14 +257,15 @@ def solve(widths: np.ndarray, counts: np.ndarray, length: int, gap: float = GAP,
         for smooth in (0.9, 0.5, 0.0):
             prices = np.maximum(smooth * centre + (1 - smooth) * duals, 0)
             worth, pattern = price(widths, prices, length)
-            if prices @ need / max(worth, 1) > bound:   # Farley's bound
-                bound, centre = float(prices @ need / max(worth, 1)), prices / max(worth, 1)
-            if duals @ pattern > 1 + 1e-9:
+            below = float((prices * need).sum()) / max(worth, 1)   # Farley's bound
+            if below > bound:
+                bound, centre = below, prices / max(worth, 1)
+            if (duals * pattern).sum() > 1 + 1e-9:
                 break
         else:
             break
-        direction = inverse @ pattern
-        ratio = np.where(direction > 1e-10, times / np.maximum(direction, 1e-10), np.inf)
+        direction = (inverse * pattern).sum(axis=1)
+        ratio = np.where(direction > PIVOT, times / np.maximum(direction, PIVOT), np.inf)
         out = int(np.argmin(ratio))
         if not np.isfinite(ratio[out]):
             break
@@ -255,15 +276,18 @@ def solve(widths: np.ndarray, counts: np.ndarray, length: int, gap: float = GAP,
         row = inverse[out] / direction[out]
         inverse -= np.outer(direction, row)
         inverse[out] = row
-        if turn % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            times = np.maximum(inverse @ need, 0)
+        if turn % 50 == 49:
+            exact = _inverse(basis)
+            if exact is None:
+                break
+            inverse = exact
+            times = np.maximum((inverse * need).sum(axis=1), 0)
     whole = np.floor(times + 1e-9).astype(np.int64)
     chosen = []
     for j in np.argsort(-times, kind="stable").tolist():
         column = np.round(basis[:, j]).astype(np.int64)
         if column.any():
-            use = min(int(whole[j]), int((need[column > 0] // column[column > 0]).min()))
+            use = min(max(0, int(whole[j])), int((need[column > 0] // column[column > 0]).min()))
             if use:
                 chosen.append((use, column))
                 need = need - use * column
