@@ -2,8 +2,8 @@
 
 Brackets, parentheses and spaces are stripped, the rest is split on commas and each piece
 is cast with ``try_cast`` (NULL when not a number). The last value is the label, the rest
-are the features. Lines whose pieces are not all numbers, or whose width differs from
-the expected one, are rejected. Runs as native expressions.
+are the features. Lines whose pieces are not all finite numbers, or whose width differs
+from the expected one, are rejected. Runs as native expressions.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def parse_examples(lines: DataFrame, width: int | None = None, column: str = "va
     vals = vals.select(
         "_v",
         F.size("_v").alias("n_values"),
-        F.forall("_v", lambda x: x.isNotNull()).alias("_numeric"),
+        F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))).alias("_numeric"),
     )
     if width is None:
         top = (vals.where("_numeric AND n_values > 1").groupBy("n_values").count()

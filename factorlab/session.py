@@ -7,6 +7,7 @@ tests, the bench and the driver entry points.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +76,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     last stage (which may be a Python stage), then released.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    if df.is_cached:                # the caller's own cache: use it and leave it alone
+        return df.checkpoint(eager=True)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as Parquet into the shared folder; the re-read table and its path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/staged/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more (any Hadoop file system)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

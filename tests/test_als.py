@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from factorlab.session import cut_lineage
 from factorlab.operators import als, indexing, ratings
 from factorlab.sources.reviews import clean_reviews
 
@@ -87,8 +88,8 @@ def test_objective_never_increases(spark):
         prev = obj
 
 
-def test_sort_merge_fallback_path(spark):
-    """Factor tables over the broadcast bound: sort-merge join, then regroup by (key, salt)."""
+def test_large_factor_path(spark):
+    """Factor tables over the broadcast bound are shipped to the rating slices."""
     rng = np.random.default_rng(2)
     u, i = rng.integers(1, 25, 300), rng.integers(1, 20, 300)
     u[:100] = 3
@@ -97,22 +98,47 @@ def test_sort_merge_fallback_path(spark):
     assert model.max_users == 24 or model.max_users == int(u.max())
 
 
-def test_plan_has_no_rating_shuffle_when_broadcast(spark):
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_half_step_moves_no_rating(spark, broadcast_bytes):
     rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"reviewer_index": rng.integers(1, 20, 100).astype("int32"),
-                        "asin_index": rng.integers(1, 15, 100).astype("int32"),
-                        "overall": rng.integers(1, 6, 100).astype(float)})
-    keyed = als.prepare_keyed(spark.createDataFrame(pdf), "reviewer_index", "asin_index")
-    from pyspark.sql import functions as F
-
-    from factorlab.session import cut_lineage
-    Y = cut_lineage(als.initial_factors(spark.createDataFrame(pdf), "asin_index", 3))
-    factors = Y.select(F.col("id").alias("asin_index"), F.col("features").alias("_v"))
-    joined = keyed.df.join(F.broadcast(factors), "asin_index")
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    # the only exchange is the broadcast of the factor side
-    assert "Exchange hashpartitioning" not in plan
+    df = spark.createDataFrame(pd.DataFrame({"reviewer_index": rng.integers(1, 20, 100).astype("int32"),
+                                             "asin_index": rng.integers(1, 15, 100).astype("int32"),
+                                             "overall": rng.integers(1, 6, 100).astype(float)}))
+    keyed = als.prepare_keyed(df, "reviewer_index", "asin_index", max_rows_per_group=200)
+    Y = cut_lineage(als.initial_factors(df, "asin_index", 3))
+    keyed.links()
+    plan = als.half_step(keyed, Y, 3, 1.0, broadcast_bytes, checkpoint=False)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line and "_nsalt" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    level = depth(lines[scan])
+    for line in reversed(lines[:scan]):          # the nodes above the ratings, up to the root
+        if depth(line) < level:
+            level = depth(line)
+            assert "Exchange" not in line and not line.lstrip(" :+-*()0123456789").startswith("Sort "), plan
+
+
+def test_hot_limit_does_not_grow_with_the_table(spark):
+    pdf = pd.DataFrame({"u": np.repeat([1, 2, 3], [5000, 300, 7]).astype("int32"), "overall": 1.0})
+    pdf["i"] = np.arange(len(pdf), dtype="int32") + 1
+    df = spark.createDataFrame(pdf)
+    keyed = als.prepare_keyed(df, "u", "i", max_rows_per_group=200, stats=(10 ** 12, 3, len(pdf)), num_partitions=4)
+    groups = {(r["u"], r["_salt"]): r["count"] for r in keyed.df.groupBy("u", "_salt").count().collect()}
+    assert max(groups.values()) <= 2 * 200 and len([g for g in groups if g[0] == 1]) == 25
+
+
+def test_fit_keeps_a_constant_number_of_tables(spark):
+    from pathlib import Path
+
+    from factorlab.session import ensure_checkpoint_dir
+    df = spark.createDataFrame([(1, 1, 5.0), (2, 1, 3.0), (2, 2, 4.0)], "reviewer_index int, asin_index int, overall double")
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "staged"
+    counts = []
+    for epochs in (1, 4):
+        before = set(folder.glob("*")) if folder.exists() else set()
+        als.fit(df, k=2, epochs=epochs)
+        counts.append(len(set(folder.glob("*")) - before))
+    assert counts == [2, 2]
 
 
 def test_rating_without_factor_is_dropped(spark):
