@@ -1,7 +1,7 @@
 """Vector expressions on ``array<double>`` columns, evaluated inside the JVM.
 
-All of these are higher-order functions (``zip_with``, ``aggregate``, ``transform``), so
-they stay in whole-stage code generation; no Python runs per row.
+All of these are higher-order functions (``zip_with``, ``aggregate``, ``transform``), which
+Spark evaluates in the JVM, interpreted, outside whole-stage code generation; no Python runs per row.
 """
 
 from __future__ import annotations

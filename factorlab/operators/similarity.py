@@ -4,8 +4,8 @@
     score(u, i) = Σ_v cos(u, v) r_vi / Σ_v cos(u, v)     (all users v, u itself included)
 
 Both are sparse matrix products (R Rᵀ and S R). They are computed block-wise, never by a
-per-item self join: users are cut into contiguous index blocks, each rating row is
-replicated once per block it must meet (a fan-out equal to the block count), and one
+per-item self join: users are cut into contiguous index blocks, each rating row goes
+to the blocks that hold a partner (a rater of its item; at most that many copies), and one
 Arrow call (``applyInArrow``) per block group accumulates the products into a dense block-sized array with
 ``numpy.bincount``. Work inside a group is the number of co-rating contributions of that
 block pair; memory is bounded by the block sizes. When the rows of a block pair exceed
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factorlab.functions.vectors import scatter_dense
-from factorlab.operators.blocks import all_blocks, block_of, max_id
+from factorlab.operators.blocks import block_of, max_id
 from factorlab.schemas import ITEM_IDX, USER_IDX
 
 _PAIR_CHUNK = 8_000_000
@@ -69,15 +69,8 @@ def _block_size(n: int, target_blocks: int, lo: int, hi: int) -> int:
 
 # ------------------------------------------------------------------ cosine
 
-_COS = T.StructType([
-    T.StructField("u", T.IntegerType()),
-    T.StructField("v", T.IntegerType()),
-    T.StructField("dot", T.DoubleType()),
-    T.StructField("cos", T.DoubleType()),
-])
-
-
-_COS_ARROW = pa.schema([("u", pa.int32()), ("v", pa.int32()), ("dot", pa.float64()), ("cos", pa.float64())])
+_DOTS = "u int, v int, dot double"
+_DOTS_ARROW = pa.schema([("u", pa.int32()), ("v", pa.int32()), ("dot", pa.float64())])
 
 
 def _np(table: pa.Table, name: str, dtype=None) -> np.ndarray:
@@ -85,39 +78,32 @@ def _np(table: pa.Table, name: str, dtype=None) -> np.ndarray:
     return arr.astype(dtype, copy=False) if dtype is not None else arr
 
 
-def _cosine_fn(with_norms: bool):
+def _dots(table: pa.Table) -> pa.Table:
     """``applyInArrow`` body for one (block, block, item split) group."""
-    def run(table: pa.Table) -> pa.Table:
-        if table.num_rows == 0:
-            return _COS_ARROW.empty_table()
-        ga, gb = int(table.column("ga")[0].as_py()), int(table.column("gb")[0].as_py())
-        blk, u, i = _np(table, "blk"), _np(table, "u"), _np(table, "i")
-        r = _np(table, "r", np.float64)
-        in_a = blk == ga
-        in_b = in_a if ga == gb else blk == gb
-        ua_rows, ub_rows = u[in_a], u[in_b]
-        order = np.argsort(i[in_b], kind="stable")
-        ib_sorted, ub_rows, rb = i[in_b][order], ub_rows[order], r[in_b][order]
-        ra = r[in_a]
-        ua, ub = np.unique(ua_rows), np.unique(ub_rows)
-        la, lb = np.searchsorted(ua, ua_rows), np.searchsorted(ub, ub_rows)
-        acc = np.zeros(len(ua) * len(ub))
-        for ia, ib in ragged_pairs(i[in_a], ib_sorted):
-            acc += np.bincount(la[ia] * len(ub) + lb[ib], weights=ra[ia] * rb[ib], minlength=acc.size)
-        acc = acc.reshape(len(ua), len(ub))
-        if ga == gb:
-            acc = np.triu(acc)
-        rr, cc = np.nonzero(acc)
-        dots = acc[rr, cc]
-        if with_norms:
-            na = np.bincount(la, weights=ra * ra, minlength=len(ua))
-            nb = np.bincount(lb, weights=rb * rb, minlength=len(ub))
-            cos = dots / (np.sqrt(na[rr]) * np.sqrt(nb[cc]))
-        else:
-            cos = np.full(len(dots), np.nan)
-        return pa.Table.from_arrays([pa.array(ua[rr].astype(np.int32)), pa.array(ub[cc].astype(np.int32)),
-                                     pa.array(dots), pa.array(cos)], schema=_COS_ARROW)
-    return run
+    if table.num_rows == 0:
+        return _DOTS_ARROW.empty_table()
+    ga, gb = int(table.column("ga")[0].as_py()), int(table.column("gb")[0].as_py())
+    blk, u, i = _np(table, "blk"), _np(table, "u"), _np(table, "i")
+    r = _np(table, "r", np.float64)
+    in_a = blk == ga
+    in_b = in_a if ga == gb else blk == gb
+    if not in_a.any() or not in_b.any():
+        return _DOTS_ARROW.empty_table()
+    ua_rows, ub_rows = u[in_a], u[in_b]
+    order = np.argsort(i[in_b], kind="stable")
+    ib_sorted, ub_rows, rb = i[in_b][order], ub_rows[order], r[in_b][order]
+    ra = r[in_a]
+    ua, ub = np.unique(ua_rows), np.unique(ub_rows)
+    la, lb = np.searchsorted(ua, ua_rows), np.searchsorted(ub, ub_rows)
+    acc = np.zeros(len(ua) * len(ub))
+    for ia, ib in ragged_pairs(i[in_a], ib_sorted):
+        acc += np.bincount(la[ia] * len(ub) + lb[ib], weights=ra[ia] * rb[ib], minlength=acc.size)
+    acc = acc.reshape(len(ua), len(ub))
+    if ga == gb:
+        acc = np.triu(acc)
+    rr, cc = np.nonzero(acc)
+    return pa.Table.from_arrays([pa.array(ua[rr].astype(np.int32)), pa.array(ub[cc].astype(np.int32)),
+                                 pa.array(acc[rr, cc])], schema=_DOTS_ARROW)
 
 
 def user_cosine(pairs: DataFrame, block_users: int | None = None,
@@ -135,20 +121,24 @@ def user_cosine(pairs: DataFrame, block_users: int | None = None,
     rows = pairs.select(F.col(USER_IDX).alias("u"), F.col(ITEM_IDX).alias("i"),
                         F.col("rating").cast("double").alias("r"),
                         block_of(USER_IDX, bs).alias("blk"))
-    rows = rows.withColumn("o", all_blocks(nb)).select(
+    rows = _meeting(rows, "i", rows.select("i", F.col("blk").alias("o")).distinct()).select(
         "u", "i", "r", "blk",
         F.least("blk", "o").alias("ga"), F.greatest("blk", "o").alias("gb"),
         (F.pmod(F.xxhash64("i"), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)).alias("c"))
-    out = rows.groupBy("ga", "gb", "c").applyInArrow(_cosine_fn(splits == 1), _COS)
-    if splits == 1:
-        return out.select("u", "v", "cos")
-    dots = out.groupBy("u", "v").agg(F.sum("dot").alias("dot"))
+    dots = rows.groupBy("ga", "gb", "c").applyInArrow(_dots, _DOTS)
+    if splits > 1:
+        dots = dots.groupBy("u", "v").agg(F.sum("dot").alias("dot"))
     norms = user_norms(pairs)
     nu = norms.select(F.col(USER_IDX).alias("u"), F.col("norm").alias("nu"))
     nv = norms.select(F.col(USER_IDX).alias("v"), F.col("norm").alias("nv"))
     return dots.join(nu, "u").join(nv, "v").select("u", "v", (F.col("dot") / (F.col("nu") * F.col("nv"))).alias("cos"))
 
 
+def _meeting(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """``rows`` once per block that holds a partner: ``blocks`` has the blocks of each ``key``."""
+    return rows.join(blocks, key)
+
+
 def symmetric(cos: DataFrame) -> DataFrame:
     """Both directions of a ``u <= v`` cosine table (the diagonal once)."""
     return cos.unionByName(cos.where(F.col("u") != F.col("v"))
@@ -213,82 +203,73 @@ _SCORES = T.StructType([
 _SCORES_ARROW = pa.schema([(USER_IDX, pa.int32()), (ITEM_IDX, pa.int32()), ("score", pa.float64())])
 
 
-def _scores_fn(divide: bool):
-    """``applyInArrow`` body for one (user block, item block, neighbour split) group; with
-    ``divide`` the group holds every neighbour of its users and returns final scores,
-    otherwise partial numerators."""
-    def run(table: pa.Table) -> pa.Table:
-        return _scores_block(table, divide)
-    return run
-
-
-def _scores_block(table: pa.Table, divide: bool) -> pa.Table:
+def _scores_block(table: pa.Table) -> pa.Table:
+    """``applyInArrow`` body for one (user block, item block, neighbour split) group: partial
+    numerators."""
     kind = _np(table, "kind")
     a, b, w = _np(table, "a"), _np(table, "b"), _np(table, "w", np.float64)
     s_rows = kind == 0
-    if not s_rows.any():
+    r_rows = ~s_rows
+    if not s_rows.any() or not r_rows.any():
         return _SCORES_ARROW.empty_table()
     su, sv, cs = a[s_rows], b[s_rows], w[s_rows]
-    r_rows = ~s_rows
     order = np.argsort(a[r_rows], kind="stable")
     rv, ri, rr = a[r_rows][order], b[r_rows][order], w[r_rows][order]
     users, items = np.unique(su), np.unique(ri)
     lu, li = np.searchsorted(users, su), np.searchsorted(items, ri)
-    mass = np.bincount(lu, weights=cs, minlength=len(users))
     acc = np.zeros(len(users) * len(items))
     for i_s, i_r in ragged_pairs(sv, rv):
         acc += np.bincount(lu[i_s] * len(items) + li[i_r], weights=cs[i_s] * rr[i_r], minlength=acc.size)
     acc = acc.reshape(len(users), len(items))
     ru, ci = np.nonzero(acc)
-    vals = acc[ru, ci] / mass[ru] if divide else acc[ru, ci]
     return pa.Table.from_arrays([pa.array(users[ru].astype(np.int32)), pa.array(items[ci].astype(np.int32)),
-                                 pa.array(vals)], schema=_SCORES_ARROW)
+                                 pa.array(acc[ru, ci])], schema=_SCORES_ARROW)
 
 
 def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None = None,
-                     block_items: int | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
-    """``(reviewer_index, asin_index, score)`` for every user and every item rated by at
-    least one of the user's neighbours (other scores are 0 and omitted).
-
-    Groups are (user block, item block): the cosine rows of the block's users go to every
-    item block, the ratings of an item block go to every user block.
+                     block_items: int | None = None, max_group_rows: int = 2_000_000,
+                     users: DataFrame | None = None) -> DataFrame:
+    """``(reviewer_index, asin_index, score)`` for every user (of ``users``, if given: a table
+    with ``reviewer_index``) and every item rated by at least one of the user's neighbours (other
+    scores are 0 and omitted).
+
+    Groups are (user block, item block, neighbour split). A cosine row (u, v) goes only to item
+    blocks in which v has a rating, a rating of v only to user blocks with a neighbour of v. The
+    neighbour splits bound a group by the measured rows of both inputs.
     """
     stats = pairs.agg(F.max(USER_IDX).alias("nu"), F.max(ITEM_IDX).alias("ni"),
                       F.count(F.lit(1)).alias("rows")).first()
     n_users, n_items, n_rows = int(stats["nu"] or 0), int(stats["ni"] or 0), int(stats["rows"])
     sym = symmetric(cos)
+    if users is not None:
+        sym = sym.join(users.select(F.col(USER_IDX).alias("u")).distinct(), "u", "left_semi")
     if block_users is None or block_items is None:
         n_sym = sym.count()
-        # a group holds the cosine rows of one user block and the ratings of one item block:
         # aim at 8 x 4 groups for parallelism, keep each part under max_group_rows and the
         # accumulator at most 2048 x 4096 cells
         per_user = max(1.0, n_sym / max(n_users, 1))
         per_item = max(1.0, n_rows / max(n_items, 1))
-        bu = block_users or int(max(64, min(2048, math.ceil(n_users / 8), max_group_rows / per_user)))
-        bi = block_items or int(max(64, min(4096, math.ceil(n_items / 4), max_group_rows / per_item)))
+        bu = block_users or int(max(1, min(2048, max(64, math.ceil(n_users / 8)), max_group_rows / per_user)))
+        bi = block_items or int(max(1, min(4096, max(64, math.ceil(n_items / 4)), max_group_rows / per_item)))
     else:
         bu, bi = block_users, block_items
-    nbu, nbi = max(1, math.ceil(n_users / bu)), max(1, math.ceil(n_items / bi))
-    # A hot item makes its item block large: split the neighbours v as well (each S row and
-    # each rating row belongs to the split of its v, so nothing is replicated for it) and
-    # add the partial numerators natively afterwards.
-    biggest = (pairs.groupBy(block_of(ITEM_IDX, bi).alias("c")).count().agg(F.max("count")).first()[0]) or 0
+    s_base = sym.select(block_of("u", bu).alias("ga"), F.lit(0).alias("kind"), F.col("u").alias("a"),
+                        F.col("v").alias("b"), F.col("cos").alias("w"), F.col("v").alias("nb"))
+    r_base = pairs.select(block_of(ITEM_IDX, bi).alias("c"), F.lit(1).alias("kind"), F.col(USER_IDX).alias("a"),
+                          F.col(ITEM_IDX).alias("b"), F.col("rating").cast("double").alias("w"),
+                          F.col(USER_IDX).alias("nb"))
+    s_rows = _meeting(s_base, "nb", r_base.select("nb", "c").distinct())
+    r_rows = _meeting(r_base, "nb", s_base.select("nb", "ga").distinct())
+    columns = ["ga", "c", "nb", "kind", "a", "b", "w"]
+    both = s_rows.select(*columns).unionByName(r_rows.select(*columns))
+    biggest = (both.groupBy("ga", "c").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]) or 0
     splits = max(1, math.ceil(biggest / max_group_rows))
-
-    def vsplit(col):
-        return (F.pmod(F.xxhash64(col), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)).alias("vs")
-
-    s_rows = sym.select(block_of("u", bu).alias("ga"), all_blocks(nbi).alias("c"), vsplit("v"),
-                        F.lit(0).alias("kind"), F.col("u").alias("a"), F.col("v").alias("b"), F.col("cos").alias("w"))
-    r_rows = pairs.select(all_blocks(nbu).alias("ga"), block_of(ITEM_IDX, bi).alias("c"), vsplit(USER_IDX),
-                          F.lit(1).alias("kind"), F.col(USER_IDX).alias("a"), F.col(ITEM_IDX).alias("b"),
-                          F.col("rating").cast("double").alias("w"))
-    out = s_rows.unionByName(r_rows).groupBy("ga", "c", "vs").applyInArrow(_scores_fn(splits == 1), _SCORES)
-    if splits == 1:
-        return out
-    num = out.groupBy(USER_IDX, ITEM_IDX).agg(F.sum("score").alias("num"))
-    mass = similarity_mass(cos)
-    return num.join(mass, USER_IDX).select(USER_IDX, ITEM_IDX, (F.col("num") / F.col("mass")).alias("score"))
+    split = F.pmod(F.xxhash64("nb"), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)
+    num = both.withColumn("vs", split).groupBy("ga", "c", "vs").applyInArrow(_scores_block, _SCORES)
+    if splits > 1:
+        num = num.groupBy(USER_IDX, ITEM_IDX).agg(F.sum("score").alias("score"))
+    mass = sym.groupBy(F.col("u").alias(USER_IDX)).agg(F.sum("cos").alias("mass"))
+    return num.join(mass, USER_IDX).select(USER_IDX, ITEM_IDX, (F.col("score") / F.col("mass")).alias("score"))
 
 
 # ------------------------------------------------------------------ dense forms
