@@ -7,6 +7,7 @@ DuckDB SQL over the same parquet files; column names match the Spark results.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from importlib.util import find_spec
 
@@ -17,9 +18,9 @@ from factorlab.functions.vectors import arithmetic_vector
 from factorlab.functions.parsing import accepted_examples, parse_examples
 from factorlab.functions.vectors import dot
 from factorlab.operators import als, als_builtin, indexing, metrics, mlp, predict, ratings, recommend, similarity
-from factorlab.sources.examples import example_line
-from factorlab.session import cut_lineage
-from factorlab.sources.reviews import clean_reviews, ratings_from_orders
+from factorlab.sources.examples import example_line, read_examples_text
+from factorlab.session import cut_lineage, ensure_checkpoint_dir
+from factorlab.sources.reviews import clean_reviews, ratings_from_orders, read_reviews_json
 
 # The training-data subpackage and the pipeline are optional; this is their only guard.
 _LLM = find_spec("factorlab.llm") is not None and find_spec("factorlab.llm.queries") is not None
@@ -50,7 +51,7 @@ def _base(spark: SparkSession, sf_dir: str) -> dict:
     if key not in _MEMO:
         reviews = clean_reviews(ratings_from_orders(spark, sf_dir))
         items, users, indexed = indexing.index_reviews(reviews)
-        _MEMO[key] = {"reviews": reviews, "items": items, "users": users, "indexed": indexed}
+        _MEMO[key] = {"reviews": reviews, "items": items, "users": users, "indexed": cut_lineage(indexed)}
     return _MEMO[key]
 
 
@@ -90,7 +91,7 @@ def q_indexed_ratings(spark, sf_dir):
 def _pairs(spark, sf_dir):
     b = _base(spark, sf_dir)
     if "pairs" not in b:
-        b["pairs"] = ratings.rating_pairs(b["indexed"])
+        b["pairs"] = cut_lineage(ratings.rating_pairs(b["indexed"]))
         b["n_items"] = ratings.max_index(b["items"], "asin_index")
         b["n_users"] = ratings.max_index(b["users"], "reviewer_index")
     return b
@@ -174,16 +175,10 @@ def _keyed(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, k, epochs, init="arithmetic"):
-    b = _keyed(spark, sf_dir)
+    b = _pairs(spark, sf_dir)
     memo = ("fit", k, epochs, init)
     if memo not in b:
-        Y = als.initial_factors(b["indexed"], "asin_index", k, init)
-        for _ in range(epochs):
-            X = als.half_step(b["by_user"], Y, k, 1.0)
-            Y = als.half_step(b["by_item"], X, k, 1.0)
-        b[memo] = als.ALSModel(X.withColumnRenamed("id", "reviewer_index"),
-                               Y.withColumnRenamed("id", "asin_index"), k, 1.0,
-                               b["by_user"].n_keys, b["by_item"].n_keys)
+        b[memo] = als.fit(ratings.rating_triples(b["indexed"]), k=k, lam=1.0, epochs=epochs, init=init)
     return b[memo]
 
 
@@ -204,14 +199,34 @@ def q_als_normal_eq(spark, sf_dir):
                      F.round(r[0], 6).alias("b1"), F.round(r[1], 6).alias("b2"), "n")
 
 
-def q_als_half_step_users(spark, sf_dir):
+def q_als_normal_eq_k20(spark, sf_dir):
+    """All 210 + 20 sums per user, k = 20, as two exact-order-free digests and the corner terms."""
     b = _keyed(spark, sf_dir)
-    Y = als.initial_factors(b["indexed"], "asin_index", 2, "arithmetic")
-    X = als.half_step(b["by_user"], Y, 2, 1.0)
+    ne = als.normal_equations(b["by_user"], als.initial_factors(b["indexed"], "asin_index", PRED_K, "arithmetic"), PRED_K)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
+    return ne.select(F.col("id").alias("reviewer_index"), F.round(total("gram"), 5).alias("gram_sum"),
+                     F.round(total("rhs"), 5).alias("rhs_sum"), F.round(F.col("gram")[19], 6).alias("g1_20"),
+                     F.round(F.col("gram")[399], 6).alias("g20_20"), "n")
+
+
+def _first_half_step(spark, sf_dir, keyed, broadcast_bytes=64 << 20):
+    Y = als.initial_factors(_base(spark, sf_dir)["indexed"], "asin_index", 2, "arithmetic")
+    X = als.half_step(keyed, Y, 2, 1.0, broadcast_bytes)
     return X.select(F.col("id").alias("reviewer_index"),
                     *[F.round(F.element_at("features", f), 6).alias(f"f{f}") for f in (1, 2)])
 
 
+def q_als_half_step_users(spark, sf_dir):
+    return _first_half_step(spark, sf_dir, _keyed(spark, sf_dir)["by_user"])
+
+
+def q_als_half_step_users_large(spark, sf_dir):
+    """The same step as it runs when factors are too many to broadcast and keys are split."""
+    triples = ratings.rating_triples(_pairs(spark, sf_dir)["indexed"])
+    keyed = als.prepare_keyed(triples, "reviewer_index", "asin_index", max_rows_per_group=16)
+    return _first_half_step(spark, sf_dir, keyed, broadcast_bytes=0)
+
+
 def q_als_fit_rank1(spark, sf_dir):
     return _sides(_fit(spark, sf_dir, 1, 2), 1, 4)
 
@@ -225,11 +240,25 @@ def q_als_objective(spark, sf_dir):
     return obj.select(*[F.round(c, 3).alias(c) for c in ("sse", "x_sq", "y_sq", "objective")])
 
 
+def _residuals(ratings_df, own, key, others, other, penalty):
+    """``(key, n, residual)``: rows and the largest |Σ (x·y − r) y + penalty · x| per row of ``own``."""
+    rows = (ratings_df.join(own.withColumnRenamed("features", "x"), key).join(others.withColumnRenamed("features", "y"), other)
+            .withColumn("e", dot("x", "y") - F.col("overall")))
+    per = rows.select(key, "e", F.posexplode("y").alias("f", "yf")).groupBy(key, "f").agg(
+        F.sum(F.col("e") * F.col("yf")).alias("g"), F.count("*").alias("n"))
+    terms = per.join(own, key).withColumn("t", F.abs(F.col("g") + penalty(F.col("n")) * F.col("features")[F.col("f")]))
+    return terms.groupBy(key).agg(F.max("n").alias("n"), F.max("t").alias("residual"))
+
+
 def q_als_fit_k20(spark, sf_dir):
-    model = _fit(spark, sf_dir, 20, 15, init="random")
-    users = model.user_factors.select(F.lit("user").alias("side"), F.col("reviewer_index").alias("id"), "features")
-    items = model.item_factors.select(F.lit("item").alias("side"), F.col("asin_index").alias("id"), "features")
-    return users.unionByName(items)
+    """15 random-start epochs: every item factor (updated last) solves its normal equations, and
+    every user has a finite factor of length 20."""
+    model, triples = _fit(spark, sf_dir, 20, 15, init="random"), ratings.rating_triples(_base(spark, sf_dir)["indexed"])
+    items = _residuals(triples, model.item_factors, "asin_index", model.user_factors, "reviewer_index", lambda n: F.lit(1.0))
+    users = triples.groupBy("reviewer_index").agg(F.count("*").alias("n")).join(model.user_factors, "reviewer_index", "left")
+    fine = F.coalesce((F.size("features") == 20) & F.forall("features", lambda x: ~F.isnan(x)), F.lit(False))
+    return (items.select(F.lit("item").alias("side"), F.col("asin_index").alias("id"), "n", (F.col("residual") < 1e-6).alias("ok"))
+            .unionByName(users.select(F.lit("user").alias("side"), F.col("reviewer_index").alias("id"), "n", fine.alias("ok"))))
 
 
 # ---------------------------------------------------------------- step 5: recommend
@@ -239,10 +268,28 @@ def q_recommend_unseen(spark, sf_dir):
     return recommend.recommend_unseen(X, Y, _pairs(spark, sf_dir)["pairs"], n=10)
 
 
+def q_recommend_unseen_rank2(spark, sf_dir):
+    """Top-10 from rank-2 ALS factors (2 epochs) in many blocks; factors are rounded to whole
+    1/10,000 so that every score is an exact integer."""
+    model = _fit(spark, sf_dir, 2, 2)
+    whole = lambda t: t.withColumn("features", F.transform("features", lambda x: F.round(x, 4)))
+    scaled = lambda t: whole(t).withColumn("features", F.transform("features", lambda x: F.round(x * 10000)))
+    return recommend.recommend_unseen(scaled(model.user_factors), scaled(model.item_factors), _pairs(spark, sf_dir)["pairs"],
+                                      n=10, block_users=300, block_items=400)
+
+
 def q_recommend_unseen_als(spark, sf_dir):
-    """Top-10 unseen items per user from the learnt k = 20 factors (15 plain-λ epochs)."""
-    model = _fit(spark, sf_dir, 20, 15, init="random")
-    return recommend.recommend_unseen(model.user_factors, model.item_factors, _pairs(spark, sf_dir)["pairs"], n=10)
+    """Top-10 unseen items per user from the learnt k = 20 factors (15 plain-λ epochs): number of
+    items, and whether all are unrated, ranked 1 to n and in score order."""
+    model, pairs = _fit(spark, sf_dir, 20, 15, init="random"), _pairs(spark, sf_dir)["pairs"]
+    top = recommend.recommend_unseen(model.user_factors, model.item_factors, pairs, n=10)
+    seen = top.join(pairs.select("reviewer_index", "asin_index", F.lit(1).alias("rated")), ["reviewer_index", "asin_index"], "left")
+    by_user = seen.groupBy("reviewer_index").agg(
+        F.count("*").alias("n"), F.count("rated").alias("rated"), F.max("rec_rank").alias("last"),
+        F.array_sort(F.collect_list(F.struct("rec_rank", "score"))).alias("s"))
+    falling = F.forall(F.sequence(F.lit(1), F.size("s") - 1), lambda i: F.element_at("s", i)["score"] >= F.element_at("s", i + 1)["score"])
+    return by_user.select("reviewer_index", "n", ((F.col("rated") == 0) & (F.col("last") == F.col("n"))
+                                                  & ((F.size("s") < 2) | falling)).alias("ok"))
 
 
 # ---------------------------------------------------------------- step 7: similarity
@@ -311,13 +358,19 @@ def _builtin(spark, sf_dir):
 
 
 def q_builtin_als_mse(spark, sf_dir):
+    """Spark ML's fit predicts every rating, with a mean squared error well below the variance."""
     b = _builtin(spark, sf_dir)
     pred = als_builtin.predict_builtin(b["builtin"], ratings.rating_triples(b["indexed"]))
-    return metrics.error_metrics(pred)
+    return metrics.error_metrics(pred).select("n", (F.col("mse") < 0.25).alias("mse_below_quarter"))
 
 
 def q_builtin_user_factors(spark, sf_dir):
-    return als_builtin.builtin_factors(_builtin(spark, sf_dir)["builtin"])[0]
+    """Spark ML's user factors (updated last) solve their normal equations with λ times the count,
+    up to its single precision."""
+    b = _builtin(spark, sf_dir)
+    users, items = als_builtin.builtin_factors(b["builtin"])
+    left = _residuals(ratings.rating_triples(b["indexed"]), users, "reviewer_index", items, "asin_index", lambda n: 0.01 * n)
+    return left.select("reviewer_index", "n", (F.col("residual") < 0.05).alias("ok"))
 
 
 # ---------------------------------------------------------------- step 8: exported examples + regression
@@ -344,22 +397,54 @@ def q_dot_baseline_mae(spark, sf_dir):
     return metrics.mae(ex, label="label").select(F.round("mae", 9).alias("mae"))
 
 
-def q_mlp_predictions(spark, sf_dir):
+def q_examples_roundtrip(spark, sf_dir):
+    """Training lines written as text with bad lines among them (width, text, NaN), read back:
+    accepted and rejected counts and the label sum."""
+    lines = _example_lines(spark, sf_dir)
+    bad = spark.createDataFrame([("([1.0], [2.0], 3.0)",), ("not a line",), ("([NaN], [2.0], 3.0)",), ("",)], "value string")
+    wide = _base(spark, sf_dir)["indexed"].groupBy().agg(F.concat(
+        F.lit("(["), F.array_join(F.array_repeat(F.lit("0.5"), 2 * PRED_K), ", "), F.lit("], [], NaN)")).alias("value"))
+    path = f"{ensure_checkpoint_dir(spark)}/staged/lines-{uuid.uuid4().hex}"
+    lines.unionByName(bad).unionByName(wide).write.text(path)
+    parsed = read_examples_text(spark, path)
+    return parsed.agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"),
+                      F.sum(F.when(F.col("accepted"), F.col("label"))).alias("label_sum"))
+
+
+def q_reviews_json_roundtrip(spark, sf_dir):
+    """Reviews written as JSON lines, with NULL ids and a malformed line, scanned with the fixed schema."""
+    reviews = _base(spark, sf_dir)["reviews"]
+    holes = spark.createDataFrame([(None, "P1", 5.0), ("U1", None, 4.0), ("U1", "P1", None)], reviews.schema.names)
+    path = f"{ensure_checkpoint_dir(spark)}/staged/reviews-{uuid.uuid4().hex}"
+    reviews.unionByName(holes).select(F.to_json(F.struct("*")).alias("value")).unionByName(
+        spark.createDataFrame([("{broken",)], "value string")).write.text(path)
+    return clean_reviews(read_reviews_json(spark, path, drop_malformed=True))
+
+
+def _mlp(spark, sf_dir):
     """MLP on the learnt k = 20 factors (15 plain-λ ALS epochs), trained 30 epochs."""
     b = _base(spark, sf_dir)
-    memo = "mlp"
-    if memo not in b:
+    if "mlp" not in b:
         model = _fit(spark, sf_dir, 20, 15, init="random")
-        ex = predict.with_factors(b["indexed"], model.user_factors, model.item_factors).select(
+        ex = cut_lineage(predict.with_factors(b["indexed"], model.user_factors, model.item_factors).select(
             F.concat("reviewer_latent_vector", "asin_latent_vector").alias("features"),
-            F.col("overall").alias("label"))
-        b[memo] = (mlp.fit_mlp(ex, epochs=30, num_partitions=8), ex)
-    net, ex = b[memo]
-    return mlp.predict_mlp(net, ex)
+            F.col("overall").alias("label")))
+        b["mlp"] = cut_lineage(mlp.predict_mlp(mlp.fit_mlp(ex, epochs=30), ex))
+    return b["mlp"]
+
+
+def q_mlp_predictions(spark, sf_dir):
+    """Predictions per label: how many, and whether all are finite."""
+    finite = F.coalesce(F.abs("prediction") < float("inf"), F.lit(False))
+    return _mlp(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"), F.bool_and(finite).alias("finite"))
 
 
 def q_mlp_mae(spark, sf_dir):
-    return metrics.error_metrics(q_mlp_predictions(spark, sf_dir), label="label", prediction="prediction")
+    """The network's mean absolute error beats always answering the median rating."""
+    pred = _mlp(spark, sf_dir)
+    median = pred.agg(F.percentile("label", 0.5)).first()[0]
+    return pred.agg(F.count("*").alias("n"), (F.avg(F.abs(F.col("prediction") - F.col("label")))
+                                              < F.avg(F.abs(F.lit(median) - F.col("label")))).alias("below_median_baseline"))
 
 
 # ---------------------------------------------------------------- SQL oracles
@@ -407,6 +492,10 @@ def _dot_sql(k: int, a: str = "x", b: str = "y") -> str:
     return "(CAST(0 AS double)" + "".join(f" + {a}{f} * {b}{f}" for f in range(1, k + 1)) + ")"
 
 
+def _ysum() -> str:
+    return " + ".join(f"y{f}" for f in range(1, PRED_K + 1))
+
+
 _PRED = _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(PRED_K), f"""pred AS (
   SELECT ir.reviewer_index, ir.asin_index, ir.asin, ir.overall, {_dot_sql(PRED_K)} AS predicted_overall
   FROM ir JOIN xf ON ir.reviewer_index = xf.reviewer_index JOIN yf ON ir.asin_index = yf.asin_index)""")
@@ -490,12 +579,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_mae": q_train_mae,
         "train_mse": q_train_mse,
         "als_normal_eq": q_als_normal_eq,
+        "als_normal_eq_k20": q_als_normal_eq_k20,
         "als_half_step_users": q_als_half_step_users,
+        "als_half_step_users_large": q_als_half_step_users_large,
         "als_fit_rank1": q_als_fit_rank1,
         "als_fit_rank2": q_als_fit_rank2,
         "als_objective": q_als_objective,
         "als_fit_k20": q_als_fit_k20,
         "recommend_unseen": q_recommend_unseen,
+        "recommend_unseen_rank2": q_recommend_unseen_rank2,
         "recommend_unseen_als": q_recommend_unseen_als,
         "user_norms": q_user_norms,
         "user_cosine": q_user_cosine,
@@ -509,6 +601,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "builtin_user_factors": q_builtin_user_factors,
         "parse_examples": q_parse_examples,
         "dot_baseline_mae": q_dot_baseline_mae,
+        "examples_roundtrip": q_examples_roundtrip,
+        "reviews_json_roundtrip": q_reviews_json_roundtrip,
         "mlp_predictions": q_mlp_predictions,
         "mlp_mae": q_mlp_mae,
         **_LLM_QUERIES,
@@ -557,6 +651,30 @@ def oracle_sql() -> dict[str, str]:
             FROM ir JOIN y0 s ON ir.asin_index = s.id GROUP BY ir.reviewer_index""",
         "als_half_step_users": _with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(2, 1)) + """
             SELECT id AS reviewer_index, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM x1""",
+        "als_half_step_users_large": _with(_RV, _ITEMS, _USERS, _IR, *_als_ctes(2, 1)) + """
+            SELECT id AS reviewer_index, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM x1""",
+        "als_normal_eq_k20": _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(PRED_K)) + f"""
+            SELECT ir.reviewer_index, round(sum(({_ysum()}) * ({_ysum()})), 5) AS gram_sum,
+                   round(sum(ir.overall * ({_ysum()})), 5) AS rhs_sum, round(sum(y1 * y20), 6) AS g1_20,
+                   round(sum(y20 * y20), 6) AS g20_20, count(*) AS n
+            FROM ir JOIN yf ON ir.asin_index = yf.asin_index GROUP BY ir.reviewer_index""",
+        "als_fit_k20": _BASE + """SELECT 'item' AS side, asin_index AS id, count(*) AS n, true AS ok FROM ir GROUP BY asin_index
+            UNION ALL SELECT 'user', reviewer_index, count(*), true FROM ir GROUP BY reviewer_index""",
+        "recommend_unseen_als": _BASE_P + """SELECT reviewer_index,
+            least(10, (SELECT count(*) FROM items) - count(*)) AS n, true AS ok FROM pairs GROUP BY reviewer_index""",
+        "recommend_unseen_rank2": _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, *_als_ctes(2, 2)) + """,
+            xi AS (SELECT id, round(round(f1, 4) * 10000) AS f1, round(round(f2, 4) * 10000) AS f2 FROM x2),
+            yi AS (SELECT id, round(round(f1, 4) * 10000) AS f1, round(round(f2, 4) * 10000) AS f2 FROM y2),
+            cand AS (SELECT xi.id AS reviewer_index, yi.id AS asin_index, xi.f1 * yi.f1 + xi.f2 * yi.f2 AS score FROM xi CROSS JOIN yi
+                     WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.reviewer_index = xi.id AND p.asin_index = yi.id)),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY reviewer_index ORDER BY score DESC, asin_index) AS rn FROM cand)
+            SELECT reviewer_index, CAST(rn AS INTEGER) AS rec_rank, asin_index, score FROM ranked WHERE rn <= 10""",
+        "builtin_als_mse": _BASE + "SELECT count(*) AS n, true AS mse_below_quarter FROM ir",
+        "builtin_user_factors": _BASE + "SELECT reviewer_index, count(*) AS n, true AS ok FROM ir GROUP BY reviewer_index",
+        "mlp_predictions": _BASE + "SELECT overall AS label, count(*) AS n, true AS finite FROM ir GROUP BY overall",
+        "mlp_mae": _BASE + "SELECT count(*) AS n, true AS below_median_baseline FROM ir",
+        "examples_roundtrip": _BASE + "SELECT count(*) AS accepted, 5 AS rejected, sum(overall) AS label_sum FROM ir",
+        "reviews_json_roundtrip": _BASE + "SELECT * FROM rv",
         "als_fit_rank1": _als_sides_sql(1, 2),
         "als_fit_rank2": _als_sides_sql(2, 2),
         "als_objective": _als_objective_sql(),
