@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from factorlab.functions.vectors import arithmetic_vector
 from factorlab.functions.parsing import accepted_examples, parse_examples
-from factorlab.functions.vectors import dot
+from factorlab.functions.vectors import dot, vector_sum
 from factorlab.operators import als, als_builtin, indexing, metrics, mlp, predict, ratings, recommend, similarity
 from factorlab.sources.examples import example_line, read_examples_text
 from factorlab.session import cut_lineage, ensure_checkpoint_dir
@@ -203,9 +203,8 @@ def q_als_normal_eq_k20(spark, sf_dir):
     """All 210 + 20 sums per user, k = 20, as two exact-order-free digests and the corner terms."""
     b = _keyed(spark, sf_dir)
     ne = als.normal_equations(b["by_user"], als.initial_factors(b["indexed"], "asin_index", PRED_K, "arithmetic"), PRED_K)
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
-    return ne.select(F.col("id").alias("reviewer_index"), F.round(total("gram"), 5).alias("gram_sum"),
-                     F.round(total("rhs"), 5).alias("rhs_sum"), F.round(F.col("gram")[19], 6).alias("g1_20"),
+    return ne.select(F.col("id").alias("reviewer_index"), F.round(vector_sum("gram"), 5).alias("gram_sum"),
+                     F.round(vector_sum("rhs"), 5).alias("rhs_sum"), F.round(F.col("gram")[19], 6).alias("g1_20"),
                      F.round(F.col("gram")[399], 6).alias("g20_20"), "n")
 
 

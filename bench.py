@@ -15,8 +15,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark import StorageLevel  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
-from factorlab.operators import als, als_builtin, indexing, metrics, predict, ratings, recommend, similarity  # noqa: E402
+from factorlab.operators import als, als_builtin, indexing, metrics, mlp, predict, ratings, recommend, similarity  # noqa: E402
 from factorlab.session import cut_lineage, local_session  # noqa: E402
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders  # noqa: E402
 
@@ -75,6 +76,7 @@ def _steps(spark, sf_dir, timed):
     #    half-step (users from items), k = 20, λ = 1
     def prepare():
         by_user = als.prepare_keyed(triples, "reviewer_index", "asin_index")
+        by_user.df.count()      # lays the ratings out
         Y = cut_lineage(als.initial_factors(indexed, "asin_index", 20))
         return by_user, Y
     by_user, Y = timed("als_prepare", prepare)
@@ -82,6 +84,10 @@ def _steps(spark, sf_dir, timed):
     timed("als_half_step", lambda: als.half_step(by_user, Y, 20, 1.0))
     timed("als_half_step_warm", lambda: als.half_step(by_user, Y, 20, 1.0))
 
+    # the path for factor tables too large to broadcast; the first call builds the link table
+    by_user.links()
+    timed("als_half_step_large", lambda: als.half_step(by_user, Y, 20, 1.0, broadcast_bytes=0))
+
     # 3. full plain-λ ALS: k = 20, λ = 1, 5 epochs (the benchmark settings)
     model = timed("als_fit_5_epochs", lambda: als.fit(triples, k=20, lam=1.0, epochs=5))
 
@@ -90,19 +96,32 @@ def _steps(spark, sf_dir, timed):
         predict.predict_model(indexed, model))))
 
     # 5. top-10 unseen items for every user
-    pairs = cut_lineage(ratings.rating_pairs(indexed))
+    pairs = timed("pairs", lambda: cut_lineage(ratings.rating_pairs(indexed)))
     timed("recommend_unseen", lambda: run(recommend.recommend_unseen(
         model.user_factors, model.item_factors, pairs, n=10)))
 
     # 6. all-pairs user cosine
     timed("user_cosine", lambda: run(similarity.user_cosine(pairs)))
 
+    # weighted scores and dense similarity rows of 200 users
+    some = users.filter("reviewer_index <= 200").select("reviewer_index")
+    cos = cut_lineage(similarity.user_cosine(pairs))
+    timed("neighbour_scores_200_users", lambda: run(similarity.neighbour_scores(pairs, cos, users=some)))
+    near = similarity.symmetric(cos).join(some.withColumnRenamed("reviewer_index", "u"), "u", "left_semi")
+    timed("similarity_vectors_200_users", lambda: run(similarity.similarity_vectors(
+        near.filter("u <= v"), users.count())))
+
     # 7. Spark ML ALS: rank 20, 15 iterations, fit + predict + MSE
     def builtin():
         m = als_builtin.fit_builtin(triples, 20, 15, 0.01, 42)
         run(metrics.error_metrics(als_builtin.predict_builtin(m, triples)))
     timed("builtin_als", builtin)
 
+    # 8. MLP regressor on the learnt factors, 2 epochs
+    examples = cut_lineage(predict.with_factors(indexed, model.user_factors, model.item_factors).select(
+        F.concat("reviewer_latent_vector", "asin_latent_vector").alias("features"), F.col("overall").alias("label")))
+    timed("mlp_fit_2_epochs", lambda: mlp.fit_mlp(examples, epochs=2))
+
 
 if __name__ == "__main__":
     main()

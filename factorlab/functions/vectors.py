@@ -55,17 +55,6 @@ def arithmetic_vector(id_col, k: int) -> Column:
         lambda f: ((i * 7919 + f.cast("long") * 104729) % 1000 + 1).cast("double") / F.lit(1001.0))
 
 
-def densify(entries, length, default=0) -> Column:
-    """Dense array of ``length`` from ``array<struct<pos int, val>>`` (1-based positions).
-
-    ``entries`` must already be a map column (``map_from_entries``) so it is built once per
-    row, not once per position.
-    """
-    m = _col(entries)
-    return F.transform(F.sequence(F.lit(1), _col(length) if not isinstance(length, int) else F.lit(length)),
-                       lambda p: F.coalesce(F.element_at(m, p), F.lit(default)))
-
-
 def scatter_dense(entries, length, value_field: str = "val", pos_field: str = "pos",
                   zero=0) -> Column:
     """Dense array of ``length`` from entries sorted by unique 1-based ``pos``.

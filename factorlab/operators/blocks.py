@@ -1,16 +1,13 @@
 """Block helpers for products of two id-indexed sides.
 
 Ids are dense 1-based indexes, so ``block = (id - 1) div size`` cuts each side into
-contiguous ranges. A side that must meet every block of the other side is replicated with
-``explode(sequence(0, blocks - 1))`` (a fan-out bounded by the block count), and each
-``(block, block)`` group is handled in one Arrow call whose memory is bounded by the block
+contiguous ranges. A row goes to the blocks of the other side that hold a partner for it, and
+each ``(block, block)`` group is handled in one Arrow call whose memory is bounded by the block
 sizes, not by the data size.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +17,6 @@ def block_of(col: str | Column, size: int) -> Column:
     return F.floor((c - 1) / F.lit(size)).cast("int")
 
 
-def all_blocks(count: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(max(count, 1) - 1)))
-
-
-def block_count(max_id: int | None, size: int) -> int:
-    return max(1, math.ceil((max_id or 0) / size))
-
-
 def max_id(df: DataFrame, col: str) -> int:
     value = df.agg(F.max(col)).first()[0]
     return int(value or 0)

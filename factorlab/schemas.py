@@ -15,7 +15,3 @@ REVIEWS = T.StructType([
     T.StructField(RATING, T.DoubleType()),
 ])
 
-FACTORS = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("features", T.ArrayType(T.DoubleType())),
-])
