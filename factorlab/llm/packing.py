@@ -319,12 +319,14 @@ def width_class(lengths, exact: int = EXACT, step: int = STEP):
 
 # ------------------------------------------------------------------ Spark plan
 
-def _ranked(table: DataFrame, rows: int) -> DataFrame:
-    """Number the pieces of each class from 0, through salts that bound every window."""
+def _ranked(table: DataFrame, histogram: dict[int, int], group_rows: int = 2000) -> DataFrame:
+    """Number the pieces of each class from 0. A class is dealt over salts of about ``group_rows``
+    pieces by a hash, so no window grows with the table."""
     from pyspark.sql import Window
 
-    salts = max(1, rows // 100_000)
-    salted = table.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
+    salts = [-(-histogram.get(c, 0) // group_rows) or 1 for c in range(max(histogram) + 1)]   # at most ``length`` + 1
+    of_class = F.element_at(F.array(*[F.lit(n) for n in salts]), F.col("class").cast("int") + 1)
+    salted = table.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), of_class))
     within = Window.partitionBy("class", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
     offsets = salted.groupBy("class", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -378,7 +380,7 @@ def pack(table: DataFrame, length: int = LENGTH) -> DataFrame:
     fields = [f for f in table.schema.fields if f.name != "class"]
     names = [*(f.name for f in fields), "sequence_id"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", sequence_id long"
-    placed = _ranked(table, rows).select(*[f.name for f in fields], "class", "rank").mapInArrow(place, schema)
+    placed = _ranked(table, histogram).select(*[f.name for f in fields], "class", "rank").mapInArrow(place, schema)
     order = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start", "ids_crc32", "doc_tokens")
     placed = placed.repartition(sized_partitions(spark, rows, 500_000), "sequence_id")
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(
