@@ -15,6 +15,8 @@ from factorlab.session import ensure_checkpoint_dir
 
 #: Texts per Python step inside an Arrow batch: bounds the Python objects alive at once.
 SLICE_ROWS = 256
+#: Bytes of one Arrow batch between Spark and Python.
+BATCH_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,17 +24,26 @@ def shared_folder(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in Arrow batches of at most ``BATCH_BYTES`` (if the session allows more)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage: what follows starts from files that outlive any executor.
     """
+    bounded_batches(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/tables/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return docs.select(*columns) if columns else docs
 
@@ -54,11 +65,17 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def release_unused() -> None:
+    """Give freed Arrow memory back: workers live through many tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most ``rows`` rows."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        release_unused()
 
 
 def byte_slices(batches: Iterable[pa.RecordBatch], column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -71,6 +88,7 @@ def byte_slices(batches: Iterable[pa.RecordBatch], column: int, max_bytes: int)
             stop = max(start + 1, int(np.searchsorted(ends, reached, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        release_unused()
 
 
 def as_bytes(column: pa.Array) -> list:

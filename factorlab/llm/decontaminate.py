@@ -41,7 +41,7 @@ _BUCKET = 32768
 #: The item windows are broadcast up to this many rows; beyond it they are shuffled.
 BROADCAST_ROWS = 200_000
 #: Distinct raw tokens remembered by a worker before it starts over.
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 200_000
 
 LITERAL, NUMBER, NAME, UNIT = range(4)
 #: A token, with the sentence end before it if there is one.

@@ -39,8 +39,8 @@ GAP = 2e-3
 ROUNDS = 1500
 #: Smallest pivot of a basis change.
 PIVOT = 1e-7
-#: Distinct words (and blank-separated parts) remembered by a worker in each of two generations.
-CACHE_WORDS = 300_000
+#: Distinct words remembered by a worker in each of two generations.
+CACHE_WORDS = 250_000
 #: Text bytes tokenized in one step.
 BATCH_BYTES = 8 << 20
 
@@ -96,7 +96,7 @@ class WordTokens:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words, self.parts = Cache(CACHE_WORDS), Cache(CACHE_WORDS)
+        self.words = Cache(CACHE_WORDS)
 
     def _plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -114,17 +114,24 @@ class WordTokens:
         return found
 
     def _split(self, parts: list[str]) -> list[bytes]:
-        split = [_WORDS.findall(p) for p in parts]
-        words = list(set().union(*split))
+        """Ids of blank-separated parts; most are one word of letters only."""
+        split = [p if p.isalpha() else _WORDS.findall(p) for p in parts]
+        words = set()
+        for s in split:
+            if isinstance(s, str):
+                words.add(s)
+            else:
+                words.update(s)
+        words = list(words)
         ids = dict(zip(words, self.words.get(words, self._tokenize)))
-        return [ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s]) for s in split]
+        return [ids[s] if isinstance(s, str) else b"".join([ids[w] for w in s]) for s in split]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         texts = [t or "" for t in texts]
         simple = [bool(_SIMPLE.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
         lists = pc.utf8_split_whitespace(pa.array([t.lower() if s else "" for t, s in zip(texts, simple)], pa.large_string()))
         coded = lists.values.dictionary_encode()
-        known = self.parts.get(coded.dictionary.to_pylist(), self._split)
+        known = self._split(coded.dictionary.to_pylist())
         sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         pool, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
         index = coded.indices.to_numpy()
