@@ -114,7 +114,7 @@ def test_ids_are_the_tokenizers(texts):
 
 def test_small_cache_changes_nothing(monkeypatch, pandas_docs):
     small = packing.WordTokens(PATH)
-    small.words.size = small.parts.size = 10
+    small.words.size = 10
     texts = pandas_docs.text[:40].tolist()
     assert [a.tolist() for a in small.encode(texts)] == [a.tolist() for a in packing.word_tokens(PATH).encode(texts)]
 
