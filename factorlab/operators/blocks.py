@@ -17,6 +17,10 @@ def block_of(col: str | Column, size: int) -> Column:
     return F.floor((c - 1) / F.lit(size)).cast("int")
 
 
+def block_count(largest: int | None, size: int) -> int:
+    return max(1, -(-(largest or 0) // size))
+
+
 def max_id(df: DataFrame, col: str) -> int:
     value = df.agg(F.max(col)).first()[0]
     return int(value or 0)
