@@ -1,3 +1,6 @@
+import csv
+
+from factorlab.session import cut_lineage, release, staged
 from factorlab.sources import sinks
 
 
@@ -11,3 +14,29 @@ def test_factor_text_json_and_views(spark, tmp_path):
     assert [list(r["features"]) for r in back] == [[0.5, 0.25], [1.0, 2.0]]
     sinks.register_views({"user_factors": f})
     assert spark.sql("SELECT count(*) FROM user_factors").first()[0] == 2
+
+
+def test_sorted_csv_is_ordered_over_all_files(spark, tmp_path):
+    df = spark.range(0, 500).selectExpr("(id * 37) % 500 AS k", "id AS v").repartition(5)
+    sinks.write_sorted_csv(df, str(tmp_path / "S"), "k")
+    rows = []
+    for part in sorted((tmp_path / "S").glob("part-*.csv")):
+        with open(part) as f:
+            rows += [int(r["k"]) for r in csv.DictReader(f)]
+    assert rows == list(range(500))
+
+
+def test_cut_lineage_leaves_the_callers_cache(spark):
+    df = spark.range(50).selectExpr("id * 2 AS x").persist()
+    assert cut_lineage(df).count() == 50
+    assert df.is_cached and df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_staged_table_and_release(spark):
+    from pathlib import Path
+
+    table, path = staged(spark.range(5).toDF("x"), "t")
+    assert table.count() == 5
+    release(spark, path)
+    assert not Path(path.removeprefix("file:")).exists()
