@@ -14,13 +14,16 @@
 
 Defined cases: null text stays null, with no entities; an empty text stays empty; repeated rows are
 rewritten alike; null doc_ids too (with the joined exceptions as one document). All other columns stay; a
-column named ``entities`` is replaced.
+column named ``entities`` is replaced. A mask (``password: ******``) is no secret and stays.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import string
+import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +36,7 @@ BROADCAST_ROWS = 100_000
 MAX_ATTEMPTS = 50
 #: Attempts within a format's own range before it widens.
 WIDEN = 4
+ALPHANUMERIC = string.ascii_letters + string.digits
 
 # Titles with their gender, and common given names with theirs.
 TITLES = {"mr": "m", "mrs": "f", "ms": "f", "miss": "f", "sir": "m", "madam": "f", "lady": "f", "lord": "m", "dr": "",
@@ -56,6 +60,8 @@ _EMAIL = re.compile(r"[\w.+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{
 _MARK = re.compile(r"[:=]")
 _SECRET_NAME = re.compile(r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s{0,3}$")
 _SECRET_VALUE = re.compile(r"\s{0,3}[\"']?([^\s\"',;]{6,})")
+#: One symbol repeated stands for a secret that is not there.
+_MASK = re.compile(r"([\W_])\1*")
 _KEYS = [re.compile(k) for k in (r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])", r"ASIA[A-Z0-9]{16}(?![A-Za-z0-9])",
                                  r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])", r"sk-[A-Za-z0-9]{20,}")]
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -99,7 +105,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     for mark in _MARK.finditer(text):
         at = mark.start()
         if _SECRET_NAME.search(text, max(0, at - 16), at) and (m := _SECRET_VALUE.match(text, at + 1)):
-            found.append((*m.span(1), "secret", m[1]))
+            if not _MASK.fullmatch(m[1]):
+                found.append((*m.span(1), "secret", m[1]))
     for pattern in _KEYS:
         found += [(*m.span(), "key", m.group()) for m in pattern.finditer(text)
                   if not m.start() or not text[m.start() - 1].isalnum()]
@@ -181,6 +188,13 @@ class Stream:
         return items[self.below(len(items))]
 
 
+@lru_cache(4096)
+def _neighbours(c: str) -> str:
+    """The letters around a letter outside ASCII: same block of 64 code points and same category."""
+    block = map(chr, range(ord(c) & ~63, (ord(c) | 63) + 1))
+    return "".join(n for n in block if not n.isascii() and unicodedata.category(n) == unicodedata.category(c))
+
+
 def _alike(c: str, draw: Stream) -> str:
     """A character of the same class; hexadecimal letters stay hexadecimal."""
     if c.isdigit():
@@ -189,6 +203,8 @@ def _alike(c: str, draw: Stream) -> str:
         return draw.pick("abcdef")
     if c.isascii() and c.isalpha():
         return draw.pick("abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    if c.isalpha():
+        return draw.pick(_neighbours(c))
     return c
 
 
@@ -231,6 +247,9 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     if kind == "key":
         head = re.match(r"AKIA|ASIA|gh._|sk-", canonical).group()
         return head + "".join(_alike(c, draw) if not c.isupper() else draw.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in canonical[len(head):])
+    # symbols alone, or a crowded pattern: any letters and digits
+    if attempt >= WIDEN or not any(map(str.isalnum, canonical)):
+        return "".join(draw.pick(ALPHANUMERIC) for _ in canonical)
     return "".join(_alike(c, draw) for c in canonical)
 
 
