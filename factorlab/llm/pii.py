@@ -2,7 +2,7 @@
 
 1. Detection, over whole texts: e-mail, phone, card (Luhn), IBAN, SSN, IP addresses, access keys,
    passwords and tokens, and person names (title or known given name before a capitalised word; their
-   surname alone later in the same text is the same person).
+   surname or given name alone in the same text is the same person).
 2. A surrogate is a function of a secret key, the type and the canonical form, so a mention in any
    spelling, in any document, gets the same one. It keeps type and format: separators, lengths, country codes,
    card checksums, IBAN check digits, private or public address range, letter case; names keep gender and script.
@@ -14,12 +14,14 @@
 
 Defined cases: null text stays null, with no entities; an empty text stays empty; repeated rows are
 rewritten alike; null doc_ids too (with the joined exceptions as one document). All other columns stay; a
-column named ``entities`` is replaced. A mask (``password: ******``) is no secret and stays.
+column named ``entities`` is replaced. A mask (``password: ******``) is no secret and stays;
+so do ``::1`` and ``::``, which name no host.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import string
 import unicodedata
@@ -66,8 +68,12 @@ _KEYS = [re.compile(k) for k in (r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])", r"ASIA[A-Z0
                                  r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])", r"sk-[A-Za-z0-9]{20,}")]
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _IPV6 = re.compile(r"[0-9A-Fa-f]{1,4}:(?:[0-9A-Fa-f]{1,4}:){6}[0-9A-Fa-f]{1,4}(?![\w:])")
+_IPV6_SHORT = re.compile(r"""(?<![\w:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?
+                             (?:(?<=\d)(?:\.\d{1,3}){3})?(?!\w|\.\d|:[:0-9A-Fa-f])""", re.VERBOSE)
+#: Ranges in use; the same spelling elsewhere is code (``a::b``).
+_IPV6_RANGES = [ipaddress.ip_network(n) for n in ("2000::/3", "64:ff9b::/96", "fc00::/7", "fe80::/10", "ff00::/8")]
 #: Digits with their separators; what they are is decided by the next pattern.
-_RUN = re.compile(r"[+(0-9][0-9()+ .-]{7,}")
+_RUN = re.compile(r"[+(0-9][0-9()+ .-]{6,}")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _NUMERIC = re.compile(rf"""
   (?P<ipv4>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))
@@ -94,12 +100,21 @@ def _script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
+def _ipv6(raw: str) -> str | None:
+    """One spelling per address; None if it is none, or compressed and in no range in use."""
+    try:
+        address = ipaddress.IPv6Address(raw)
+    except ValueError:
+        return None
+    return str(address) if "::" not in raw or any(address in n for n in _IPV6_RANGES) else None
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, stop, type, canonical)`` of every mention, in order, without overlaps.
 
     Types of names carry gender and script: ``given:f:latin``, ``surname::latin``.
     """
-    found, surnames, people = [], {}, []
+    found, surnames, givens, people = [], {}, {}, []
     if "@" in text:
         found += [(*m.span(), "email", m.group().lower()) for m in _EMAIL.finditer(text)]
     for mark in _MARK.finditer(text):
@@ -115,8 +130,10 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         if 15 <= len(plain) <= 34 and plain.isascii() and _iban_sum(plain) == 1:
             found.append((*m.span(), "iban", plain))
     if text.count(":") >= 7:
-        found += [(*m.span(), "ipv6", m.group().lower()) for m in _IPV6.finditer(text)
+        found += [(*m.span(), "ipv6", _ipv6(m.group())) for m in _IPV6.finditer(text)
                   if not m.start() or not (text[m.start() - 1].isalnum() or text[m.start() - 1] == ":")]
+    if "::" in text:
+        found += [(*m.span(), "ipv6", plain) for m in _IPV6_SHORT.finditer(text) if (plain := _ipv6(m.group()))]
     for run in _RUN.finditer(text):
         for m in _NUMERIC.finditer(text, run.start(), min(len(text), run.end() + 2)):
             raw = m.group()
@@ -146,17 +163,19 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 gender = (GENDER[low[g]] if named else "") or (TITLES[low[i]] if titled else "")
                 start = at + sum(len(w) + 1 for w in words[:g])
                 if named:
-                    people.append((start, start + len(words[g]), f"given:{gender}:{_script(words[g])}", low[g]))
+                    givens[words[g]] = givens[words[g].upper()] = (f"given:{gender}:{_script(words[g])}", low[g])
+                    people.append((start, start + len(words[g]), *givens[words[g]]))
                     start += len(words[g]) + 1
                 sur = words[g + named]
                 surnames[sur] = surnames[sur.upper()] = (f"surname::{_script(sur)}", sur.lower())
                 people.append((start, start + len(sur), *surnames[sur]))
                 i = g + named
             i += 1
-    if surnames:   # later mentions of a surname alone
+    if surnames:   # other mentions of a surname or given name alone
         taken = {p[0] for p in people}
-        again = re.compile(r"\b(?:%s)\b" % "|".join(map(re.escape, sorted(surnames, key=lambda s: (-len(s), s)))))
-        people += [(*m.span(), *surnames[m.group()]) for m in again.finditer(text) if m.start() not in taken]
+        alone = givens | surnames
+        again = re.compile(r"\b(?:%s)\b" % "|".join(map(re.escape, sorted(alone, key=lambda s: (-len(s), s)))))
+        people += [(*m.span(), *alone[m.group()]) for m in again.finditer(text) if m.start() not in taken]
     order = {k: i for i, k in enumerate(("secret", "key", "email", "iban", "ipv6", "ipv4", "card", "ssn", "phone"))}
     spans, end = [], 0
     for span in sorted(found + people, key=lambda s: (s[0], order.get(s[2], 9), -s[1])):

@@ -16,3 +16,16 @@ def test_secrets_without_ascii_letters(spark):
     assert [len(n) for n in new] == [len(s) for s in secrets]
     assert not set(new) & set(secrets) and len(set(new)) == len(new)
     assert all("Ѐ" <= c <= "ӿ" for c in new[0]) and all("一" <= c <= "鿿" for c in new[1])
+
+
+def test_planted_mentions_are_replaced():
+    planted = ["Anna", "ANNA", "Petrova", "8.8.8.8", "1.1.1.1", "2001:db8::1", "2001:DB8:0::2", "fe80::1ff:fe23:4567:890a",
+               "2606:4700::1111", "2001:db8::", "64:ff9b::192.0.2.33"]
+    text = ("Anna Petrova came. Anna said: ask 8.8.8.8, then 2001:db8::1. ANNA left\nPetrova saw 1.1.1.1\n"
+            "[2001:DB8:0::2]:80 fe80::1ff:fe23:4567:890a%eth0 2606:4700::1111: up, net 2001:db8::/32, 64:ff9b::192.0.2.33;")
+    new, spans = pii.rewrite(text, KEY, {}, {})
+    assert not [p for p in planted if p in new]
+    names = [new[a:b] for t, a, b in spans if t == "given"]
+    assert names[0] == names[1] and names[2] == names[0].upper()
+    assert {s[3] for s in pii.detect("at 2001:db8::1 and 2001:0DB8:0:0:0:0:0:1")} == {"2001:db8::1"}
+    assert not pii.detect("std::vector a::b Face::Bad x[::2] ::1 at 12:30, version 3.0, 1.2.3")
