@@ -14,8 +14,8 @@ question with other numbers or people keeps its template:
 4. A document is contaminated by an item if at least ``min_share`` of the item's windows are found
    in consistent alignments.
 
-Defined cases: null or empty texts match nothing; null doc_ids are matched as one document;
-repeated rows of a doc_id are one document; items with fewer than ``min_tokens`` tokens are too
+Defined cases: null or empty texts match nothing; rows without doc_id are one document per
+distinct text (``drop_contaminated`` takes those without text too with any contaminated one); repeated rows of a doc_id are one document; items with fewer than ``min_tokens`` tokens are too
 short to tell and match nothing; an empty benchmark gives an empty result.
 """
 
@@ -26,7 +26,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factorlab.llm.common import read_documents, slices, spare, written
@@ -146,29 +146,38 @@ def _filter(items: DataFrame) -> tuple[np.ndarray, list[int]]:
     return bits, sorted(r["width"] for r in items.select("width").distinct().collect())
 
 
+_NO_TEXT = "-"
+
+
+def _text_key(doc_id: Column, text: Column) -> Column:
+    """Tells rows without doc_id apart; empty for all others."""
+    return F.when(doc_id.isNull(), F.coalesce(F.sha2(text.cast("string"), 256), F.lit(_NO_TEXT))).otherwise("")
+
+
 def document_windows(docs: DataFrame, bits: np.ndarray, widths: list[int], id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """``(doc_id, hash, at, slots)`` of the document windows that pass the filter."""
+    """``(doc_id, text_key, hash, at, slots)`` of the document windows that pass the filter."""
     def run(batches):
         codes = Codes()
         mask = np.uint64(FILTER_BITS - 1)
         for part in slices(batches):
             rows = []
-            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for doc, text_key, text in zip(*(part.column(c).to_pylist() for c in range(3))):
                 raws, code = template(text, codes)
                 for width in widths:
                     hashes = window_hashes(code, width)
                     spot = hashes & mask
                     passed = np.flatnonzero(bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1)
                     signed = hashes.view(np.int64)
-                    rows += [(doc, int(signed[p]), p, _slots(raws, code, p, width)) for p in passed.tolist()]
-            cols = list(zip(*rows)) or [()] * 4
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+                    rows += [(doc, text_key, int(signed[p]), p, _slots(raws, code, p, width)) for p in passed.tolist()]
+            cols = list(zip(*rows)) or [()] * 5
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["doc_id", "hash", "at", "slots"])
+                                             ["doc_id", "text_key", "hash", "at", "slots"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"doc_id long, {_WINDOW_FIELDS}")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(F.col(id_col), F.col(text_col)).alias("text_key"),
+                         F.col(text_col).cast("string").alias("text"))
+    return source.mapInArrow(run, f"doc_id long, text_key string, {_WINDOW_FIELDS}")
 
 
 def _consistency(matches: DataFrame, key: list[str]) -> DataFrame:
@@ -194,9 +203,9 @@ def _consistency(matches: DataFrame, key: list[str]) -> DataFrame:
         F.sum("agreed").alias("agreed"), F.max("strict").alias("strict"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS,
-                 min_share: float = MIN_SHARE, min_agreement: float = MIN_AGREEMENT) -> DataFrame:
-    """``(doc_id, item_id, windows, share, slots, changed_slots, reparameterised)`` per leak."""
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS,
+           min_share: float = MIN_SHARE, min_agreement: float = MIN_AGREEMENT) -> DataFrame:
+    """The result of ``contaminated`` with the ``text_key`` of rows without doc_id."""
     items = written(item_windows(benchmark, window=window, min_tokens=min_tokens), "item-windows")
     bits, widths = _filter(items)
     right = items.select("item_id", "hash", F.col("at").alias("q"), F.col("slots").alias("item_slots"), "strict", "of")
@@ -204,30 +213,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         right = F.broadcast(right)
     matches = document_windows(docs, bits, widths).join(right, "hash").withColumn("shift", F.col("at") - F.col("q"))
     matches = written(matches.drop("hash", "at"), "template-matches")
-    key = ["doc_id", "item_id", "shift"]
+    key = ["doc_id", "text_key", "item_id", "shift"]
     named = [F.col(k).alias(f"_{k}") for k in key]
     slots = _consistency(matches, key)
     alignments = matches.select(*key, "q", "of").distinct().join(
         slots.select(*named, "slots", "changed", "agreed", "strict"),
         F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("item_id").eqNullSafe(F.col("_item_id"))
-        & (F.col("shift") == F.col("_shift")), "left")
+        & (F.col("text_key") == F.col("_text_key")) & (F.col("shift") == F.col("_shift")), "left")
     slot_count = F.coalesce("slots", F.lit(0))
     consistent = F.when(F.col("strict"), F.col("changed") == 0).otherwise(F.col("agreed") >= min_agreement * F.col("slots"))
     good = alignments.filter((slot_count == 0) | consistent)
     changed = F.max(F.coalesce("changed", F.lit(0)))
-    return (good.groupBy("doc_id", "item_id").agg(
+    return (good.groupBy("doc_id", "text_key", "item_id").agg(
         F.countDistinct("q").alias("windows"), F.first("of").alias("of"),
         F.max(slot_count).alias("slots"), changed.alias("changed_slots"))
         .withColumn("share", F.col("windows") / F.col("of")).filter(F.col("share") >= min_share)
-        .select("doc_id", "item_id", "windows", "share", "slots", "changed_slots",
+        .select("doc_id", "text_key", "item_id", "windows", "share", "slots", "changed_slots",
                 (F.col("changed_slots") > 0).alias("reparameterised")))
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``(doc_id, item_id, windows, share, slots, changed_slots, reparameterised)`` per leak."""
+    return _leaks(docs, benchmark, **options).drop("text_key")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that no item contaminates; all columns stay."""
-    (key,) = spare(docs, "key")
-    gone = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")
+    key, own = spare(docs, "key", "own")
+    # rows with neither id nor text go with any contaminated row without id
+    owns = F.when(F.col("doc_id").isNull(), F.array("text_key", F.lit(_NO_TEXT))).otherwise(F.array("text_key"))
+    gone = _leaks(docs, benchmark, **options).select(F.col("doc_id").alias(key), F.explode(owns).alias(own)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (_text_key(F.col("doc_id"), F.col("text")) == F.col(own))
+    return docs.join(gone, same, "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Cases in which an operator once did less than its whole job."""
 
-from factorlab.llm import pii
+from factorlab.llm import decontaminate, pii
 
 KEY = b"k"
 
@@ -29,3 +29,15 @@ def test_planted_mentions_are_replaced():
     assert names[0] == names[1] and names[2] == names[0].upper()
     assert {s[3] for s in pii.detect("at 2001:db8::1 and 2001:0DB8:0:0:0:0:0:1")} == {"2001:db8::1"}
     assert not pii.detect("std::vector a::b Face::Bad x[::2] ::1 at 12:30, version 3.0, 1.2.3")
+
+
+def test_clean_rows_without_id_stay(spark):
+    item = "On Monday the small farm sold 12 baskets of apples and kept 7 baskets for the winter"
+    halves = [item[:40], item[40:]]   # two halves in different rows are no leak
+    texts = ["Before that. " + item, "a clean text of its own", "", "a clean text of its own", *halves]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(1, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = [r.text for r in decontaminate.drop_contaminated(docs, bench).collect()]
+    assert sorted(kept, key=str) == sorted(texts[1:], key=str)
+    one = decontaminate.contaminated(docs, bench)
+    assert "text_key" not in one.columns and sorted(r.doc_id or 0 for r in one.collect()) == [0, 1]
