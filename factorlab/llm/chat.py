@@ -31,14 +31,14 @@ LOSS_ROLE = "assistant"
 # ------------------------------------------------------------------ template
 
 def escape(text: Column) -> Column:
-    r"""No ``###`` and no ``</turn>`` is left: backslash doubled, ``##`` -> ``#\#``, ``</`` -> ``<\/``."""
+    r"""No ``###`` and no ``</turn>`` is left: backslash doubled, ``#`` after ``#`` -> ``\h``, ``</`` -> ``<\t``."""
     text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    return F.replace(F.replace(text, F.lit("##"), F.lit("#\\#\\")), F.lit("</"), F.lit("<\\/"))
+    return F.replace(F.replace(text, F.lit("##"), F.lit("#\\h")), F.lit("</"), F.lit("<\\t"))
 
 
 def unescape(text: Column) -> Column:
-    pieces = F.split(text, r"\\\\")   # doubled backslashes first: what is left are the two marks
-    plain = F.transform(pieces, lambda p: F.replace(F.replace(p, F.lit("#\\#\\"), F.lit("##")), F.lit("<\\/"), F.lit("</")))
+    pieces = F.split(text, r"\\\\")   # doubled backslashes first: the marks end in a letter
+    plain = F.transform(pieces, lambda p: F.replace(F.replace(p, F.lit("\\h"), F.lit("#")), F.lit("\\t"), F.lit("/")))
     return F.array_join(plain, "\\")
 
 
@@ -48,7 +48,7 @@ def _escape_role(role: Column) -> Column:
 
 def _unescape_role(role: Column) -> Column:
     pieces = F.transform(F.split(role, r"\\\\"), lambda p: F.replace(F.replace(F.replace(
-        p, F.lit("\\c"), F.lit(":")), F.lit("#\\#\\"), F.lit("##")), F.lit("<\\/"), F.lit("</")))
+        p, F.lit("\\c"), F.lit(":")), F.lit("\\h"), F.lit("#")), F.lit("\\t"), F.lit("/")))
     return F.array_join(pieces, "\\")
 
 

@@ -1,6 +1,6 @@
 """Cases in which an operator once did less than its whole job."""
 
-from factorlab.llm import decontaminate, pii
+from factorlab.llm import chat, decontaminate, pii
 
 KEY = b"k"
 
@@ -41,3 +41,13 @@ def test_clean_rows_without_id_stay(spark):
     assert sorted(kept, key=str) == sorted(texts[1:], key=str)
     one = decontaminate.contaminated(docs, bench)
     assert "text_key" not in one.columns and sorted(r.doc_id or 0 for r in one.collect()) == [0, 1]
+
+
+def test_escapes_before_a_backslash(spark):
+    nasty = ["##\\", "##\\x", "###\\\\", "#\\h", "<\\t", "</\\", "a##\\\nb", "##:", "\\h", "\\\\h", "\\:"]
+    rows = [(1, i, "assistant" if i % 2 else nasty[i // 2 % len(nasty)], nasty[i % len(nasty)]) for i in range(2 * len(nasty))]
+    frame = chat.read_back(chat.conversations(chat.chain(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))))
+    (got,) = frame.collect()
+    assert [(t.role, t.text) for t in got.turns] == [r[2:] for r in rows]
+    assert got.loss_text == "".join(r[3] for r in rows if r[2] == "assistant")
+    assert got.formatted.count("### ") == got.formatted.count(" </turn>\n") == got.n_turns
