@@ -44,11 +44,18 @@ def _line_key(number: Column, line: Column) -> Column:
     return F.xxhash64(number, _canonical(line))
 
 
-def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, line_no, line, h1, h2)``: the non-blank lines, trimmed."""
+def _text_keys(text: Column) -> list[Column]:
+    """With the doc_id, the key of a row: rows of one key have one text."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(7), text)]
+
+
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False) -> DataFrame:
+    """``(doc_id, line_no, line, h1, h2)``: the non-blank lines, trimmed; ``t1``, ``t2`` of their texts if asked."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = source.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return (lines.select("doc_id", "line_no", _canonical(F.col("line")).alias("line")).filter("line <> ''")
+    own = ["t1", "t2"] if row_keys else []
+    keys = [k.alias(n) for k, n in zip(_text_keys(F.col("text")), own)]
+    lines = source.select("doc_id", *keys, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return (lines.select("doc_id", *own, "line_no", _canonical(F.col("line")).alias("line")).filter("line <> ''")
             .select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")))
 
 
@@ -125,9 +132,9 @@ def _neighbours(texts: DataFrame) -> DataFrame:
     return sides.filter(_one_word_apart(F.col("a"), F.col("b"))).groupBy("place").agg(F.min("partner").alias("partner"))
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    fuzzy_words: int = FUZZY_WORDS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``(doc_id, line_no, line_key, kept_doc_id, kept_line_no, word_edits)`` of the lines that go."""
+def _marked(docs: DataFrame, id_col: str, text_col: str, fuzzy_words: int = FUZZY_WORDS,
+            filter_bits: int = FILTER_BITS, row_keys: bool = False) -> DataFrame:
+    """The lines that go, with what they repeat (``kept``, ``word_edits``)."""
     lines = line_table(docs, id_col, text_col)
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     place = F.struct("doc_id", "line_no", "h1", "h2")
@@ -145,23 +152,36 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("h1", "h2", F.coalesce("partner", "place").alias("kept"),
                       F.when(F.col("partner").isNull(), 0).otherwise(1).alias("word_edits")))
     groups = written(groups, "line-groups")
-    found = lines.select("h1", "h2", "doc_id", "line_no", _line_key(F.col("line_no"), F.col("line")).alias("line_key"))
+    if row_keys:
+        found = line_table(docs, id_col, text_col, True).drop("line")
+    else:
+        found = lines.select("h1", "h2", "doc_id", "line_no", _line_key(F.col("line_no"), F.col("line")).alias("line_key"))
     return (found.join(groups, ["h1", "h2"])
             .filter(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))
-                      & (F.col("h1") == F.col("kept.h1"))))
+                      & (F.col("h1") == F.col("kept.h1")))))
+
+
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``(doc_id, line_no, line_key, kept_doc_id, kept_line_no, word_edits)`` of the lines that go."""
+    return (_marked(docs, id_col, text_col, **options)
             .select("doc_id", "line_no", "line_key", F.col("kept.doc_id").alias("kept_doc_id"),
                     F.col("kept.line_no").alias("kept_line_no"), "word_edits").distinct())
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the duplicate lines taken out of the text; every row and column stays."""
-    key, keys = spare(docs, "key", "keys")
-    gone = (duplicate_lines(docs, id_col, text_col, **options).groupBy(F.col("doc_id").alias(key))
-            .agg(F.collect_list("line_key").alias(keys)))
+    key, t1, t2, numbers = spare(docs, "key", "t1", "t2", "numbers")
+    # by row, not by doc_id: a list is never longer than one text, however many rows have no id
+    gone = (_marked(docs, id_col, text_col, row_keys=True, **options).select("doc_id", "t1", "t2", "line_no").distinct()
+            .groupBy(F.col("doc_id").alias(key), F.col("t1").alias(t1), F.col("t2").alias(t2))
+            .agg(F.collect_list("line_no").alias(numbers)))
     source = F.col(text_col).cast("string")
-    lines = F.filter(F.split(source, "\n"), lambda line, i: ~F.array_contains(keys, _line_key(i, line)))
-    text = F.when(F.col(keys).isNull(), source).otherwise(F.array_join(lines, "\n")).alias(text_col)
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)), "left")
+    # split once; array_except looks up by hash
+    rest = F.transform(F.array(F.split(source, "\n")), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(numbers)), lambda i: lines[i]), "\n"))[0]
+    text = F.when(F.col(numbers).isNull(), source).otherwise(rest).alias(text_col)
+    own = [k == F.col(t) for k, t in zip(_text_keys(source), (t1, t2))]
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)) & own[0] & own[1], "left")
     return joined.select(*[text if name == text_col else column for name, column in zip(docs.columns, own_columns(docs))])
 
 

@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-from factorlab.llm import chat, decontaminate, pii
+import re
+
+from factorlab.llm import chat, decontaminate, linededup, pii
 
 KEY = b"k"
 
@@ -51,3 +53,14 @@ def test_escapes_before_a_backslash(spark):
     assert [(t.role, t.text) for t in got.turns] == [r[2:] for r in rows]
     assert got.loss_text == "".join(r[3] for r in rows if r[2] == "assistant")
     assert got.formatted.count("### ") == got.formatted.count(" </turn>\n") == got.n_turns
+
+
+def test_lines_go_row_by_row(spark):
+    rows = [(None, f"own {i}\nseen in every row\nlast {i}") for i in range(300)] + [(1, "x\nseen in every row"), (1, "seen in every row\ny")]
+    docs = spark.createDataFrame([(None, "seen in every row"), *rows], "doc_id long, text string")
+    out = linededup.drop_lines(docs)
+    gone = {r.text for r in out.collect()}
+    assert gone == {"seen in every row", *(f"own {i}\nlast {i}" for i in range(300)), "x", "y"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    lists = [line for line in plan.splitlines() if "Aggregate" in line and "collect_list" in line]
+    assert lists and all(re.search(r"Aggregate \[doc_id#\d+L?, t1#\d+L?, t2#", line) for line in lists)
