@@ -1,7 +1,8 @@
 """Benchmark decontamination by template matching (operator 1).
 
 Texts become token sequences in which numbers, names and units are typed placeholders, so a
-question with other numbers or people keeps its template:
+question with other numbers or people keeps its template. Names are read in three ways (``VIEWS``),
+so that neither case nor the place in a sentence hides a copy; the best way counts:
 
 1. Every window of ``window`` template tokens gets a 64-bit hash; items shorter than that are one
    window of their own length. An item uses the windows that hold enough literal words; an item
@@ -22,11 +23,12 @@ short to tell and match nothing; an empty benchmark gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factorlab.llm.common import read_documents, slices, spare, written
@@ -44,8 +46,13 @@ BROADCAST_ROWS = 200_000
 CACHE_TOKENS = 200_000
 
 LITERAL, NUMBER, NAME, UNIT = range(4)
+#: Names are capitalised words inside a sentence; any capitalised words but ``OPENERS``; plain words.
+VIEWS = INNER, ANYWHERE, PLAIN = range(3)
+#: Characters of scripts without spaces: each is a token.
+_UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u108f\u1780-\u17d3"
+             "\u3005-\u3007\u3041-\u3096\u309d-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff")
 #: A token, with the sentence end before it if there is one.
-TOKEN = re.compile(r"(?:[.!?\n]\s*)?(?:\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*)")
+TOKEN = re.compile(rf"(?:[.!?\n]\s*)?(?:\d+(?:[.,]\d+)*|[{_UNSPACED}]|[^\W\d_{_UNSPACED}]+(?:['’][^\W\d_{_UNSPACED}]+)*)")
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand
 million billion dozen half""".split())
@@ -55,7 +62,16 @@ litres gallon gallons second seconds minute minutes hour hours day days week wee
 dollar dollars euro euros mph kmh degree degrees percent""".split())
 
 
-def classify(raw: str) -> tuple[int, str]:
+#: Words that open a sentence without being a name.
+OPENERS = frozenset("""a about after all also although always an and another any are as at be because been before both but by
+can could did do does during each either even every few find first for from given had has have he her here hers his how
+however i if in is it its just last let many may might more most much must my neither next no nor not now of often on once
+one only or other our out over please question answer several shall she should show since so some such suppose than that
+the their them then there these they this those though through to together under until up upon us was we were what when
+where whether which while who whom whose why will with without would yes yet you your""".split())
+
+
+def classify(raw: str, view: int = INNER) -> tuple[int, str]:
     """Type and value of one raw token (with its sentence end, if any)."""
     body = raw.lstrip(".!? \t\r\n\f\v   \x85\x1c\x1d\x1e\x1f")
     low = body.lower()
@@ -63,26 +79,42 @@ def classify(raw: str) -> tuple[int, str]:
         return NUMBER, low
     if low in UNITS:
         return UNIT, low
-    if body == raw and body[:1].isupper() and not body.isupper():
+    if view != PLAIN and body[:1].isupper() and not body.isupper() and (body == raw if view == INNER else low not in OPENERS):
         return NAME, low
     return LITERAL, low
 
 
 class Codes(dict):
-    """Raw token -> 64-bit code of its template token; the low two bits are the type."""
+    """Raw token -> place of its 64-bit template codes, one per view; the low two bits are the type."""
+
+    def __init__(self):
+        self.codes = array("Q")
+        self.seen = np.zeros((0, len(VIEWS)), np.uint64)
 
     def __missing__(self, raw: str) -> int:
+        for view in VIEWS:
+            kind, value = classify(raw, view)
+            text = value if kind == LITERAL else f"<{kind}>"
+            self.codes.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) & ~3 | kind)
+        self[raw] = place = len(self)
+        return place
+
+    def views(self, places: np.ndarray) -> np.ndarray:
+        """The codes of the tokens at ``places``: one row per view."""
+        if len(self.seen) < len(self):
+            self.seen = np.array(self.codes, np.uint64).reshape(-1, len(VIEWS))
+        return np.ascontiguousarray(self.seen[places].T)
+
+    def start_over(self) -> None:
         if len(self) >= CACHE_TOKENS:
             self.clear()
-        kind, value = classify(raw)
-        text = value if kind == LITERAL else f"<{kind}>"
-        self[raw] = code = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) & ~3 | kind
-        return code
+            self.__init__()
 
 
 def template(text: str | None, codes: Codes) -> tuple[list[str], np.ndarray]:
+    """The raw tokens of a text and their places in ``codes``."""
     raws = TOKEN.findall("\n" + text) if text else []
-    return raws, np.fromiter(map(codes.__getitem__, raws), np.uint64, len(raws))
+    return raws, np.fromiter(map(codes.__getitem__, raws), np.int64, len(raws))
 
 
 def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -98,11 +130,8 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
 
 def _slots(raws: list[str], codes: np.ndarray, start: int, width: int) -> list[str]:
     """``offset|type|value`` of every placeholder of a window."""
-    found = []
-    for j in np.flatnonzero(codes[start:start + width] & np.uint64(3)).tolist():
-        kind, value = classify(raws[start + j])
-        found.append(f"{j}|{kind}|{value}")
-    return found
+    return [f"{j}|{int(codes[start + j]) & 3}|{classify(raws[start + j])[1]}"
+            for j in np.flatnonzero(codes[start:start + width] & np.uint64(3)).tolist()]
 
 
 _WINDOW_FIELDS = "hash long, at long, slots array<string>"
@@ -110,29 +139,34 @@ _WINDOW_FIELDS = "hash long, at long, slots array<string>"
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                  window: int = WINDOW, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """``(item_id, hash, at, slots, width, strict, of)``: the windows used, ``of`` per item."""
+    """``(item_id, view, hash, at, slots, width, strict, of)``: the windows used, ``of`` per item and view."""
     def run(batches):
         codes = Codes()
         for part in slices(batches):
+            codes.start_over()
             rows = []
             for item, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                raws, code = template(text, codes)
+                raws, places = template(text, codes)
                 if len(raws) < min_tokens:
                     continue
                 width = min(window, len(raws))
-                hashes = window_hashes(code, width).view(np.int64).tolist()
-                literal = np.convolve((code & np.uint64(3)) == 0, np.ones(width, int), "valid")
-                used = np.flatnonzero(literal * 2 >= width).tolist()
-                strict = not used
-                used = used or list(range(len(hashes)))
-                rows += [(item, hashes[p], p, _slots(raws, code, p, width), width, strict, len(used)) for p in used]
-            cols = list(zip(*rows)) or [()] * 7
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.bool_(), pa.int64()]
+                read = codes.views(places)
+                for view, code in enumerate(read):
+                    if any((code == other).all() for other in read[:view]):
+                        continue
+                    hashes = window_hashes(code, width).view(np.int64).tolist()
+                    literal = np.convolve((code & np.uint64(3)) == 0, np.ones(width, int), "valid")
+                    used = np.flatnonzero(literal * 2 >= width).tolist()
+                    strict = not used
+                    used = used or list(range(len(hashes)))
+                    rows += [(item, view, hashes[p], p, _slots(raws, code, p, width), width, strict, len(used)) for p in used]
+            cols = list(zip(*rows)) or [()] * 8
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.bool_(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["item_id", "hash", "at", "slots", "width", "strict", "of"])
+                                             ["item_id", "view", "hash", "at", "slots", "width", "strict", "of"])
 
     source = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"item_id long, {_WINDOW_FIELDS}, width int, strict boolean, of long")
+    return source.mapInArrow(run, f"item_id long, view int, {_WINDOW_FIELDS}, width int, strict boolean, of long")
 
 
 def _filter(items: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -161,15 +195,30 @@ def document_windows(docs: DataFrame, bits: np.ndarray, widths: list[int], id_co
         codes = Codes()
         mask = np.uint64(FILTER_BITS - 1)
         for part in slices(batches):
+            codes.start_over()
             rows = []
-            for doc, text_key, text in zip(*(part.column(c).to_pylist() for c in range(3))):
-                raws, code = template(text, codes)
-                for width in widths:
+            docs, keys = part.column(0).to_pylist(), part.column(1).to_pylist()
+            found = [template(text, codes) for text in part.column(2).to_pylist()]
+            ends = np.cumsum([len(raws) for raws, _ in found])
+            # the texts of a slice are hashed as one; windows over their borders are left out
+            read = codes.views(np.concatenate([places for _, places in found]))
+            for width in widths:
+                before = []
+                for code in read:
                     hashes = window_hashes(code, width)
                     spot = hashes & mask
-                    passed = np.flatnonzero(bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1)
-                    signed = hashes.view(np.int64)
-                    rows += [(doc, text_key, int(signed[p]), p, _slots(raws, code, p, width)) for p in passed.tolist()]
+                    passed = bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1
+                    for other in before:
+                        passed[hashes == other] = 0
+                    before.append(hashes)
+                    passed = np.flatnonzero(passed)
+                    owners = np.searchsorted(ends, passed, side="right")
+                    for p, d in zip(passed.tolist(), owners.tolist()):
+                        if p + width <= ends[d]:
+                            raws = found[d][0]
+                            first = int(ends[d]) - len(raws)
+                            rows.append((docs[d], keys[d], int(hashes[p].view(np.int64)), p - first,
+                                         _slots(raws, code[first:ends[d]], p - first, width)))
             cols = list(zip(*rows)) or [()] * 5
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
@@ -208,28 +257,35 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_toke
     """The result of ``contaminated`` with the ``text_key`` of rows without doc_id."""
     items = written(item_windows(benchmark, window=window, min_tokens=min_tokens), "item-windows")
     bits, widths = _filter(items)
-    right = items.select("item_id", "hash", F.col("at").alias("q"), F.col("slots").alias("item_slots"), "strict", "of")
+    right = items.select("item_id", "view", "hash", F.col("at").alias("q"), F.col("slots").alias("item_slots"), "strict", "of")
     if items.count() <= BROADCAST_ROWS:
         right = F.broadcast(right)
     matches = document_windows(docs, bits, widths).join(right, "hash").withColumn("shift", F.col("at") - F.col("q"))
     matches = written(matches.drop("hash", "at"), "template-matches")
-    key = ["doc_id", "text_key", "item_id", "shift"]
+    key = ["doc_id", "text_key", "item_id", "view", "shift"]
     named = [F.col(k).alias(f"_{k}") for k in key]
     slots = _consistency(matches, key)
     alignments = matches.select(*key, "q", "of").distinct().join(
         slots.select(*named, "slots", "changed", "agreed", "strict"),
         F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("item_id").eqNullSafe(F.col("_item_id"))
-        & (F.col("text_key") == F.col("_text_key")) & (F.col("shift") == F.col("_shift")), "left")
+        & (F.col("text_key") == F.col("_text_key")) & (F.col("view") == F.col("_view")) & (F.col("shift") == F.col("_shift")), "left")
     slot_count = F.coalesce("slots", F.lit(0))
     consistent = F.when(F.col("strict"), F.col("changed") == 0).otherwise(F.col("agreed") >= min_agreement * F.col("slots"))
-    good = alignments.filter((slot_count == 0) | consistent)
+    alignments = alignments.withColumn("good", (slot_count == 0) | consistent)
+    # what the names inside sentences contradict, no other view may count
+    refused = F.max((F.col("view") == INNER) & ~F.col("good")).over(Window.partitionBy("doc_id", "text_key", "item_id", "shift"))
+    good = alignments.withColumn("refused", refused).filter(F.col("good") & ~F.col("refused"))
     changed = F.max(F.coalesce("changed", F.lit(0)))
-    return (good.groupBy("doc_id", "text_key", "item_id").agg(
+    views = (good.groupBy("doc_id", "text_key", "item_id", "view").agg(
         F.countDistinct("q").alias("windows"), F.first("of").alias("of"),
         F.max(slot_count).alias("slots"), changed.alias("changed_slots"))
-        .withColumn("share", F.col("windows") / F.col("of")).filter(F.col("share") >= min_share)
-        .select("doc_id", "text_key", "item_id", "windows", "share", "slots", "changed_slots",
-                (F.col("changed_slots") > 0).alias("reparameterised")))
+        .withColumn("share", F.col("windows") / F.col("of")).filter(F.col("share") >= min_share))
+    # the view with the largest share, then the fewest changes
+    best = F.max(F.struct("share", (-F.col("changed_slots")).alias("kept"), (-F.col("view")).alias("view"), "windows", "slots"))
+    return (views.groupBy("doc_id", "text_key", "item_id").agg(best.alias("best"))
+            .withColumn("changed_slots", -F.col("best.kept"))
+            .select("doc_id", "text_key", "item_id", "best.windows", "best.share", "best.slots", "changed_slots",
+                    (F.col("changed_slots") > 0).alias("reparameterised")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

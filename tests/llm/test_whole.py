@@ -64,3 +64,15 @@ def test_lines_go_row_by_row(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     lists = [line for line in plan.splitlines() if "Aggregate" in line and "collect_list" in line]
     assert lists and all(re.search(r"Aggregate \[doc_id#\d+L?, t1#\d+L?, t2#", line) for line in lists)
+
+
+def test_copies_in_another_case_or_place(spark):
+    capital, farm = "What is the capital of France?", "Tom has 12 apples. Anna takes 3 apples. Tom eats 2 apples. Anna sells 4 apples."
+    walk = "When Tom met Anna in Berlin they walked to Sara and Paul in Potsdam before Maria came home"
+    zh = "小明有三个苹果他又买了五个"
+    texts = ["Question: " + capital, "Paris is the capital of France.", walk.lower(), farm.replace("Tom", "Omar").replace("Anna", "Lena"),
+             "前面的话。" + zh + "。后面", "小明去学校上课了。", "He said, \"" + capital + "\"", "Omar has 12 apples. Lena takes 3 apples. Uli eats 2 apples. Mia sells 4 apples."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate([capital, walk, farm, zh])), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(0, 0): False, (2, 1): False, (3, 2): True, (4, 3): False, (6, 0): False}
