@@ -8,10 +8,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factorlab.session import ensure_checkpoint_dir
+from factorlab.session import cut_lineage, ensure_checkpoint_dir
 
 #: Texts per Python step inside an Arrow batch: bounds the Python objects alive at once.
 SLICE_ROWS = 256
@@ -100,3 +100,31 @@ def as_bytes(column: pa.Array) -> list:
 def sized_partitions(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     """Partition count from the row count; the session's shuffle count is the floor."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
+
+
+def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of a string column, one text after another, and the n + 1 offsets of the texts (nulls are empty)."""
+    column = pc.fill_null(column, "")
+    wide = pa.types.is_large_string(column.type)
+    _, places, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    offsets = np.frombuffer(places, np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets.astype(np.int64) - offsets[0]
+
+
+def globally_ranked(df: DataFrame, rank: str, *order: Column) -> DataFrame:
+    """``df`` with ``rank`` 1, 2, 3... in ``order``, without one task that sees all rows.
+
+    Rows are dealt by ranges of the order, sorted in their partitions and checkpointed; a partition's first rank comes
+    from the row counts before it (one row per partition, broadcast with that bound).
+    """
+    part, place, count, before = spare(df, "_part", "_place", "_count", "_before")
+    fixed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    local = fixed.withColumn(part, F.spark_partition_id()).withColumn(
+        place, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    counts = local.groupBy(part).agg(F.count(F.lit(1)).alias(count))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select(part, F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(before))
+    numbered = local.join(F.broadcast(firsts), part)
+    return numbered.select(*own_columns(df), (F.col(before) + F.col(place) + 1).cast("long").alias(rank))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factorlab.llm import ann, chat, decontaminate, langid, linededup, packing, pii, quality, simhash, warc
+from factorlab.llm import ann, chat, decontaminate, fim, langid, linededup, mixing, packing, pii, quality, resample, simhash, warc
 
 QUERIES = {
     "op1_template_decontamination": decontaminate.query,
@@ -15,8 +15,14 @@ QUERIES = {
     "op8_deletion_neighbourhood": linededup.query,
     "op9_splittable_warc": warc.query,
     "op10_empirical_bayes": quality.query,
+    "op11_sparse_index_fim": fim.query,
+    "op12_sainte_lague_mix": mixing.query,
+    "op13_position_crc_resample": resample.query,
 }
 
-#: No operator of this list can be written in SQL as a whole; each is tested against a
-#: brute-force version in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+#: The others have no SQL form as a whole (compression, tokenizers, linear programs, archives...); see tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op11_sparse_index_fim": fim.ORACLE,
+    "op12_sainte_lague_mix": mixing.ORACLE,
+    "op13_position_crc_resample": resample.ORACLE,
+}
