@@ -108,7 +108,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sources = globally_ranked(sources, "src", F.col("source").asc_nulls_last())
     turn = F.pmod(F.col("src") - 1, F.lit(len(weights))).cast("int") + 1
     sources = written(sources.withColumns({
-        "weight": F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn),
+        "grp": F.lit(0), "weight": F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn),
         "cap": (F.col("source_size") * repeat).cast("double"),
         "shards": F.ceil(F.col("rows") / shard_rows).cast("long")}), "mix-sources")
     sums = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("source_size").alias("words"), F.sum("shards").alias("shards")).first()
@@ -117,7 +117,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     target = F.col("cap") if math.isinf(level) else F.least("cap", F.col("weight") * level)
     sources = sources.withColumn("target", target)
     blocks = math.floor(amount / block_tokens + 0.5)
-    quotas = apportion(sources.select(F.lit(0).alias("grp"), F.col("src").alias("unit"), F.col("target").alias("votes"),
+    quotas = apportion(sources.select("grp", F.col("src").alias("unit"), F.col("target").alias("votes"),
                                       F.lit(blocks).cast("long").alias("seats")))
 
     key = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text_key", F.lit("")))
