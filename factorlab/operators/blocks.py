@@ -8,7 +8,7 @@ sizes, not by the data size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,24 @@ def broadcast_if_bounded(df: DataFrame, rows: int | None, row_bytes: int,
 
 def factor_row_bytes(k: int) -> int:
     return 8 * k + 32
+
+
+def running_before(df: DataFrame, key: str, place: str, value: Column, name: str, largest: int,
+                   span: int = 65_536) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the same ``key`` with a smaller ``place``.
+
+    Places are integers from 1 to ``largest``, each at most once in a key. A key is cut into bands
+    of ``span`` places, so no window group has more than ``span`` rows, however many rows a key has; what lies in earlier
+    bands is added from one row per key and band.
+    """
+    banded = df.withColumn("_band", block_of(place, span))
+    inside = Window.partitionBy(key, "_band").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast(df.select(value.alias("v")).schema[0].dataType)
+    here = banded.withColumn(name, F.coalesce(F.sum(value).over(inside), zero))
+    if largest <= span:
+        return here.drop("_band")
+    earlier = Window.partitionBy(key).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = banded.groupBy(key, "_band").agg(F.sum(value).alias("_sum")).select(
+        key, "_band", F.coalesce(F.sum("_sum").over(earlier), zero).alias("_before"))
+    return (here.join(bands, [key, "_band"]).withColumn(name, F.col(name) + F.col("_before"))
+            .drop("_band", "_before"))

@@ -2,15 +2,20 @@
 
 The long form ``(reviewer_index, asin_index, rating)`` is the primary representation; the
 list and dense-row forms exist because the original workflow builds them, and are derived from the
-de-duplicated pairs so every row is bounded by the number of items (or users).
+de-duplicated pairs so every row is bounded by the number of items (or users). Where that is too long
+for a row, the paged lists (``rating_pages``) and the blocked sparse matrix (``matrix_blocks``) hold the same
+entries in rows of a fixed largest size.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factorlab.functions.vectors import scatter_dense
+from factorlab.operators.blocks import block_of, max_id, running_before
 from factorlab.schemas import ITEM_IDX, RATING, USER_IDX
 
 
@@ -58,6 +63,57 @@ def item_user_matrix(pairs: DataFrame, num_users: int) -> DataFrame:
             .select(ITEM_IDX, scatter_dense("entries", num_users).alias("ratings")))
 
 
+def rating_pages(pairs: DataFrame, key: str = ITEM_IDX, other: str = USER_IDX, page_size: int = 10_000,
+                 span: int = 65_536) -> DataFrame:
+    """``(key, page, entries array<struct<pos, val>>)``: a key's list in pages of ``page_size`` entries, by ``pos``.
+
+    Page numbers come from running counts inside bands of ``span`` ids: an item rated by
+    every user is many pages made by many tasks, and no task or row holds its whole list.
+    """
+    placed = running_before(pairs, key, other, F.lit(1), "_at", max_id(pairs, other), span)
+    return placed.groupBy(key, F.floor(F.col("_at") / page_size).cast("int").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(other).alias("pos"), F.col("rating").alias("val")))).alias("entries"))
+
+
+_BLOCK = ("row_block int, col_block int, first_row int, first_col int, indptr array<int>, indices array<int>, "
+          "values array<int>")
+
+
+def matrix_blocks(pairs: DataFrame, row: str = USER_IDX, col: str = ITEM_IDX, block_rows: int = 256,
+                  block_cols: int = 1024) -> DataFrame:
+    """The sparse matrix in compressed-row blocks:
+    ``(row_block, col_block, first_row, first_col, indptr, indices, values)``.
+
+    Entries of row ``first_row + j`` are ``indices[indptr[j]:indptr[j + 1]]`` (columns counted from ``first_col``). Blocks without
+    an entry have no row; a block holds at most ``block_rows * block_cols`` entries of 8 bytes (2 MB by default).
+    """
+    def compress(table: pa.Table) -> pa.Table:
+        r, c, v = (table.column(name).to_numpy() for name in ("r", "c", "v"))
+        rb, cb = table.column("row_block")[0].as_py(), table.column("col_block")[0].as_py()
+        order = np.lexsort((c, r))
+        indptr = np.r_[0, np.cumsum(np.bincount(r, minlength=block_rows))]
+        lists = [pa.array([a.astype(np.int32)], pa.list_(pa.int32())) for a in (indptr, c[order], v[order])]
+        heads = [pa.array([x], pa.int32()) for x in (rb, cb, rb * block_rows + 1, cb * block_cols + 1)]
+        return pa.Table.from_arrays([*heads, *lists], names=["row_block", "col_block", "first_row", "first_col",
+                                                             "indptr", "indices", "values"])
+
+    rb, cb = block_of(row, block_rows), block_of(col, block_cols)
+    cells = pairs.select(rb.alias("row_block"), cb.alias("col_block"), (F.col(row) - 1 - rb * block_rows).cast("int").alias("r"),
+                         (F.col(col) - 1 - cb * block_cols).cast("int").alias("c"), F.col("rating").cast("int").alias("v"))
+    return cells.groupBy("row_block", "col_block").applyInArrow(compress, _BLOCK)
+
+
+def matrix_cells(blocks: DataFrame, row: str = USER_IDX, col: str = ITEM_IDX) -> DataFrame:
+    """The entries ``(row, col, rating)`` of a blocked matrix, row by row inside the JVM."""
+    rows = F.transform(F.sequence(F.lit(0), F.size("indptr") - 2), lambda j: F.struct(
+        (F.col("first_row") + j).alias("row"), F.get("indptr", j).alias("a"), (F.get("indptr", j + 1) - F.get("indptr", j)).alias("n")))
+    cut = blocks.select("first_col", "indices", "values", F.explode(rows).alias("at")).where("at.n > 0")
+    part = lambda c: F.slice(c, F.col("at.a") + 1, F.col("at.n"))
+    cells = cut.select(F.col("at.row").alias(row), "first_col", F.explode(F.arrays_zip(
+        part("indices").alias("c"), part("values").alias("v"))).alias("e"))
+    return cells.select(row, (F.col("first_col") + F.col("e.c")).alias(col), F.col("e.v").alias("rating"))
+
+
 def max_index(index_table: DataFrame, column: str) -> int:
     """Largest dense index (= number of ids): a single scalar aggregate."""
     value = index_table.agg(F.max(column)).first()[0]

@@ -107,9 +107,15 @@ def _dots(table: pa.Table) -> pa.Table:
 
 
 def user_cosine(pairs: DataFrame, block_users: int | None = None,
-                max_group_rows: int = 2_000_000) -> DataFrame:
+                max_group_rows: int = 2_000_000, min_cos: float | None = None) -> DataFrame:
     """``(u, v, cos)`` for every pair ``u <= v`` sharing at least one rated item
-    (the diagonal is included; pairs without a shared item have cosine 0 and are omitted)."""
+    (the diagonal is included; pairs without a shared item have cosine 0 and are omitted).
+
+    With ``min_cos`` only pairs at that floor, from an inverted index instead of block products.
+    """
+    if min_cos is not None:
+        from factorlab.operators.neighbours import cosine_at_least
+        return cosine_at_least(pairs, min_cos)
     n_users = max_id(pairs, USER_IDX)
     bs = block_users or _block_size(n_users, 8, 256, 2048)
     nb = max(1, math.ceil(n_users / bs))
@@ -226,9 +232,22 @@ def _scores_block(table: pa.Table) -> pa.Table:
                                  pa.array(acc[ru, ci])], schema=_SCORES_ARROW)
 
 
-def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None = None,
+def _scores_of_lists(pairs: DataFrame, lists: DataFrame, users: DataFrame | None) -> DataFrame:
+    """Weighted scores from bounded neighbour lists: one equi-join on the neighbour and one sum."""
+    own = user_norms(pairs).where("norm_sq > 0").select(
+        F.col(USER_IDX).alias("u"), F.col(USER_IDX).alias("v"), (F.col("norm_sq") / (F.col("norm") * F.col("norm"))).alias("cos"))
+    near = lists.select(F.col(USER_IDX).alias("u"), F.col("similar_index").alias("v"), "cos").unionByName(own)
+    if users is not None:
+        near = near.join(users.select(F.col(USER_IDX).alias("u")).distinct(), "u", "left_semi")
+    mass = near.groupBy("u").agg(F.sum("cos").alias("mass"))
+    rated = pairs.select(F.col(USER_IDX).alias("v"), ITEM_IDX, F.col("rating").cast("double").alias("r"))
+    sums = near.join(rated, "v").groupBy("u", ITEM_IDX).agg(F.sum(F.col("cos") * F.col("r")).alias("num"))
+    return sums.join(mass, "u").select(F.col("u").alias(USER_IDX), ITEM_IDX, (F.col("num") / F.col("mass")).alias("score"))
+
+
+def neighbour_scores(pairs: DataFrame, cos: DataFrame | None = None, block_users: int | None = None,
                      block_items: int | None = None, max_group_rows: int = 2_000_000,
-                     users: DataFrame | None = None) -> DataFrame:
+                     users: DataFrame | None = None, top_n: int | None = None) -> DataFrame:
     """``(reviewer_index, asin_index, score)`` for every user (of ``users``, if given: a table
     with ``reviewer_index``) and every item rated by at least one of the user's neighbours (other
     scores are 0 and omitted).
@@ -236,7 +255,15 @@ def neighbour_scores(pairs: DataFrame, cos: DataFrame, block_users: int | None =
     Groups are (user block, item block, neighbour split). A cosine row (u, v) goes only to item
     blocks in which v has a rating, a rating of v only to user blocks with a neighbour of v. The
     neighbour splits bound a group by the measured rows of both inputs.
+
+    With ``top_n``, v runs over the user itself and its ``top_n`` most similar users only; the cosines then come from
+    ``neighbours.top_neighbours`` and ``cos``, the table of all pairs, is not needed.
     """
+    if top_n is not None:
+        from factorlab.operators.neighbours import top_neighbours
+        return _scores_of_lists(pairs, top_neighbours(pairs, top_n), users)
+    if cos is None:
+        raise ValueError("neighbour_scores needs the cosine table or top_n")
     stats = pairs.agg(F.max(USER_IDX).alias("nu"), F.max(ITEM_IDX).alias("ni"),
                       F.count(F.lit(1)).alias("rows")).first()
     n_users, n_items, n_rows = int(stats["nu"] or 0), int(stats["ni"] or 0), int(stats["rows"])
@@ -288,3 +315,22 @@ def score_vectors(scores: DataFrame, n_items: int) -> DataFrame:
     entries = scores.groupBy(USER_IDX).agg(F.sort_array(F.collect_list(
         F.struct(F.col(ITEM_IDX).alias("pos"), F.col("score").alias("val")))).alias("e"))
     return entries.select(USER_IDX, scatter_dense("e", n_items, zero=0.0).alias("g_score_vector"))
+
+
+def _pieces(rows: DataFrame, pos: str, value: str, length: int, width: int, name: str) -> DataFrame:
+    at = F.col(pos) - F.col("piece") * width
+    entries = rows.withColumn("piece", block_of(pos, width)).groupBy(USER_IDX, "piece").agg(
+        F.sort_array(F.collect_list(F.struct(at.alias("pos"), F.col(value).alias("val")))).alias("e"))
+    size = F.least(F.lit(width), F.lit(length) - F.col("piece") * width)
+    return entries.select(USER_IDX, "piece", scatter_dense("e", size, zero=0.0).alias(name))
+
+
+def similarity_pieces(cos: DataFrame, n_users: int, width: int = 4096) -> DataFrame:
+    """``(reviewer_index, piece, Similarity array<double>)``: the vectors of ``similarity_vectors`` in pieces of ``width``
+    positions (piece p starts at position ``p * width + 1``); pieces of zeros only are left out."""
+    return _pieces(symmetric(cos).withColumnRenamed("u", USER_IDX), "v", "cos", n_users, width, "Similarity")
+
+
+def score_pieces(scores: DataFrame, n_items: int, width: int = 4096) -> DataFrame:
+    """``(reviewer_index, piece, g_score_vector array<double>)``: the same for ``score_vectors``."""
+    return _pieces(scores, ITEM_IDX, "score", n_items, width, "g_score_vector")
