@@ -17,6 +17,10 @@ def parse_values(line: Column) -> Column:
     return F.transform(F.split(stripped, ","), lambda s: s.try_cast("double"))
 
 
+def _finite(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
 def parse_examples(lines: DataFrame, width: int | None = None, column: str = "value") -> DataFrame:
     """``(features array<double>, label double, accepted boolean, n_values int)``.
 
@@ -27,7 +31,7 @@ def parse_examples(lines: DataFrame, width: int | None = None, column: str = "va
     vals = vals.select(
         "_v",
         F.size("_v").alias("n_values"),
-        F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))).alias("_numeric"),
+        F.forall("_v", _finite).alias("_numeric"),
     )
     if width is None:
         top = (vals.where("_numeric AND n_values > 1").groupBy("n_values").count()
@@ -42,6 +46,12 @@ def parse_examples(lines: DataFrame, width: int | None = None, column: str = "va
     )
 
 
+def reject_reason(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with ``reason``: null for accepted lines, ``width`` for numbers of another count, else ``not numeric``."""
+    numeric = F.forall("features", _finite) & F.coalesce(_finite(F.col("label")), F.lit(False))
+    return parsed.withColumn("reason", F.when(~F.col("accepted"), F.when(numeric, "width").otherwise("not numeric")))
+
+
 def accepted_examples(parsed: DataFrame, k: int | None = None) -> DataFrame:
     """Accepted rows split into the two halves: ``(user_vec, item_vec, label)``."""
     ok = parsed.where("accepted")

@@ -24,5 +24,12 @@ def write_examples_text(examples: DataFrame, path: str, user_vec="user_vec", ite
     examples.select(example_line(user_vec, item_vec, label).alias("value")).write.mode(mode).text(path)
 
 
-def read_examples_text(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
-    return parse_examples(spark.read.text(path), width)
+def read_examples_text(spark: SparkSession, path: str, width: int | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """Parsed training lines; files in another ``encoding`` (ISO-8859-1, for instance) go through the CSV reader, which
+    decodes it, with a separator and quotes that no line holds."""
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        lines = spark.read.text(path)
+    else:
+        lines = (spark.read.schema("value string").option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+                 .option("encoding", encoding).csv(path))
+    return parse_examples(lines, width)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factorlab.schemas import ITEM_ID, RATING, REVIEWS, USER_ID
 
@@ -21,6 +22,21 @@ def read_reviews_json(spark: SparkSession, path: str, drop_malformed: bool = Fal
     return reader.json(path)
 
 
+def scan_reviews_json(spark: SparkSession, path: str) -> DataFrame:
+    """``(reviewerID, asin, overall, line, reason)``: every line of the source, none dropped.
+
+    ``reason`` is null for a usable review, ``malformed`` for a line that is no JSON record or does not fit the schema, and
+    ``missing`` for a review without user, item or rating; ``line`` keeps what a rejected row said.
+    ``quarantine.split_rejects`` parts the rows and counts them while it reads.
+    """
+    schema = T.StructType([*REVIEWS.fields, T.StructField("_line", T.StringType())])
+    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").json(path)
+    holes = F.col(USER_ID).isNull() | F.col(ITEM_ID).isNull() | F.col(RATING).isNull()
+    reason = F.when(F.col("_line").isNotNull(), "malformed").when(holes, "missing")
+    line = F.when(F.col("_line").isNotNull(), F.col("_line")).when(holes, F.to_json(F.struct(USER_ID, ITEM_ID, RATING)))
+    return rows.select(USER_ID, ITEM_ID, RATING, line.alias("line"), reason.alias("reason"))
+
+
 def clean_reviews(reviews: DataFrame) -> DataFrame:
     """Drop reviews with a NULL user, item or rating before any index is assigned."""
     return reviews.select(USER_ID, ITEM_ID, RATING).na.drop(subset=[USER_ID, ITEM_ID, RATING])

@@ -107,7 +107,7 @@ def test_half_step_moves_no_rating(spark, broadcast_bytes):
     keyed = als.prepare_keyed(df, "reviewer_index", "asin_index", max_rows_per_group=200)
     Y = cut_lineage(als.initial_factors(df, "asin_index", 3))
     keyed.links()
-    plan = als.half_step(keyed, Y, 3, 1.0, broadcast_bytes, checkpoint=False)._jdf.queryExecution().executedPlan().toString()
+    plan = als.half_step(keyed, Y, 3, 1.0, broadcast_bytes, keep=lambda df: df)._jdf.queryExecution().executedPlan().toString()
     lines = plan.split("\n")
     scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line and "_nsalt" in line)
     depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
