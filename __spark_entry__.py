@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factorlab.functions.vectors import arithmetic_vector
-from factorlab.functions.parsing import accepted_examples, parse_examples
+from factorlab.functions.parsing import accepted_examples, parse_examples, reject_reason
 from factorlab.functions.vectors import dot, vector_sum
-from factorlab.operators import als, als_builtin, indexing, metrics, mlp, predict, ratings, recommend, similarity
-from factorlab.sources.examples import example_line, read_examples_text
+from factorlab.operators import (als, als_builtin, indexing, metrics, mlp, mlp_sync, neighbours, predict, ratings, recommend,
+                                 similarity)
 from factorlab.session import cut_lineage, ensure_checkpoint_dir
-from factorlab.sources.reviews import clean_reviews, ratings_from_orders, read_reviews_json
+from factorlab.sources import sinks
+from factorlab.sources.examples import example_line, read_examples_text
+from factorlab.sources.quarantine import split_rejects
+from factorlab.sources.reviews import clean_reviews, ratings_from_orders, read_reviews_json, scan_reviews_json
 
 # The training-data subpackage and the pipeline are optional; this is their only guard.
 _LLM = find_spec("factorlab.llm") is not None and find_spec("factorlab.llm.queries") is not None
@@ -74,6 +77,21 @@ def q_entity_counts(spark, sf_dir):
     return indexing.entity_counts(b["items"], b["users"])
 
 
+def q_approx_entity_counts(spark, sf_dir):
+    """Item and user counts from sketches stored per rating value and merged: exact counts, and whether the estimates are
+    within 5 %."""
+    b = _base(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/staged/sketches-{uuid.uuid4().hex}"
+    indexing.id_sketches(b["reviews"], "overall").write.parquet(path)
+    near = indexing.approximate_counts(indexing.merged_sketches(spark.read.parquet(path)))
+    exact = indexing.entity_counts(b["items"], b["users"])
+    both = exact.select(F.lit(1).alias("exact"), "*").unionByName(near.select(F.lit(0).alias("exact"), "*"))
+    top = lambda c, e: F.max(F.when(F.col("exact") == e, F.col(c)))
+    fine = lambda c: (F.abs(top(c, 0) - top(c, 1)) < 0.05 * top(c, 1)).alias(f"{c}_near")
+    names = ["num_distinct_asins", "num_distinct_reviewerIDs"]
+    return both.agg(*[top(c, 1).alias(c) for c in names], *[fine(c) for c in names])
+
+
 def q_item_index(spark, sf_dir):
     return _base(spark, sf_dir)["items"]
 
@@ -127,6 +145,20 @@ def q_item_matrix(spark, sf_dir):
     return m.select("asin_index", F.array_join("ratings", ",").alias("ratings"))
 
 
+def q_ratings_by_item_pages(spark, sf_dir):
+    """Item lists in pages of 16, from running counts in bands of 500 users."""
+    pages = ratings.rating_pages(_pairs(spark, sf_dir)["pairs"], page_size=16, span=500)
+    return _render_entries(pages.withColumn("key", F.struct("asin_index", "page")), "key").select(
+        "key.asin_index", "key.page", "ratings")
+
+
+def q_user_matrix_blocks(spark, sf_dir):
+    """The user-item matrix in compressed-row blocks, rebuilt to its dense rows."""
+    b = _pairs(spark, sf_dir)
+    cells = ratings.matrix_cells(ratings.matrix_blocks(b["pairs"], block_rows=64, block_cols=256))
+    return ratings.user_item_matrix(cells, b["n_items"]).select("reviewer_index", F.array_join("ratings", ",").alias("ratings"))
+
+
 # ---------------------------------------------------------------- step 3: prediction + metrics
 # Factors in these queries are the arithmetic start vectors (reproducible in SQL) over the
 # index tables, so prediction and metrics are checked on their own.
@@ -239,6 +271,21 @@ def q_als_objective(spark, sf_dir):
     return obj.select(*[F.round(c, 3).alias(c) for c in ("sse", "x_sq", "y_sq", "objective")])
 
 
+def q_als_objective_tracked(spark, sf_dir):
+    """The objective that the fit records after its second epoch, from the sums of the half-steps."""
+    model = als.fit(ratings.rating_triples(_pairs(spark, sf_dir)["indexed"]), k=2, lam=1.0, epochs=2, init="arithmetic", track=True)
+    return spark.createDataFrame([(len(model.history), model.history[-1])], "epochs long, objective double").select(
+        "epochs", F.round("objective", 3).alias("objective"))
+
+
+def q_als_fit_resumed(spark, sf_dir):
+    """A run that ends after one epoch, and a second call that goes on from its log."""
+    triples, run = ratings.rating_triples(_pairs(spark, sf_dir)["indexed"]), f"query-{uuid.uuid4().hex}"
+    settings = dict(k=2, lam=1.0, init="arithmetic", resume=run)
+    als.fit(triples, epochs=1, **settings)
+    return _sides(als.fit(triples, epochs=2, **settings), 2, 4)
+
+
 def _residuals(ratings_df, own, key, others, other, penalty):
     """``(key, n, residual)``: rows and the largest |Σ (x·y − r) y + penalty · x| per row of ``own``."""
     rows = (ratings_df.join(own.withColumnRenamed("features", "x"), key).join(others.withColumnRenamed("features", "y"), other)
@@ -291,6 +338,39 @@ def q_recommend_unseen_als(spark, sf_dir):
                                                   & ((F.size("s") < 2) | falling)).alias("ok"))
 
 
+def q_grid_preview(spark, sf_dir):
+    """The first 20 rows of the prediction grid in a total order, by SQL over registered views."""
+    sinks.register_views({"grid_rows": q_predict_grid(spark, sf_dir), "item_rows": _base(spark, sf_dir)["items"]})
+    return spark.sql("""SELECT g.reviewer_index, g.asin_index, i.asin, g.predicted_overall FROM grid_rows g
+        JOIN item_rows i ON i.asin_index = g.asin_index ORDER BY g.predicted_overall DESC, g.reviewer_index, g.asin_index LIMIT 20""")
+
+
+def q_factors_roundtrip(spark, sf_dir):
+    """Item factors written as text lines and read back."""
+    _, Y = _arith_factors(spark, sf_dir, 2)
+    path = f"{ensure_checkpoint_dir(spark)}/staged/factors-{uuid.uuid4().hex}"
+    sinks.write_factors(Y, path, fmt="text")
+    parts = F.regexp_extract_all("value", F.lit("[0-9.Ee+-]+"), F.lit(0))
+    return spark.read.text(path).select(parts.alias("p")).select(
+        F.col("p")[0].cast("int").alias("asin_index"), F.col("p")[1].cast("double").alias("f1"), F.col("p")[2].cast("double").alias("f2"))
+
+
+def q_predictions_csv_roundtrip(spark, sf_dir):
+    """Predictions written as CSV files in index order, with a header, and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/staged/csv-{uuid.uuid4().hex}"
+    rows = q_predict_ratings(spark, sf_dir)
+    sinks.write_sorted_csv(rows, path, "reviewer_index", "asin_index")
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+def q_user_lists_json_roundtrip(spark, sf_dir):
+    """The users' rating lists written as JSON lines and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/staged/json-{uuid.uuid4().hex}"
+    rows = ratings.ratings_by_user(_pairs(spark, sf_dir)["pairs"])
+    sinks.write_json(rows, path)
+    return _render_entries(spark.read.schema(rows.schema).json(path), "reviewer_index")
+
+
 # ---------------------------------------------------------------- step 7: similarity
 
 def _cos(spark, sf_dir):
@@ -316,6 +396,34 @@ def q_similar_users_top10_all(spark, sf_dir):
     return similarity.similar_users_all(_cos(spark, sf_dir)["cos"], n=10)
 
 
+def _cos_floor(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    if "cos_floor" not in b:
+        b["cos_floor"] = cut_lineage(similarity.user_cosine(b["pairs"], min_cos=0.1))
+    return b["cos_floor"]
+
+
+def q_user_cosine_floor(spark, sf_dir):
+    """Pairs with a cosine of 0.1 or more, from the prefix-filtered inverted index."""
+    return _cos_floor(spark, sf_dir)
+
+
+def q_similar_users_floor(spark, sf_dir):
+    """The five most similar users of each user among those with a cosine of 0.1 or more."""
+    return similarity.similar_users_all(_cos_floor(spark, sf_dir), n=5)
+
+
+def q_similar_users_best10(spark, sf_dir):
+    """Top 10 per user without the table of all pairs: blocks of 300 users, users over 70 ratings joined."""
+    return neighbours.top_neighbours(_pairs(spark, sf_dir)["pairs"], n=10, block_users=300, block_rows=8_000, hot_rows=70)
+
+
+def q_neighbour_scores_top20(spark, sf_dir):
+    """Weighted scores from each user and its 20 most similar users."""
+    return similarity.neighbour_scores(_pairs(spark, sf_dir)["pairs"], top_n=20).select(
+        "reviewer_index", "asin_index", F.round("score", 6).alias("score"))
+
+
 def q_similarity_mass(spark, sf_dir):
     return similarity.similarity_mass(_cos(spark, sf_dir)["cos"]).select(
         "reviewer_index", F.round("mass", 9).alias("mass"))
@@ -346,6 +454,21 @@ def q_score_vector(spark, sf_dir):
         .select("reviewer_index", (F.col("pos") + 1).alias("asin_index"), F.round("score", 6).alias("score"))
 
 
+def _unfold(pieces, vector, other, value, width):
+    return pieces.select("reviewer_index", "piece", F.posexplode(vector).alias("pos", value)).select(
+        "reviewer_index", (F.col("piece") * width + F.col("pos") + 1).alias(other), F.round(value, 6).alias(value))
+
+
+def q_similarity_pieces(spark, sf_dir):
+    b = _cos(spark, sf_dir)
+    return _unfold(similarity.similarity_pieces(b["cos"], b["n_users"], width=64), "Similarity", "other_index", "cos", 64)
+
+
+def q_score_pieces(spark, sf_dir):
+    b = _pairs(spark, sf_dir)
+    return _unfold(similarity.score_pieces(_scores(spark, sf_dir), b["n_items"], width=64), "g_score_vector", "asin_index", "score", 64)
+
+
 # ---------------------------------------------------------------- step 6: Spark ML ALS
 
 def _builtin(spark, sf_dir):
@@ -372,6 +495,20 @@ def q_builtin_user_factors(spark, sf_dir):
     return left.select("reviewer_index", "n", (F.col("residual") < 0.05).alias("ok"))
 
 
+def q_builtin_recommend(spark, sf_dir):
+    """Spark ML's ten best unseen items per user against exact scores of its factors, rank by rank (single precision)."""
+    b = _builtin(spark, sf_dir)
+    top = als_builtin.recommend_builtin(b["builtin"], b["pairs"], n=10)
+    users, items = als_builtin.builtin_factors(b["builtin"])
+    exact = recommend.recommend_unseen(users, items, b["pairs"], n=10).select(
+        "reviewer_index", "rec_rank", F.col("score").alias("exact"), F.col("asin_index").alias("best_item"))
+    pairs = b["pairs"].select("reviewer_index", "asin_index", F.lit(True).alias("rated"))
+    both = top.join(exact, ["reviewer_index", "rec_rank"], "full").join(pairs, ["reviewer_index", "asin_index"], "left")
+    fine = (F.abs(F.col("score") - F.col("exact")) < 1e-4) & F.col("rated").isNull()
+    return both.groupBy("reviewer_index").agg(F.count("asin_index").alias("n"), F.count("best_item").alias("n_exact"),
+                                              F.bool_and(F.coalesce(fine, F.lit(False))).alias("ok"))
+
+
 # ---------------------------------------------------------------- step 8: exported examples + regression
 
 def _example_lines(spark, sf_dir):
@@ -410,6 +547,30 @@ def q_examples_roundtrip(spark, sf_dir):
                       F.sum(F.when(F.col("accepted"), F.col("label"))).alias("label_sum"))
 
 
+def q_examples_rejects(spark, sf_dir):
+    """Training lines with bad ones among them, kept aside in the pass that reads them: counts per reason, and the metrics
+    observed on the way."""
+    bad = spark.createDataFrame([("([1.0], [2.0], 3.0)",), ("not a line",), ("([NaN], [2.0], 3.0)",), ("",)], "value string")
+    path = f"{ensure_checkpoint_dir(spark)}/staged/lines-{uuid.uuid4().hex}"
+    _example_lines(spark, sf_dir).unionByName(bad).write.text(path)
+    checked = split_rejects(reject_reason(read_examples_text(spark, path, 2 * PRED_K)))
+    rows = checked.accepted.select(F.lit("accepted").alias("reason")).unionByName(checked.rejected.select("reason"))
+    return rows.groupBy("reason").agg(F.count("*").alias("n")).withColumns(
+        {"observed_accepted": F.lit(checked.n_accepted), "observed_rejected": F.lit(checked.n_rejected)})
+
+
+def q_reviews_json_rejects(spark, sf_dir):
+    """The lines that a review scan can't use, with reason and text, beside the number of those it can."""
+    reviews = _base(spark, sf_dir)["reviews"]
+    holes = spark.createDataFrame([(None, "P1", 5.0), ("U1", None, 4.0), ("U1", "P1", None)], reviews.schema.names)
+    bad = spark.createDataFrame([("{broken",), ('{"reviewerID":"U1","asin":"P1","overall":"five"}',)], "value string")
+    path = f"{ensure_checkpoint_dir(spark)}/staged/reviews-{uuid.uuid4().hex}"
+    reviews.unionByName(holes).select(F.to_json(F.struct("*")).alias("value")).unionByName(bad).write.text(path)
+    checked = split_rejects(scan_reviews_json(spark, path))
+    total = checked.accepted.agg(F.lit("accepted").alias("reason"), F.lit(None).cast("string").alias("line"), F.count("*").alias("n"))
+    return total.unionByName(checked.rejected.select("reason", "line", F.lit(1).cast("long").alias("n")))
+
+
 def q_reviews_json_roundtrip(spark, sf_dir):
     """Reviews written as JSON lines, with NULL ids and a malformed line, scanned with the fixed schema."""
     reviews = _base(spark, sf_dir)["reviews"]
@@ -446,6 +607,19 @@ def q_mlp_mae(spark, sf_dir):
                                               < F.avg(F.abs(F.lit(median) - F.col("label")))).alias("below_median_baseline"))
 
 
+#: Steps, start and settings of ``mlp_adam_steps``, in Spark and in SQL.
+ADAM = dict(epochs=5, lr=0.02, hidden=(2,), seed=7)
+
+
+def q_mlp_adam_steps(spark, sf_dir):
+    """Predictions of a small net (two inputs, two hidden units) after five full-batch Adam steps in barrier stages."""
+    X, Y = _arith_factors(spark, sf_dir, 1)
+    ex = predict.with_factors(_base(spark, sf_dir)["indexed"], X, Y).select(
+        F.concat("reviewer_latent_vector", "asin_latent_vector").alias("features"), F.col("overall").alias("label"))
+    net = mlp_sync.fit_adam(ex, batch=1 << 40, **ADAM)
+    return mlp.predict_mlp(net, ex).select("label", F.round("prediction", 5).alias("prediction"))
+
+
 # ---------------------------------------------------------------- SQL oracles
 
 _RV = """rv AS (
@@ -559,6 +733,36 @@ _SIM = _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _NORMS, _COS)
 _SIM_SCORES = _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _NORMS, _COS, _SCORES)
 
 
+_BEST = """best AS (
+  SELECT u, v, cos FROM (SELECT u, v, cos, row_number() OVER (PARTITION BY u ORDER BY cos DESC, v) AS rn FROM sym WHERE u <> v) WHERE rn <= 20
+  UNION ALL SELECT u, v, cos FROM cos WHERE u = v)"""
+
+
+def _mlp_adam_sql() -> str:
+    """Five full-batch Adam steps of the 2-2-1 net, unrolled: parameters w1..w9 in the order of ``MLP.params``."""
+    start = [float(x) for x in mlp.init_mlp(2, ADAM["hidden"], ADAM["seed"]).params]
+    num = lambda x: f"CAST({x!r} AS DOUBLE)"
+    ks = range(1, len(start) + 1)
+    forward = """(SELECT e.*, {p}, greatest(x * w1 + y * w3 + w5, 0) AS a1, greatest(x * w2 + y * w4 + w6, 0) AS a2 FROM ex e, {state})""".replace(
+        "{p}", ", ".join(f"w{k}" for k in ks))
+    out = "(a1 * w7 + a2 * w8 + w9)"
+    ctes = ["ex AS (SELECT overall AS r, x1 AS x, y1 AS y FROM ir JOIN xf ON ir.reviewer_index = xf.reviewer_index "
+            "JOIN yf ON ir.asin_index = yf.asin_index)",
+            "s0 AS (SELECT " + ", ".join(f"{num(w)} AS w{k}, {num(0.0)} AS m{k}, {num(0.0)} AS v{k}" for k, w in zip(ks, start)) + ")"]
+    on = [f"(CASE WHEN a{j} > 0 THEN w{6 + j} ELSE 0 END)" for j in (1, 2)]
+    terms = [f"d * x * {on[0]}", f"d * x * {on[1]}", f"d * y * {on[0]}", f"d * y * {on[1]}", f"d * {on[0]}", f"d * {on[1]}", "d * a1", "d * a2", "d"]
+    for t in range(1, ADAM["epochs"] + 1):
+        sums = ", ".join(f"sum({g}) / count(*) AS g{k}" for k, g in zip(ks, terms))
+        ctes.append(f"g{t} AS (SELECT {sums} FROM (SELECT *, CAST(sign({out} - r) AS DOUBLE) AS d FROM {forward.replace('{state}', f's{t - 1}')}))")
+        moments = ", ".join(f"0.9::DOUBLE * m{k} + (1 - 0.9::DOUBLE) * g{k} AS m{k}, 0.999::DOUBLE * v{k} + (1 - 0.999::DOUBLE) * g{k} * g{k} AS v{k}, w{k}"
+                            for k in ks)
+        steps = ", ".join(f"w{k} - {num(ADAM['lr'])} * (m{k} / (1 - pow(0.9::DOUBLE, {t}))) / (sqrt(v{k} / (1 - pow(0.999::DOUBLE, {t}))) + 1e-7::DOUBLE) "
+                          f"AS w{k}, m{k}, v{k}" for k in ks)
+        ctes.append(f"s{t} AS (SELECT {steps} FROM (SELECT {moments} FROM s{t - 1}, g{t}))")
+    last = forward.replace("{state}", f"s{ADAM['epochs']}")
+    return _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(1), *ctes) + f"SELECT r AS label, round({out}, 5) AS prediction FROM {last}"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ratings_view": q_ratings_view,
@@ -602,6 +806,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dot_baseline_mae": q_dot_baseline_mae,
         "examples_roundtrip": q_examples_roundtrip,
         "reviews_json_roundtrip": q_reviews_json_roundtrip,
+        "approx_entity_counts": q_approx_entity_counts,
+        "ratings_by_item_pages": q_ratings_by_item_pages,
+        "user_matrix_blocks": q_user_matrix_blocks,
+        "als_objective_tracked": q_als_objective_tracked,
+        "als_fit_resumed": q_als_fit_resumed,
+        "grid_preview": q_grid_preview,
+        "factors_roundtrip": q_factors_roundtrip,
+        "predictions_csv_roundtrip": q_predictions_csv_roundtrip,
+        "user_lists_json_roundtrip": q_user_lists_json_roundtrip,
+        "user_cosine_floor": q_user_cosine_floor,
+        "similar_users_floor": q_similar_users_floor,
+        "similar_users_best10": q_similar_users_best10,
+        "neighbour_scores_top20": q_neighbour_scores_top20,
+        "similarity_pieces": q_similarity_pieces,
+        "score_pieces": q_score_pieces,
+        "builtin_recommend": q_builtin_recommend,
+        "examples_rejects": q_examples_rejects,
+        "reviews_json_rejects": q_reviews_json_rejects,
+        "mlp_adam_steps": q_mlp_adam_steps,
         "mlp_predictions": q_mlp_predictions,
         "mlp_mae": q_mlp_mae,
         **_LLM_QUERIES,
@@ -714,6 +937,62 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT reviewer_index FROM scores) u
             CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM items) + 1)) g
             LEFT JOIN scores s ON s.reviewer_index = u.reviewer_index AND s.asin_index = g.pos""",
+        "approx_entity_counts": _BASE + """SELECT (SELECT count(*) FROM items) AS num_distinct_asins,
+            (SELECT count(*) FROM users) AS num_distinct_reviewerIDs, true AS num_distinct_asins_near, true AS num_distinct_reviewerIDs_near""",
+        "ratings_by_item_pages": _BASE_P + """SELECT asin_index, CAST(rn // 16 AS INTEGER) AS page,
+            string_agg(CAST(reviewer_index AS varchar) || ':' || CAST(rating AS varchar), ',' ORDER BY reviewer_index) AS ratings
+            FROM (SELECT *, row_number() OVER (PARTITION BY asin_index ORDER BY reviewer_index) - 1 AS rn FROM pairs) GROUP BY asin_index, rn // 16""",
+        "user_matrix_blocks": _BASE_P + """SELECT u.reviewer_index,
+            string_agg(CAST(coalesce(p.rating, 0) AS varchar), ',' ORDER BY g.pos) AS ratings
+            FROM users u CROSS JOIN (SELECT CAST(range AS INTEGER) AS pos FROM range(1, (SELECT count(*) FROM items) + 1)) g
+            LEFT JOIN pairs p ON p.reviewer_index = u.reviewer_index AND p.asin_index = g.pos
+            GROUP BY u.reviewer_index""",
+        "als_objective_tracked": "SELECT 2 AS epochs, objective FROM (" + _als_objective_sql() + ")",
+        "als_fit_resumed": _als_sides_sql(2, 2),
+        "grid_preview": _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(PRED_K)) + f"""
+            SELECT x.reviewer_index, y.asin_index, items.asin, {_dot_sql(PRED_K)} AS predicted_overall
+            FROM (SELECT * FROM xf ORDER BY reviewer_index DESC LIMIT 10) x
+            CROSS JOIN (SELECT * FROM yf ORDER BY asin_index DESC LIMIT 100) y
+            JOIN items ON items.asin_index = y.asin_index ORDER BY predicted_overall DESC, reviewer_index, y.asin_index LIMIT 20""",
+        "factors_roundtrip": _with(_RV, _ITEMS, _USERS, _IR, _factor_ctes(2)) + "SELECT asin_index, y1 AS f1, y2 AS f2 FROM yf",
+        "predictions_csv_roundtrip": _PRED + "SELECT * FROM pred",
+        "user_lists_json_roundtrip": _BASE_P + """SELECT reviewer_index,
+            string_agg(CAST(asin_index AS varchar) || ':' || CAST(rating AS varchar), ',' ORDER BY asin_index)
+            AS ratings FROM pairs GROUP BY reviewer_index""",
+        "user_cosine_floor": _SIM + "SELECT u, v, cos FROM cos WHERE cos >= 0.1::DOUBLE",
+        "similar_users_floor": _SIM + """,
+            r AS (SELECT u, v, cos, row_number() OVER (PARTITION BY u ORDER BY cos DESC, v) AS rn
+                  FROM sym WHERE u <> v AND cos >= 0.1::DOUBLE)
+            SELECT u AS reviewer_index, CAST(rn AS INTEGER) AS sim_rank, v AS similar_index, cos FROM r WHERE rn <= 5""",
+        "similar_users_best10": _SIM + """,
+            r AS (SELECT u, v, cos, row_number() OVER (PARTITION BY u ORDER BY cos DESC, v) AS rn
+                  FROM sym WHERE u <> v)
+            SELECT u AS reviewer_index, CAST(rn AS INTEGER) AS sim_rank, v AS similar_index, cos FROM r WHERE rn <= 10""",
+        "neighbour_scores_top20": _with(_RV, _ITEMS, _USERS, _IR, _PAIRS, _NORMS, _COS, _BEST) + """
+            SELECT num.u AS reviewer_index, asin_index, round(num / mass, 6) AS score
+            FROM (SELECT b.u, p.asin_index, sum(b.cos * p.rating) AS num FROM best b JOIN pairs p ON p.reviewer_index = b.v GROUP BY 1, 2) num
+            JOIN (SELECT u, sum(cos) AS mass FROM best GROUP BY u) m ON m.u = num.u""",
+        "similarity_pieces": _SIM + """
+            SELECT p.u AS reviewer_index, CAST(g.pos AS INTEGER) AS other_index, round(coalesce(s.cos, CAST(0 AS double)), 6) AS cos
+            FROM (SELECT DISTINCT u, (v - 1) // 64 AS piece FROM sym) p
+            JOIN (SELECT range AS pos, (range - 1) // 64 AS piece FROM range(1, (SELECT count(*) FROM users) + 1)) g ON g.piece = p.piece
+            LEFT JOIN sym s ON s.u = p.u AND s.v = g.pos""",
+        "score_pieces": _SIM_SCORES + """
+            SELECT p.u AS reviewer_index, CAST(g.pos AS INTEGER) AS asin_index, round(coalesce(s.score, CAST(0 AS double)), 6) AS score
+            FROM (SELECT DISTINCT reviewer_index AS u, (asin_index - 1) // 64 AS piece FROM scores) p
+            JOIN (SELECT range AS pos, (range - 1) // 64 AS piece FROM range(1, (SELECT count(*) FROM items) + 1)) g ON g.piece = p.piece
+            LEFT JOIN scores s ON s.reviewer_index = p.u AND s.asin_index = g.pos""",
+        "builtin_recommend": _BASE_P + """SELECT reviewer_index, least(10, (SELECT count(*) FROM items) - count(*)) AS n,
+            least(10, (SELECT count(*) FROM items) - count(*)) AS n_exact, true AS ok FROM pairs GROUP BY reviewer_index""",
+        "examples_rejects": _BASE + """SELECT reason, n, (SELECT count(*) FROM ir) AS observed_accepted, 4 AS observed_rejected FROM
+            (SELECT 'accepted' AS reason, count(*) AS n FROM ir UNION ALL SELECT 'width', 1 UNION ALL SELECT 'not numeric', 3)""",
+        "reviews_json_rejects": _BASE + """SELECT 'accepted' AS reason, NULL AS line, count(*) AS n FROM rv
+            UNION ALL SELECT 'missing', '{"asin":"P1","overall":5.0}', 1
+            UNION ALL SELECT 'missing', '{"reviewerID":"U1","overall":4.0}', 1
+            UNION ALL SELECT 'missing', '{"reviewerID":"U1","asin":"P1"}', 1
+            UNION ALL SELECT 'malformed', '{broken', 1
+            UNION ALL SELECT 'malformed', '{"reviewerID":"U1","asin":"P1","overall":"five"}', 1""",
+        "mlp_adam_steps": _mlp_adam_sql(),
         "parse_examples": _PRED + f"SELECT {2 * PRED_K} AS width, overall AS label, round(predicted_overall, 9) AS dot FROM pred",
         "dot_baseline_mae": _PRED + "SELECT round(avg(abs(predicted_overall - overall)), 9) AS mae FROM pred",
         **_LLM_ORACLES,
