@@ -62,6 +62,8 @@ litres gallon gallons second seconds minute minutes hour hours day days week wee
 dollar dollars euro euros mph kmh degree degrees percent""".split())
 
 
+#: What can stand between the end of a sentence and the next word, as the token pattern has it.
+SENTENCE_END = ".!? \t\r\n\f\v   \x85\x1c\x1d\x1e\x1f"
 #: Words that open a sentence without being a name.
 OPENERS = frozenset("""a about after all also although always an and another any are as at be because been before both but by
 can could did do does during each either even every few find first for from given had has have he her here hers his how
@@ -71,17 +73,27 @@ the their them then there these they this those though through to together under
 where whether which while who whom whose why will with without would yes yet you your""".split())
 
 
-def classify(raw: str, view: int = INNER) -> tuple[int, str]:
-    """Type and value of one raw token (with its sentence end, if any)."""
-    body = raw.lstrip(".!? \t\r\n\f\v   \x85\x1c\x1d\x1e\x1f")
+def read(raw: str) -> tuple[tuple[int, ...], str]:
+    """Types (one per view) and value of one raw token (with its sentence end, if any)."""
+    body = raw.lstrip(SENTENCE_END)
     low = body.lower()
     if body[:1].isdigit() or low in NUMBER_WORDS:
-        return NUMBER, low
+        return (NUMBER, NUMBER, NUMBER), low
     if low in UNITS:
-        return UNIT, low
-    if view != PLAIN and body[:1].isupper() and not body.isupper() and (body == raw if view == INNER else low not in OPENERS):
-        return NAME, low
-    return LITERAL, low
+        return (UNIT, UNIT, UNIT), low
+    if body[:1].isupper() and not body.isupper():
+        return (NAME if body == raw else LITERAL, LITERAL if low in OPENERS else NAME, LITERAL), low
+    return (LITERAL, LITERAL, LITERAL), low
+
+
+def classify(raw: str, view: int = INNER) -> tuple[int, str]:
+    """Type and value of one raw token in one view."""
+    kinds, value = read(raw)
+    return kinds[view], value
+
+
+def _code(text: str, kind: int) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) & ~3 | kind
 
 
 class Codes(dict):
@@ -90,12 +102,12 @@ class Codes(dict):
     def __init__(self):
         self.codes = array("Q")
         self.seen = np.zeros((0, len(VIEWS)), np.uint64)
+        self.holders = [_code(f"<{kind}>", kind) for kind in range(4)]   # of the placeholders
 
     def __missing__(self, raw: str) -> int:
-        for view in VIEWS:
-            kind, value = classify(raw, view)
-            text = value if kind == LITERAL else f"<{kind}>"
-            self.codes.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) & ~3 | kind)
+        kinds, value = read(raw)
+        literal = _code(value, LITERAL) if LITERAL in kinds else 0
+        self.codes.extend([self.holders[kind] if kind else literal for kind in kinds])
         self[raw] = place = len(self)
         return place
 
