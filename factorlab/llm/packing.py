@@ -42,7 +42,7 @@ PIVOT = 1e-7
 #: Distinct words remembered by a worker in each of two generations.
 CACHE_WORDS = 120_000
 #: Text bytes tokenized in one step.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 
 
 # ------------------------------------------------------------------ tokens
