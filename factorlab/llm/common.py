@@ -17,6 +17,9 @@ from factorlab.session import cut_lineage, ensure_checkpoint_dir
 SLICE_ROWS = 256
 #: Bytes of one Arrow batch between Spark and Python.
 BATCH_BYTES = 16 << 20
+#: Fixed value: characters of scripts without spaces between words, as ranges of a character class.
+UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u108f\u1780-\u17d3"
+            "\u3005-\u3007\u3041-\u3096\u309d-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import read_documents, slices, spare, written
+from factorlab.llm.common import UNSPACED, read_documents, slices, spare, written
 
 WINDOW = 8
 MIN_TOKENS = 5
@@ -48,11 +48,8 @@ CACHE_TOKENS = 200_000
 LITERAL, NUMBER, NAME, UNIT = range(4)
 #: Names are capitalised words inside a sentence; any capitalised words but ``OPENERS``; plain words.
 VIEWS = INNER, ANYWHERE, PLAIN = range(3)
-#: Characters of scripts without spaces: each is a token.
-_UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1050-\u108f\u1780-\u17d3"
-             "\u3005-\u3007\u3041-\u3096\u309d-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff")
-#: A token, with the sentence end before it if there is one.
-TOKEN = re.compile(rf"(?:[.!?\n]\s*)?(?:\d+(?:[.,]\d+)*|[{_UNSPACED}]|[^\W\d_{_UNSPACED}]+(?:['’][^\W\d_{_UNSPACED}]+)*)")
+#: A token, with the sentence end before it if there is one; in scripts without spaces each character is one.
+TOKEN = re.compile(rf"(?:[.!?\n]\s*)?(?:\d+(?:[.,]\d+)*|[{UNSPACED}]|[^\W\d_{UNSPACED}]+(?:['’][^\W\d_{UNSPACED}]+)*)")
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand
 million billion dozen half""".split())

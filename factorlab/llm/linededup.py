@@ -1,8 +1,9 @@
 """Line de-duplication by a deletion-neighbourhood join (operator 8, DataFrame functions only).
 
-A line is compared as its words (split at single spaces, outer spaces trimmed). Two lines are
-near when they are equal or, if both have ``fuzzy_words`` words or more, one word was
-inserted, deleted or replaced. A line goes when an earlier line, by (doc_id, line_no), is
+A line is compared as its units: its words (split at single spaces, outer spaces trimmed), and in scripts written
+without spaces its characters. Two lines are near when they are equal or, if both have ``fuzzy_words`` units or
+more, one unit was inserted, deleted or replaced: the edit bound is a fifth of a line (similarity 0.8) at the
+shortest, and no bound of whole units fits a shorter one. A line goes when an earlier line, by (doc_id, line_no), is
 near it; the earliest such line is named. Whether that earlier line itself goes does not
 matter, so the answer does not depend on any order of work. Blank lines always stay.
 
@@ -15,7 +16,7 @@ matter, so the answer does not depend on any order of work. Blank lines always s
    for every i. Equal keys at the same i are replacements, the whole line against a
    shortened one is an insertion. The earliest line per key is an aggregate (combined before the
    shuffle), so a key shared by a third of all lines makes no pairs.
-4. Each proposed pair is verified word by word before it counts.
+4. Each proposed pair is verified unit by unit before it counts.
 
 Defined cases: a null text has no lines; a null doc_id sorts first; repeated rows of one doc_id
 are one document (their equal lines are kept or dropped alike); other columns are untouched.
@@ -26,10 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factorlab.llm.common import own_columns, read_documents, spare, written
+from factorlab.llm.common import UNSPACED, own_columns, read_documents, spare, written
 
-#: Lines shorter than this many words are only matched exactly.
-FUZZY_WORDS = 8
+#: One edit in this many units is a similarity of 0.8.
+FUZZY_WORDS = 5
 #: Bits of the candidate bitmap (broadcast: an eighth as many bytes at any input size).
 FILTER_BITS = 1 << 24
 #: Positions in one bitmap of Spark's ``bitmap_construct_agg``.
@@ -40,6 +41,12 @@ def _canonical(line: Column) -> Column:
     return F.trim(line)
 
 
+def _units(line: Column) -> Column:
+    """The units of a canonical line, joined by single spaces; a line without unspaced script is unchanged."""
+    apart = F.trim(F.regexp_replace(F.regexp_replace(line, f"([{UNSPACED}])", " $1 "), " +", " "))
+    return F.when((F.octet_length(line) > F.length(line)) & line.rlike(f"[{UNSPACED}]"), apart).otherwise(line)
+
+
 def _line_key(number: Column, line: Column) -> Column:
     return F.xxhash64(number, _canonical(line))
 
@@ -92,12 +99,12 @@ def _fetch(lines: DataFrame, wanted: DataFrame, filter_bits: int) -> DataFrame:
     place = F.struct("doc_id", "line_no", "h1", "h2")
     return (maybe.select("h1", "h2", "line", place.alias("at"))
             .join(wanted.select("h1", "h2", F.col("place").alias("first")), ["h1", "h2"])
-            .filter("at <=> first").select(F.col("first").alias("place"), F.split("line", " ").alias("words"))
+            .filter("at <=> first").select(F.col("first").alias("place"), F.split(_units(F.col("line")), " ").alias("words"))
             .dropDuplicates(["place"]))
 
 
 def _one_word_apart(a: Column, b: Column) -> Column:
-    """Two different word arrays are one insertion, deletion or replacement apart."""
+    """Two arrays of units are one insertion, deletion or replacement apart (or equal, from different lines)."""
     la, lb = F.size(a), F.size(b)
     at = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int")
     rest = lambda w, start, n: F.slice(w, start, n)
@@ -136,10 +143,10 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, fuzzy_words: int = FUZZ
             filter_bits: int = FILTER_BITS, row_keys: bool = False) -> DataFrame:
     """The lines that go, with what they repeat (``kept``, ``word_edits``)."""
     lines = line_table(docs, id_col, text_col)
-    words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    words = F.length("units") - F.length(F.replace("units", F.lit(" "), F.lit(""))) + 1
     place = F.struct("doc_id", "line_no", "h1", "h2")
-    distinct = (lines.select("doc_id", "line_no", "h1", "h2", words.alias("words"),
-                             _half_keys(F.col("line"), words).alias("halves"))
+    distinct = (lines.withColumn("units", _units(F.col("line")))
+                .select("doc_id", "line_no", "h1", "h2", words.alias("words"), _half_keys(F.col("units"), words).alias("halves"))
                 .groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("n"),
                                          F.first("words").alias("words"), F.first("halves").alias("halves")))
     distinct = written(distinct, "lines")

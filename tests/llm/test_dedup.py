@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 from factorlab.llm import components, linededup, simhash
+from factorlab.llm.common import UNSPACED
 
 SF = "/root/testdata/sf0.001"
 
@@ -101,17 +102,24 @@ def test_components_of_a_chain(spark):
     assert components.connected_components(edges.limit(0)).count() == 0
 
 
+def units(line):
+    if not re.search(f"[{UNSPACED}]", line):
+        return line.split(" ")
+    return re.findall(f"[{UNSPACED}]|[^ {UNSPACED}]+", line)
+
+
 def brute_lines(rows, least):
-    lines = [((d is not None, d or 0, i), line.strip(" ").split(" ")) for d, t in rows if t is not None
+    lines = [((d is not None, d or 0, i), line.strip(" ")) for d, t in rows if t is not None
              for i, line in enumerate(t.split("\n")) if line.strip(" ")]
 
     def near(a, b):
         if a == b:
             return 0
+        a, b = units(a), units(b)
         if min(len(a), len(b)) < least or abs(len(a) - len(b)) > 1:
             return None
         if len(a) == len(b):
-            return 1 if sum(x != y for x, y in zip(a, b)) == 1 else None
+            return 1 if sum(x != y for x, y in zip(a, b)) <= 1 else None
         a, b = max(a, b, key=len), min(a, b, key=len)
         return 1 if any(a[:k] + a[k + 1:] == b for k in range(len(a))) else None
     out = {}
@@ -127,6 +135,7 @@ def test_lines_match_brute_force(spark, seed):
     random.seed(seed)
     rows = [(d, "\n".join(" ".join(random.choice("ab") for _ in range(random.randint(0, 6)))
                           for _ in range(random.randint(0, 5))) if d % 9 else None) for d in range(50)]
+    rows += [(600 + d, "\n".join("".join(random.choice("中文 a") for _ in range(random.randint(1, 6))) for _ in range(4))) for d in range(25)]
     rows += [(None, "a b a b a"), (500, "  a b  a b \n\n"), (501, "page 1 of the long book\npage 2 of the long book\n the page 2 of the long book")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     flat = lambda d, n: (d is not None, d or 0, n)
@@ -140,6 +149,17 @@ def test_lines_match_brute_force(spark, seed):
             assert kept[d] == "\n".join(line for i, line in enumerate(text.split("\n")) if flat(d, i) not in expected)
 
 
+def test_short_and_unspaced_lines_are_near(spark):
+    """One word of seven, one word of five, one character of a line without spaces; two of five are too many."""
+    pairs = [("the cat sat on the red mat", "the cat sat on the red hat", True), ("one two three four five", "one two three four six", True),
+             ("今天天气非常好我们去公园", "今天天气非常好我们去花园", True), ("これは短い文です", "これは長い文です", True),
+             ("ยินดีต้อนรับทุกคน", "ยินดีต้อนรับทุกคม", True), ("one two three four", "one two three six", False),
+             ("aa bb cc dd ee", "aa bb cc xx yy", False)]
+    for first, second, near in pairs:
+        df = spark.createDataFrame([(1, first), (2, second)], "doc_id long, text string")
+        assert (linededup.duplicate_lines(df).count() == 1) == near, first
+
+
 def test_line_query_is_native(spark):
     df = linededup.query(spark, SF)
     plan = df._jdf.queryExecution().toString()
