@@ -6,8 +6,8 @@ smallest result names the language, and the relative distance to the runner-up i
 score below ``MARGIN`` is a rejection: the prediction stays, ``accepted`` is false.
 
 Bounds: ``docs_per_language`` sampled rows of at most ``chars_per_doc`` characters each make a
-dictionary of at most ``dictionary_bytes``; the ``max_languages`` most frequent labels are learned.
-Every text is then classified whole, whatever its length.
+dictionary of at most ``dictionary_bytes``. Every label is learned; with very many of them the dictionaries get
+smaller, so that all together stay within ``all_bytes``. Every text is then classified whole, whatever its length.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; without any learned
 language every text is ``und``; with one only, it has score 1. Ties go to the label with
@@ -29,7 +29,8 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 300
 CHARS_PER_DOC = 1500
 DICTIONARY_BYTES = 112_640
-MAX_LANGUAGES = 128
+#: Bytes of all dictionaries together, which go to every task: 128 MB, beyond 1,190 labels of the full size.
+ALL_BYTES = 128 << 20
 MARGIN = 0.02
 LEVEL = 3
 
@@ -43,18 +44,20 @@ def letters(text: str | None) -> str:
 
 def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
         docs_per_language: int = DOCS_PER_LANGUAGE, chars_per_doc: int = CHARS_PER_DOC,
-        dictionary_bytes: int = DICTIONARY_BYTES, max_languages: int = MAX_LANGUAGES) -> dict[str, bytes]:
+        dictionary_bytes: int = DICTIONARY_BYTES, all_bytes: int = ALL_BYTES) -> dict[str, bytes]:
     """Dictionary content per language from labelled rows (null text or label: not used)."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("draw")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     if not counts:
         return {}
+    dictionary_bytes = min(dictionary_bytes, all_bytes // len(counts))
+    docs_per_language = max(1, min(docs_per_language, dictionary_bytes // 100))
     # Thin each language to about twice its quota by a hash first, so that the ranking below sees few rows.
     scale = 1 << 20
-    share = F.create_map(*[F.lit(x) for c in counts for x in
-                           (c["lang"], min(scale, 1 + 2 * docs_per_language * scale // c["n"]))])
-    thin = rows.filter(F.pmod("draw", F.lit(scale)) < share[F.col("lang")])
+    shares = docs.sparkSession.createDataFrame(
+        [(c["lang"], min(scale, 1 + 2 * docs_per_language * scale // c["n"])) for c in counts], "lang string, share long")
+    thin = rows.join(F.broadcast(shares), "lang").filter(F.pmod("draw", F.lit(scale)) < F.col("share"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     start = F.greatest(F.lit(1), F.floor((F.length("text") - chars_per_doc) / 2).cast("int"))
     drawn = (thin.withColumn("rank", rank).filter(F.col("rank") <= docs_per_language)
