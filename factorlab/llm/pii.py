@@ -8,12 +8,13 @@
    card checksums, IBAN check digits, private or public address range, letter case; names keep gender and script.
 3. Collision check, over the distinct entities of the whole corpus: if two entities of a type have the
    same surrogate, or a surrogate is itself an entity of the corpus, all but the smallest owner move to
-   their next attempt, until none collides. Only these few exceptions have to reach the texts: as a
+   their next attempt, until none collides; a crowded format widens, names grow, and what still collides after
+   ``LEAVE`` attempts gets a keyed surrogate outside its format. Only these few exceptions have to reach the texts: as a
    broadcast table up to ``BROADCAST_ROWS``, beyond it by a join on the documents that mention them.
 4. Texts are rewritten in one pass without a shuffle of the texts.
 
 Defined cases: null text stays null, with no entities; an empty text stays empty; repeated rows are
-rewritten alike; null doc_ids too (with the joined exceptions as one document). All other columns stay; a
+rewritten alike; rows without doc_id too, told apart by their texts where exceptions are joined. All other columns stay; a
 column named ``entities`` is replaced. A mask (``password: ******``) is no secret and stays;
 so do ``::1`` and ``::``, which name no host.
 """
@@ -28,16 +29,18 @@ import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from factorlab.llm.common import own_columns, read_documents, slices, spare, written
 
 BROADCAST_ROWS = 100_000
-MAX_ATTEMPTS = 50
-#: Attempts within a format's own range before it widens.
-WIDEN = 4
+#: Attempts within a format's own range before it widens, and after which a surrogate leaves its format: a
+#: corpus can hold more entities of a type than the format has room for, and all of them must stay distinct.
+WIDEN, LEAVE = 4, 50
+#: How a surrogate outside its format begins.
+FREE = "surrogate-"
 ALPHANUMERIC = string.ascii_letters + string.digits
 
 # Titles with their gender, and common given names with theirs.
@@ -230,9 +233,12 @@ def _alike(c: str, draw: Stream) -> str:
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     """Canonical form of the surrogate of an entity."""
     draw = Stream(key, kind, canonical, attempt)
-    if kind.startswith(("given:", "surname:")):
+    if kind.startswith(("given:", "surname:")):   # crowded names get longer
         _, gender, script = kind.split(":")
-        return "".join(draw.pick(SYLLABLES[script]) for _ in range(4)) + draw.pick(ENDINGS[script][gender])
+        count = 4 + max(0, attempt - WIDEN + 1)
+        return "".join(draw.pick(SYLLABLES[script]) for _ in range(count)) + draw.pick(ENDINGS[script][gender])
+    if attempt >= LEAVE:
+        return f"{FREE}{kind}-" + "".join(draw.pick("0123456789abcdef") for _ in range(32))
     if kind == "email":
         local, _, domain = canonical.partition("@")
         tail = "".join(draw.pick("0123456789") for c in local if c.isdigit())
@@ -274,6 +280,8 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
 
 def render(kind: str, raw: str, plain: str) -> str:
     """The surrogate in the spelling of the mention."""
+    if plain.startswith(FREE):
+        return plain
     if kind in ("card", "phone"):
         digits = [i for i, c in enumerate(raw) if c.isdigit()]
         out = list(raw)
@@ -312,17 +320,23 @@ def rewrite(text: str, key: bytes, attempts: dict, memo: dict) -> tuple[str, lis
 # ------------------------------------------------------------------ Spark plan
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, kind, canonical)``, distinct within a document."""
+    """``(doc_id, text_key, kind, canonical)``, distinct within a document."""
     def run(batches):
         for part in slices(batches):
-            rows = [(doc, kind, canonical) for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if text
+            rows = [(doc, own, kind, canonical) for doc, text, own in zip(*(c.to_pylist() for c in part.columns)) if text
                     for kind, canonical in sorted({s[2:] for s in detect(text)})]
-            cols = list(zip(*rows)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()),
-                                              pa.array(cols[2], pa.string())], ["doc_id", "kind", "canonical"])
+            cols = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])],
+                                             ["doc_id", "text_key", "kind", "canonical"])
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                         _text_key(F.col(id_col), F.col(text_col)))
+    return source.mapInArrow(run, "doc_id long, text_key string, kind string, canonical string")
+
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, kind string, canonical string")
+def _text_key(doc_id: Column, text: Column) -> Column:
+    """Tells rows without doc_id apart by their text; empty for all others."""
+    return F.when(doc_id.isNull(), F.sha2(text.cast("string"), 256)).otherwise("").alias("text_key")
 
 
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
@@ -339,7 +353,7 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     # names of one kind family must differ whatever gender or script was seen
     family = F.substring_index("kind", ":", 1)
     originals = written(entities.select(family.alias("family"), F.col("canonical").alias("surrogate")).distinct(), "originals")
-    for _ in range(MAX_ATTEMPTS):
+    while True:   # ends: names grow, other types leave their format after ``LEAVE`` attempts
         owned = table.withColumn("family", family)
         owners = (owned.groupBy("family", "surrogate").agg(F.count("*").alias("n"), F.min(F.struct("canonical", "kind")).alias("owner"))
                   .join(originals.withColumn("real", F.lit(True)), ["family", "surrogate"], "left")
@@ -351,7 +365,6 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
             return table
         moved = clashes.mapInArrow(run, schema)
         table = written(table.join(clashes.select("kind", "canonical"), ["kind", "canonical"], "left_anti").unionByName(moved), "surrogates")
-    raise ValueError("surrogates still collide: the corpus holds more entities of a type than its format has room for")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text",
@@ -362,16 +375,18 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     moved = written(table.filter("attempt > 0").select("kind", "canonical", "attempt"), "exceptions")
     few = moved.count() <= broadcast_rows
     everywhere = {(r["kind"], r["canonical"]): r["attempt"] for r in moved.collect()} if few else {}
-    key_id, moves = spare(docs, "key_id", "moves")
+    key_id, key_text, moves = spare(docs, "key_id", "key_text", "moves")
     kept = [(f, c) for f, c in zip(docs.schema.fields, own_columns(docs)) if f.name not in (text_col, "entities")]
     names = [f.name for f, _ in kept]
     source = docs
     if few:
         source = source.withColumn(moves, F.lit(None).cast("array<struct<kind:string,canonical:string,attempt:int>>"))
     else:
-        by_doc = (found.join(moved, ["kind", "canonical"]).groupBy(F.col("doc_id").alias(key_id))
-                  .agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias(moves)))
-        source = source.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col(key_id)), "left")
+        # a list holds what one id (or, without one, one text) mentions
+        by_doc = (found.join(moved, ["kind", "canonical"]).groupBy(F.col("doc_id").alias(key_id), F.col("text_key").alias(key_text))
+                  .agg(F.collect_set(F.struct("kind", "canonical", "attempt")).alias(moves)))
+        source = source.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col(key_id))
+                             & (_text_key(F.col(id_col), F.col(text_col)) == F.col(key_text)), "left")
     # plain names inside the Arrow pass: the caller's may hold dots
     plain = [f"c{i}" for i in range(len(names))]
     source = source.select(*[c.alias(n) for n, (_, c) in zip(plain, kept)],
