@@ -195,3 +195,24 @@ def query(spark, sf_dir: str) -> DataFrame:
         F.sha2(told.cast("binary"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+#: The contract's columns from the rows themselves; only ``formatted_chars`` needs the template.
+ORACLE = r"""
+WITH all_rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+escaped AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '##', '#\h'), '</', '<\t') AS safe_text,
+    replace(replace(replace(replace(role, '\', '\\'), '##', '#\h'), '</', '<\t'), ':', '\c') AS safe_role FROM all_rows),
+told AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(length('### ' || safe_role || ': ' || safe_text || ' </turn>' || chr(10))) AS formatted_chars
+  FROM escaped GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM told
+"""

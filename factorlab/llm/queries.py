@@ -22,6 +22,8 @@ QUERIES = {
 
 #: The others have no SQL form as a whole (compression, tokenizers, linear programs, archives...); see tests/llm.
 ORACLE_SQL: dict[str, str] = {
+    "op5_reply_trees": chat.ORACLE,
+    "op9_splittable_warc": warc.ORACLE,
     "op11_sparse_index_fim": fim.ORACLE,
     "op12_sainte_lague_mix": mixing.ORACLE,
     "op13_position_crc_resample": resample.ORACLE,
