@@ -52,6 +52,8 @@ def _base(spark: SparkSession, sf_dir: str) -> dict:
         session_key = id(spark)
     key = (session_key, sf_dir)
     if key not in _MEMO:
+        for old in [k for k in _MEMO if k[0] != session_key]:     # tables of ended sessions
+            del _MEMO[old]
         reviews = clean_reviews(ratings_from_orders(spark, sf_dir))
         items, users, indexed = indexing.index_reviews(reviews)
         _MEMO[key] = {"reviews": reviews, "items": items, "users": users, "indexed": cut_lineage(indexed)}
@@ -454,6 +456,25 @@ def q_score_vector(spark, sf_dir):
         .select("reviewer_index", (F.col("pos") + 1).alias("asin_index"), F.round("score", 6).alias("score"))
 
 
+def q_similarity_mass_direct(spark, sf_dir):
+    """The users' similarity masses from sums per item, without any pair of users."""
+    return similarity.similarity_mass_direct(_pairs(spark, sf_dir)["pairs"]).select("reviewer_index", F.round("mass", 9).alias("mass"))
+
+
+def q_neighbour_scores_items(spark, sf_dir):
+    """All weighted scores through the table of item pairs."""
+    return similarity.neighbour_scores(_pairs(spark, sf_dir)["pairs"]).select(
+        "reviewer_index", "asin_index", F.round("score", 6).alias("score"))
+
+
+def q_neighbour_scores_users(spark, sf_dir):
+    """Weighted scores of every 50th user from their own cosine rows."""
+    b = _pairs(spark, sf_dir)
+    some = b["users"].where("reviewer_index % 50 = 0")
+    return similarity.neighbour_scores(b["pairs"], users=some).select(
+        "reviewer_index", "asin_index", F.round("score", 6).alias("score"))
+
+
 def _unfold(pieces, vector, other, value, width):
     return pieces.select("reviewer_index", "piece", F.posexplode(vector).alias("pos", value)).select(
         "reviewer_index", (F.col("piece") * width + F.col("pos") + 1).alias(other), F.round(value, 6).alias(value))
@@ -819,6 +840,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "similar_users_floor": q_similar_users_floor,
         "similar_users_best10": q_similar_users_best10,
         "neighbour_scores_top20": q_neighbour_scores_top20,
+        "similarity_mass_direct": q_similarity_mass_direct,
+        "neighbour_scores_items": q_neighbour_scores_items,
+        "neighbour_scores_users": q_neighbour_scores_users,
         "similarity_pieces": q_similarity_pieces,
         "score_pieces": q_score_pieces,
         "builtin_recommend": q_builtin_recommend,
@@ -972,6 +996,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT num.u AS reviewer_index, asin_index, round(num / mass, 6) AS score
             FROM (SELECT b.u, p.asin_index, sum(b.cos * p.rating) AS num FROM best b JOIN pairs p ON p.reviewer_index = b.v GROUP BY 1, 2) num
             JOIN (SELECT u, sum(cos) AS mass FROM best GROUP BY u) m ON m.u = num.u""",
+        "similarity_mass_direct": _SIM + "SELECT u AS reviewer_index, round(sum(cos), 9) AS mass FROM sym GROUP BY u",
+        "neighbour_scores_items": _SIM_SCORES + "SELECT reviewer_index, asin_index, round(score, 6) AS score FROM scores",
+        "neighbour_scores_users": _SIM_SCORES + """SELECT reviewer_index, asin_index, round(score, 6) AS score FROM scores
+            WHERE reviewer_index % 50 = 0""",
         "similarity_pieces": _SIM + """
             SELECT p.u AS reviewer_index, CAST(g.pos AS INTEGER) AS other_index, round(coalesce(s.cos, CAST(0 AS double)), 6) AS cos
             FROM (SELECT DISTINCT u, (v - 1) // 64 AS piece FROM sym) p

@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark import StorageLevel  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from factorlab.operators import als, als_builtin, indexing, metrics, mlp, predict, ratings, recommend, similarity  # noqa: E402
+from factorlab.operators import (als, als_builtin, indexing, metrics, mlp, mlp_sync, neighbours, predict, ratings,  # noqa: E402
+                                 recommend, similarity)
 from factorlab.session import cut_lineage, local_session  # noqa: E402
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders  # noqa: E402
 
@@ -103,10 +104,16 @@ def _steps(spark, sf_dir, timed):
     # 6. all-pairs user cosine
     timed("user_cosine", lambda: run(similarity.user_cosine(pairs)))
 
+    # the same questions without the table of all pairs
+    timed("cosine_floor_0.8", lambda: run(similarity.user_cosine(pairs, min_cos=0.8)))
+    timed("top_neighbours_10", lambda: run(neighbours.top_neighbours(pairs, 10)))
+    timed("neighbour_scores_top20", lambda: run(similarity.neighbour_scores(pairs, top_n=20)))
+    timed("similarity_mass_direct", lambda: run(similarity.similarity_mass_direct(pairs)))
+
     # weighted scores and dense similarity rows of 200 users
     some = users.filter("reviewer_index <= 200").select("reviewer_index")
+    timed("neighbour_scores_200_users", lambda: run(similarity.neighbour_scores(pairs, users=some)))
     cos = cut_lineage(similarity.user_cosine(pairs))
-    timed("neighbour_scores_200_users", lambda: run(similarity.neighbour_scores(pairs, cos, users=some)))
     near = similarity.symmetric(cos).join(some.withColumnRenamed("reviewer_index", "u"), "u", "left_semi")
     timed("similarity_vectors_200_users", lambda: run(similarity.similarity_vectors(
         near.filter("u <= v"), users.count())))
@@ -115,12 +122,15 @@ def _steps(spark, sf_dir, timed):
     def builtin():
         m = als_builtin.fit_builtin(triples, 20, 15, 0.01, 42)
         run(metrics.error_metrics(als_builtin.predict_builtin(m, triples)))
-    timed("builtin_als", builtin)
+        return m
+    built = timed("builtin_als", builtin)
+    timed("builtin_recommend", lambda: run(als_builtin.recommend_builtin(built, pairs, n=10)))
 
     # 8. MLP regressor on the learnt factors, 2 epochs
     examples = cut_lineage(predict.with_factors(indexed, model.user_factors, model.item_factors).select(
         F.concat("reviewer_latent_vector", "asin_latent_vector").alias("features"), F.col("overall").alias("label")))
     timed("mlp_fit_2_epochs", lambda: mlp.fit_mlp(examples, epochs=2))
+    timed("mlp_adam_1_epoch", lambda: mlp_sync.fit_adam(examples, epochs=1))
 
 
 if __name__ == "__main__":

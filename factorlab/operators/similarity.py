@@ -3,7 +3,8 @@
     cos(u, v)   = Σ_i r_ui r_vi / (‖r_u‖ ‖r_v‖)          (ratings as int, 0 = unrated)
     score(u, i) = Σ_v cos(u, v) r_vi / Σ_v cos(u, v)     (all users v, u itself included)
 
-Both are sparse matrix products (R Rᵀ and S R). They are computed block-wise, never by a
+Both are sparse matrix products (R Rᵀ and S R). The mass Σ_v cos(u, v) and, through item pairs, the scores need no
+table of user pairs; floors and best-n lists are in ``neighbours``. Where all pairs are wanted, they are computed block-wise, never by a
 per-item self join: users are cut into contiguous index blocks, each rating row goes
 to the blocks that hold a partner (a rater of its item; at most that many copies), and one
 Arrow call (``applyInArrow``) per block group accumulates the products into a dense block-sized array with
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from factorlab.functions.vectors import scatter_dense
 from factorlab.operators.blocks import block_of, max_id
 from factorlab.schemas import ITEM_IDX, USER_IDX
+from factorlab.session import cut_lineage
 
 _PAIR_CHUNK = 8_000_000
 
@@ -116,28 +118,29 @@ def user_cosine(pairs: DataFrame, block_users: int | None = None,
     if min_cos is not None:
         from factorlab.operators.neighbours import cosine_at_least
         return cosine_at_least(pairs, min_cos)
-    n_users = max_id(pairs, USER_IDX)
-    bs = block_users or _block_size(n_users, 8, 256, 2048)
-    nb = max(1, math.ceil(n_users / bs))
-    # The largest user block bounds a group (a hot user makes its block large): split items
+    rows = pairs.select(F.col(USER_IDX).alias("u"), F.col(ITEM_IDX).alias("i"), F.col("rating").cast("double").alias("r"))
+    dots = _block_dots(rows, block_users, max_group_rows)
+    norms = user_norms(pairs)
+    nu = norms.select(F.col(USER_IDX).alias("u"), F.col("norm").alias("nu"))
+    nv = norms.select(F.col(USER_IDX).alias("v"), F.col("norm").alias("nv"))
+    return dots.join(nu, "u").join(nv, "v").select("u", "v", (F.col("dot") / (F.col("nu") * F.col("nv"))).alias("cos"))
+
+
+def _block_dots(rows: DataFrame, block: int | None = None, max_group_rows: int = 2_000_000) -> DataFrame:
+    """``(u, v, dot)``, ``u <= v``: dot products of the sparse rows ``u`` of ``(u, i, r)`` that share an ``i``."""
+    bs = block or _block_size(max_id(rows, "u"), 8, 256, 2048)
+    # The largest block bounds a group (a hot row makes its block large): split the i
     # so that two such blocks together stay under max_group_rows.
-    biggest = (pairs.groupBy(block_of(USER_IDX, bs).alias("blk")).count()
+    biggest = (rows.groupBy(block_of("u", bs).alias("blk")).count()
                .agg(F.max("count")).first()[0]) or 0
     splits = max(1, math.ceil(2 * biggest / max_group_rows))
-    rows = pairs.select(F.col(USER_IDX).alias("u"), F.col(ITEM_IDX).alias("i"),
-                        F.col("rating").cast("double").alias("r"),
-                        block_of(USER_IDX, bs).alias("blk"))
+    rows = rows.select("u", "i", "r", block_of("u", bs).alias("blk"))
     rows = _meeting(rows, "i", rows.select("i", F.col("blk").alias("o")).distinct()).select(
         "u", "i", "r", "blk",
         F.least("blk", "o").alias("ga"), F.greatest("blk", "o").alias("gb"),
         (F.pmod(F.xxhash64("i"), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)).alias("c"))
     dots = rows.groupBy("ga", "gb", "c").applyInArrow(_dots, _DOTS)
-    if splits > 1:
-        dots = dots.groupBy("u", "v").agg(F.sum("dot").alias("dot"))
-    norms = user_norms(pairs)
-    nu = norms.select(F.col(USER_IDX).alias("u"), F.col("norm").alias("nu"))
-    nv = norms.select(F.col(USER_IDX).alias("v"), F.col("norm").alias("nv"))
-    return dots.join(nu, "u").join(nv, "v").select("u", "v", (F.col("dot") / (F.col("nu") * F.col("nv"))).alias("cos"))
+    return dots if splits == 1 else dots.groupBy("u", "v").agg(F.sum("dot").alias("dot"))
 
 
 def _meeting(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
@@ -157,6 +160,30 @@ def similarity_mass(cos: DataFrame) -> DataFrame:
     return symmetric(cos).groupBy(F.col("u").alias(USER_IDX)).agg(F.sum("cos").alias("mass"))
 
 
+def similarity_mass_direct(pairs: DataFrame) -> DataFrame:
+    """``similarity_mass`` without any pair of users: with x = r / ‖r‖, Σ_v x_u · x_v = Σ_i x_ui (Σ_v x_vi).
+
+    Two joins and two sums over the ratings; the sum per item is combined before its shuffle.
+    """
+    norms = user_norms(pairs).where("norm_sq > 0").select(USER_IDX, "norm")
+    rows = pairs.join(norms, USER_IDX).select(USER_IDX, ITEM_IDX, (F.col("rating").cast("double") / F.col("norm")).alias("x"))
+    per_item = rows.groupBy(ITEM_IDX).agg(F.sum("x").alias("all"))
+    return rows.join(per_item, ITEM_IDX).groupBy(USER_IDX).agg(F.sum(F.col("x") * F.col("all")).alias("mass"))
+
+
+def cosine_rows(pairs: DataFrame, users: DataFrame) -> DataFrame:
+    """``(u, v, cos)`` for the chosen users ``u`` (column ``reviewer_index``) and every user ``v`` that shares an item, ``u``
+    itself included: the chosen users' ratings meet the others' in one equi-join, other pairs are never made."""
+    chosen = users.select(F.col(USER_IDX).alias("u")).distinct()
+    mine = pairs.select(F.col(USER_IDX).alias("u"), ITEM_IDX, F.col("rating").cast("double").alias("ru")).join(chosen, "u", "left_semi")
+    other = pairs.select(F.col(USER_IDX).alias("v"), ITEM_IDX, F.col("rating").cast("double").alias("rv"))
+    dots = mine.join(other, ITEM_IDX).groupBy("u", "v").agg(F.sum(F.col("ru") * F.col("rv")).alias("dot")).where("dot > 0")
+    norms = user_norms(pairs)
+    nu = norms.select(F.col(USER_IDX).alias("u"), F.col("norm").alias("nu"))
+    nv = norms.select(F.col(USER_IDX).alias("v"), F.col("norm").alias("nv"))
+    return dots.join(nu, "u").join(nv, "v").select("u", "v", (F.col("dot") / (F.col("nu") * F.col("nv"))).alias("cos"))
+
+
 # ------------------------------------------------------------------ single-user neighbours
 
 def similar_users(pairs: DataFrame, user: int | None = None, n: int = 10,
@@ -232,19 +259,43 @@ def _scores_block(table: pa.Table) -> pa.Table:
                                  pa.array(acc[ru, ci])], schema=_SCORES_ARROW)
 
 
-def _scores_of_lists(pairs: DataFrame, lists: DataFrame, users: DataFrame | None) -> DataFrame:
-    """Weighted scores from bounded neighbour lists: one equi-join on the neighbour and one sum."""
-    own = user_norms(pairs).where("norm_sq > 0").select(
-        F.col(USER_IDX).alias("u"), F.col(USER_IDX).alias("v"), (F.col("norm_sq") / (F.col("norm") * F.col("norm"))).alias("cos"))
-    near = lists.select(F.col(USER_IDX).alias("u"), F.col("similar_index").alias("v"), "cos").unionByName(own)
-    if users is not None:
-        near = near.join(users.select(F.col(USER_IDX).alias("u")).distinct(), "u", "left_semi")
+def _scores_of_rows(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """Weighted scores from cosine rows ``(u, v, cos)`` of some users or with few neighbours: one equi-join and one sum."""
     mass = near.groupBy("u").agg(F.sum("cos").alias("mass"))
     rated = pairs.select(F.col(USER_IDX).alias("v"), ITEM_IDX, F.col("rating").cast("double").alias("r"))
-    sums = near.join(rated, "v").groupBy("u", ITEM_IDX).agg(F.sum(F.col("cos") * F.col("r")).alias("num"))
+    sums = near.join(rated, "v").groupBy("u", ITEM_IDX).agg(F.sum(F.col("cos") * F.col("r")).alias("num")).where("num > 0")
     return sums.join(mass, "u").select(F.col("u").alias(USER_IDX), ITEM_IDX, (F.col("num") / F.col("mass")).alias("score"))
 
 
+def _sparse_product(left: DataFrame, right: DataFrame, n_users: int, n_items: int, block_users: int | None,
+                    block_items: int | None, max_group_rows: int) -> DataFrame:
+    """``(reviewer_index, asin_index, score)``: Σ_m left(u, m) · right(m, i) over ``left(u, m, w)`` and ``right(m, i, w)``.
+
+    Groups are (user block, item block, split of m). A left row goes only to item blocks in which its m has an entry, a right
+    row only to user blocks that have its m. The splits bound a group by the measured rows of both inputs.
+    """
+    if block_users is None or block_items is None:
+        # aim at 8 x 4 groups for parallelism, keep each part under max_group_rows and the
+        # accumulator at most 2048 x 4096 cells
+        per_user = max(1.0, left.count() / max(n_users, 1))
+        per_item = max(1.0, right.count() / max(n_items, 1))
+        block_users = block_users or int(max(1, min(2048, max(64, math.ceil(n_users / 8)), max_group_rows / per_user)))
+        block_items = block_items or int(max(1, min(4096, max(64, math.ceil(n_items / 4)), max_group_rows / per_item)))
+    s_base = left.select(block_of("u", block_users).alias("ga"), F.lit(0).alias("kind"), F.col("u").alias("a"),
+                         F.col("m").alias("b"), "w", F.col("m").alias("nb"))
+    r_base = right.select(block_of("i", block_items).alias("c"), F.lit(1).alias("kind"), F.col("m").alias("a"),
+                          F.col("i").alias("b"), "w", F.col("m").alias("nb"))
+    s_rows = _meeting(s_base, "nb", r_base.select("nb", "c").distinct())
+    r_rows = _meeting(r_base, "nb", s_base.select("nb", "ga").distinct())
+    columns = ["ga", "c", "nb", "kind", "a", "b", "w"]
+    both = s_rows.select(*columns).unionByName(r_rows.select(*columns))
+    biggest = (both.groupBy("ga", "c").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]) or 0
+    splits = max(1, math.ceil(biggest / max_group_rows))
+    split = F.pmod(F.xxhash64("nb"), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)
+    out = both.withColumn("vs", split).groupBy("ga", "c", "vs").applyInArrow(_scores_block, _SCORES)
+    return out if splits == 1 else out.groupBy(USER_IDX, ITEM_IDX).agg(F.sum("score").alias("score"))
+
+
 def neighbour_scores(pairs: DataFrame, cos: DataFrame | None = None, block_users: int | None = None,
                      block_items: int | None = None, max_group_rows: int = 2_000_000,
                      users: DataFrame | None = None, top_n: int | None = None) -> DataFrame:
@@ -252,50 +303,46 @@ def neighbour_scores(pairs: DataFrame, cos: DataFrame | None = None, block_users
     with ``reviewer_index``) and every item rated by at least one of the user's neighbours (other
     scores are 0 and omitted).
 
-    Groups are (user block, item block, neighbour split). A cosine row (u, v) goes only to item
-    blocks in which v has a rating, a rating of v only to user blocks with a neighbour of v. The
-    neighbour splits bound a group by the measured rows of both inputs.
+    How the sums are made depends on what is given; the scores are the same:
 
-    With ``top_n``, v runs over the user itself and its ``top_n`` most similar users only; the cosines then come from
-    ``neighbours.top_neighbours`` and ``cos``, the table of all pairs, is not needed.
+    * ``top_n``: v runs over the user itself and its ``top_n`` most similar users only
+      (``neighbours.top_neighbours``), which needs no table of all pairs.
+    * ``users`` without ``cos``: only the cosine rows of these users are made.
+    * neither: through the items. With x = r / ‖r‖, Σ_v (x_u · x_v) r_vi = Σ_j x_uj G_ji with G_ji = Σ_v r_vj r_vi / ‖r_v‖,
+      a symmetric table of item pairs that share a user; no pair of users is made.
+    * ``cos``: the product of the given cosine table (both directions) with the ratings.
     """
     if top_n is not None:
         from factorlab.operators.neighbours import top_neighbours
-        return _scores_of_lists(pairs, top_neighbours(pairs, top_n), users)
+        own = user_norms(pairs).where("norm_sq > 0").select(
+            F.col(USER_IDX).alias("u"), F.col(USER_IDX).alias("v"), (F.col("norm_sq") / (F.col("norm") * F.col("norm"))).alias("cos"))
+        near = top_neighbours(pairs, top_n).select(F.col(USER_IDX).alias("u"), F.col("similar_index").alias("v"), "cos").unionByName(own)
+        if users is not None:
+            near = near.join(users.select(F.col(USER_IDX).alias("u")).distinct(), "u", "left_semi")
+        return _scores_of_rows(pairs, near)
+    if cos is None and users is not None:
+        return _scores_of_rows(pairs, cut_lineage(cosine_rows(pairs, users)))
+
+    stats = pairs.agg(F.max(USER_IDX).alias("nu"), F.max(ITEM_IDX).alias("ni")).first()
+    sizes = (int(stats["nu"] or 0), int(stats["ni"] or 0), block_users, block_items, max_group_rows)
     if cos is None:
-        raise ValueError("neighbour_scores needs the cosine table or top_n")
-    stats = pairs.agg(F.max(USER_IDX).alias("nu"), F.max(ITEM_IDX).alias("ni"),
-                      F.count(F.lit(1)).alias("rows")).first()
-    n_users, n_items, n_rows = int(stats["nu"] or 0), int(stats["ni"] or 0), int(stats["rows"])
-    sym = symmetric(cos)
-    if users is not None:
-        sym = sym.join(users.select(F.col(USER_IDX).alias("u")).distinct(), "u", "left_semi")
-    if block_users is None or block_items is None:
-        n_sym = sym.count()
-        # aim at 8 x 4 groups for parallelism, keep each part under max_group_rows and the
-        # accumulator at most 2048 x 4096 cells
-        per_user = max(1.0, n_sym / max(n_users, 1))
-        per_item = max(1.0, n_rows / max(n_items, 1))
-        bu = block_users or int(max(1, min(2048, max(64, math.ceil(n_users / 8)), max_group_rows / per_user)))
-        bi = block_items or int(max(1, min(4096, max(64, math.ceil(n_items / 4)), max_group_rows / per_item)))
+        norms = user_norms(pairs).where("norm_sq > 0").select(USER_IDX, "norm")
+        rated = pairs.join(norms, USER_IDX)
+        r = F.col("rating").cast("double")
+        weighted = rated.select(F.col(ITEM_IDX).alias("u"), F.col(USER_IDX).alias("i"), (r / F.sqrt("norm")).alias("r"))
+        together = cut_lineage(_block_dots(weighted, max_group_rows=max_group_rows))
+        right = together.select(F.col("u").alias("m"), F.col("v").alias("i"), F.col("dot").alias("w")).unionByName(
+            together.where("u <> v").select(F.col("v").alias("m"), F.col("u").alias("i"), F.col("dot").alias("w")))
+        left = rated.select(F.col(USER_IDX).alias("u"), F.col(ITEM_IDX).alias("m"), (r / F.col("norm")).alias("w"))
+        mass = similarity_mass_direct(pairs)
     else:
-        bu, bi = block_users, block_items
-    s_base = sym.select(block_of("u", bu).alias("ga"), F.lit(0).alias("kind"), F.col("u").alias("a"),
-                        F.col("v").alias("b"), F.col("cos").alias("w"), F.col("v").alias("nb"))
-    r_base = pairs.select(block_of(ITEM_IDX, bi).alias("c"), F.lit(1).alias("kind"), F.col(USER_IDX).alias("a"),
-                          F.col(ITEM_IDX).alias("b"), F.col("rating").cast("double").alias("w"),
-                          F.col(USER_IDX).alias("nb"))
-    s_rows = _meeting(s_base, "nb", r_base.select("nb", "c").distinct())
-    r_rows = _meeting(r_base, "nb", s_base.select("nb", "ga").distinct())
-    columns = ["ga", "c", "nb", "kind", "a", "b", "w"]
-    both = s_rows.select(*columns).unionByName(r_rows.select(*columns))
-    biggest = (both.groupBy("ga", "c").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]) or 0
-    splits = max(1, math.ceil(biggest / max_group_rows))
-    split = F.pmod(F.xxhash64("nb"), F.lit(splits)).cast("int") if splits > 1 else F.lit(0)
-    num = both.withColumn("vs", split).groupBy("ga", "c", "vs").applyInArrow(_scores_block, _SCORES)
-    if splits > 1:
-        num = num.groupBy(USER_IDX, ITEM_IDX).agg(F.sum("score").alias("score"))
-    mass = sym.groupBy(F.col("u").alias(USER_IDX)).agg(F.sum("cos").alias("mass"))
+        sym = symmetric(cos)
+        if users is not None:
+            sym = sym.join(users.select(F.col(USER_IDX).alias("u")).distinct(), "u", "left_semi")
+        left = sym.select("u", F.col("v").alias("m"), F.col("cos").alias("w"))
+        right = pairs.select(F.col(USER_IDX).alias("m"), F.col(ITEM_IDX).alias("i"), F.col("rating").cast("double").alias("w"))
+        mass = sym.groupBy(F.col("u").alias(USER_IDX)).agg(F.sum("cos").alias("mass"))
+    num = _sparse_product(left, right, *sizes)
     return num.join(mass, USER_IDX).select(USER_IDX, ITEM_IDX, (F.col("score") / F.col("mass")).alias("score"))
 
 

@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", "")
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder") from None
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -122,8 +122,23 @@ def test_scores_of_the_nearest(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
     one = similarity.neighbour_scores(pairs, top_n=4, users=spark.createDataFrame([(8,)], "reviewer_index int"))
     assert {r.reviewer_index for r in one.collect()} == {8}
-    with pytest.raises(ValueError):
-        similarity.neighbour_scores(pairs)
+
+
+@pytest.mark.parametrize("kind", [{}, {"block_users": 16, "block_items": 8, "max_group_rows": 60}])
+def test_scores_through_items_and_for_chosen_users(spark, kind):
+    rows = structured(7)
+    pairs, cos = table(spark, rows), cosines(rows)
+    full = {(r.reviewer_index, r.asin_index): r.score for r in similarity.neighbour_scores(pairs, similarity.user_cosine(pairs)).collect()}
+    items = {(r.reviewer_index, r.asin_index): r.score for r in similarity.neighbour_scores(pairs, **kind).collect()}
+    assert items.keys() == full.keys() and all(abs(items[k] - full[k]) < 1e-12 for k in full)
+    chosen = spark.createDataFrame([(5,), (8,), (95,)], "reviewer_index int")
+    some = {(r.reviewer_index, r.asin_index): r.score for r in similarity.neighbour_scores(pairs, users=chosen).collect()}
+    assert some.keys() == {k for k in full if k[0] in (5, 8, 95)} and all(abs(some[k] - full[k]) < 1e-12 for k in some)
+    mass = {r.reviewer_index: r.mass for r in similarity.similarity_mass_direct(pairs).collect()}
+    want = {}
+    for (u, _), c in cos.items():
+        want[u] = want.get(u, 0) + c
+    assert mass.keys() == want.keys() and all(math.isclose(mass[u], want[u], rel_tol=1e-12) for u in want)
 
 
 def test_empty_tables(spark):
