@@ -40,9 +40,9 @@ ROUNDS = 1500
 #: Smallest pivot of a basis change.
 PIVOT = 1e-7
 #: Distinct words remembered by a worker in each of two generations.
-CACHE_WORDS = 120_000
+CACHE_WORDS = 200_000
 #: Text bytes tokenized in one step.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 
 # ------------------------------------------------------------------ tokens
