@@ -41,8 +41,8 @@ def test_segment_sums_match_loop(seg, k):
     rng = np.random.default_rng(len(seg))
     V, r = rng.random((len(seg), k)), rng.random(len(seg))
     starts = np.r_[0, np.flatnonzero(seg[1:] != seg[:-1]) + 1]
-    G, B, n = _segment_sums(V, r, starts, k)
+    G, B, n, sq = _segment_sums(V, r, starts, k)
     for j, s in enumerate(starts):
         e = starts[j + 1] if j + 1 < len(starts) else len(seg)
         assert np.allclose(G[j], V[s:e].T @ V[s:e]) and np.allclose(B[j], V[s:e].T @ r[s:e])
-        assert n[j] == e - s
+        assert n[j] == e - s and np.isclose(sq[j], r[s:e] @ r[s:e])
