@@ -159,6 +159,21 @@ def test_running_sums_and_ranks(spark):
     assert order == sorted(((k, p) for k, p, _ in rows), key=lambda e: (-e[0], e[1]))
 
 
+def test_running_sums_under_any_name(spark):
+    rows = [(1, p, 2.0) for p in range(1, 41)]
+    df = spark.createDataFrame(rows, "k int, p int, x double")
+    got = running_before(df, "k", "p", F.col("x"), "_before", 40, 7).collect()
+    assert len(got) == 40 and all(r["_before"] == 2.0 * (r.p - 1) for r in got)
+
+
+def test_user_blocks_beyond_one_band(spark):
+    degrees = spark.range(1, 70_001).select(F.col("id").cast("int").alias("u"), F.lit(3).cast("long").alias("n"))
+    blocks = neighbours.user_blocks(degrees, 1024, 1500)
+    assert blocks.count() == 70_000
+    held = blocks.groupBy("blk").agg(F.count("*").alias("c"), F.sum("n").alias("s")).agg(F.max("c"), F.max("s")).first()
+    assert held[0] <= 1024 and held[1] <= 1500 + 3
+
+
 def test_pages_of_an_item_that_everyone_rates(spark):
     rows = {(u, 1): u % 5 + 1 for u in range(1, 1001)} | {(3, 2): 4}
     pages = ratings.rating_pages(table(spark, rows), page_size=64, span=100).collect()
