@@ -19,7 +19,7 @@ from factorlab.functions.parsing import accepted_examples, parse_examples, rejec
 from factorlab.functions.vectors import dot, vector_sum
 from factorlab.operators import (als, als_builtin, indexing, metrics, mlp, mlp_sync, neighbours, predict, ratings, recommend,
                                  similarity)
-from factorlab.session import cut_lineage, ensure_checkpoint_dir
+from factorlab.session import cut_lineage, ensure_checkpoint_dir, staged
 from factorlab.sources import sinks
 from factorlab.sources.examples import example_line, read_examples_text
 from factorlab.sources.quarantine import split_rejects
@@ -45,7 +45,7 @@ _MEMO: dict = {}
 
 
 def _base(spark: SparkSession, sf_dir: str) -> dict:
-    """Clean reviews, both indexes and the indexed ratings of ``sf_dir`` (memoised)."""
+    """Clean reviews and both indexes of ``sf_dir`` (memoised)."""
     try:
         session_key = spark.sparkContext.applicationId   # unique per running context
     except Exception:  # Spark Connect
@@ -56,10 +56,20 @@ def _base(spark: SparkSession, sf_dir: str) -> dict:
             del _MEMO[old]
         reviews = clean_reviews(ratings_from_orders(spark, sf_dir))
         items, users, indexed = indexing.index_reviews(reviews)
-        _MEMO[key] = {"reviews": reviews, "items": items, "users": users, "indexed": cut_lineage(indexed)}
+        _MEMO[key] = {"reviews": reviews, "items": items, "users": users, "_indexed": indexed}
     return _MEMO[key]
 
 
+def _indexed(spark, sf_dir):
+    """``_base`` with the indexed ratings (written once, when a query needs them) and the largest indexes."""
+    b = _base(spark, sf_dir)
+    if "indexed" not in b:
+        b["indexed"] = staged(b["_indexed"], "indexed")[0]
+        b["n_items"] = ratings.max_index(b["items"], "asin_index")
+        b["n_users"] = ratings.max_index(b["users"], "reviewer_index")
+    return b
+
+
 # ---------------------------------------------------------------- step 1: ingest + index
 
 def q_ratings_view(spark, sf_dir):
@@ -103,17 +113,15 @@ def q_user_index(spark, sf_dir):
 
 
 def q_indexed_ratings(spark, sf_dir):
-    return _base(spark, sf_dir)["indexed"]
+    return _indexed(spark, sf_dir)["indexed"]
 
 
 # ---------------------------------------------------------------- step 2: grouping
 
 def _pairs(spark, sf_dir):
-    b = _base(spark, sf_dir)
+    b = _indexed(spark, sf_dir)
     if "pairs" not in b:
-        b["pairs"] = cut_lineage(ratings.rating_pairs(b["indexed"]))
-        b["n_items"] = ratings.max_index(b["items"], "asin_index")
-        b["n_users"] = ratings.max_index(b["users"], "reviewer_index")
+        b["pairs"] = staged(ratings.rating_pairs(b["indexed"]), "pairs")[0]
     return b
 
 
@@ -169,7 +177,7 @@ PRED_K = 20
 
 
 def _arith_factors(spark, sf_dir, k):
-    b = _pairs(spark, sf_dir)
+    b = _indexed(spark, sf_dir)
     memo = f"arith{k}"
     if memo not in b:
         b[memo] = (
@@ -180,7 +188,7 @@ def _arith_factors(spark, sf_dir, k):
 
 def q_predict_ratings(spark, sf_dir):
     X, Y = _arith_factors(spark, sf_dir, PRED_K)
-    b = _pairs(spark, sf_dir)
+    b = _indexed(spark, sf_dir)
     return predict.predict_ratings(b["indexed"], X, Y, b["n_users"], b["n_items"], PRED_K)
 
 
@@ -200,7 +208,7 @@ def q_train_mse(spark, sf_dir):
 # ---------------------------------------------------------------- step 4: own ALS (λ = 1)
 
 def _keyed(spark, sf_dir):
-    b = _pairs(spark, sf_dir)
+    b = _indexed(spark, sf_dir)
     if "by_user" not in b:
         triples = ratings.rating_triples(b["indexed"])
         b["by_user"] = als.prepare_keyed(triples, "reviewer_index", "asin_index")
@@ -209,7 +217,7 @@ def _keyed(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, k, epochs, init="arithmetic"):
-    b = _pairs(spark, sf_dir)
+    b = _indexed(spark, sf_dir)
     memo = ("fit", k, epochs, init)
     if memo not in b:
         b[memo] = als.fit(ratings.rating_triples(b["indexed"]), k=k, lam=1.0, epochs=epochs, init=init)
@@ -243,7 +251,7 @@ def q_als_normal_eq_k20(spark, sf_dir):
 
 
 def _first_half_step(spark, sf_dir, keyed, broadcast_bytes=64 << 20):
-    Y = als.initial_factors(_base(spark, sf_dir)["indexed"], "asin_index", 2, "arithmetic")
+    Y = als.initial_factors(_indexed(spark, sf_dir)["indexed"], "asin_index", 2, "arithmetic")
     X = als.half_step(keyed, Y, 2, 1.0, broadcast_bytes)
     return X.select(F.col("id").alias("reviewer_index"),
                     *[F.round(F.element_at("features", f), 6).alias(f"f{f}") for f in (1, 2)])
@@ -255,7 +263,7 @@ def q_als_half_step_users(spark, sf_dir):
 
 def q_als_half_step_users_large(spark, sf_dir):
     """The same step as it runs when factors are too many to broadcast and keys are split."""
-    triples = ratings.rating_triples(_pairs(spark, sf_dir)["indexed"])
+    triples = ratings.rating_triples(_indexed(spark, sf_dir)["indexed"])
     keyed = als.prepare_keyed(triples, "reviewer_index", "asin_index", max_rows_per_group=16)
     return _first_half_step(spark, sf_dir, keyed, broadcast_bytes=0)
 
@@ -269,20 +277,20 @@ def q_als_fit_rank2(spark, sf_dir):
 
 
 def q_als_objective(spark, sf_dir):
-    obj = als.objective(ratings.rating_triples(_base(spark, sf_dir)["indexed"]), _fit(spark, sf_dir, 2, 2))
+    obj = als.objective(ratings.rating_triples(_indexed(spark, sf_dir)["indexed"]), _fit(spark, sf_dir, 2, 2))
     return obj.select(*[F.round(c, 3).alias(c) for c in ("sse", "x_sq", "y_sq", "objective")])
 
 
 def q_als_objective_tracked(spark, sf_dir):
     """The objective that the fit records after its second epoch, from the sums of the half-steps."""
-    model = als.fit(ratings.rating_triples(_pairs(spark, sf_dir)["indexed"]), k=2, lam=1.0, epochs=2, init="arithmetic", track=True)
+    model = als.fit(ratings.rating_triples(_indexed(spark, sf_dir)["indexed"]), k=2, lam=1.0, epochs=2, init="arithmetic", track=True)
     return spark.createDataFrame([(len(model.history), model.history[-1])], "epochs long, objective double").select(
         "epochs", F.round("objective", 3).alias("objective"))
 
 
 def q_als_fit_resumed(spark, sf_dir):
     """A run that ends after one epoch, and a second call that goes on from its log."""
-    triples, run = ratings.rating_triples(_pairs(spark, sf_dir)["indexed"]), f"query-{uuid.uuid4().hex}"
+    triples, run = ratings.rating_triples(_indexed(spark, sf_dir)["indexed"]), f"query-{uuid.uuid4().hex}"
     settings = dict(k=2, lam=1.0, init="arithmetic", resume=run)
     als.fit(triples, epochs=1, **settings)
     return _sides(als.fit(triples, epochs=2, **settings), 2, 4)
@@ -301,7 +309,7 @@ def _residuals(ratings_df, own, key, others, other, penalty):
 def q_als_fit_k20(spark, sf_dir):
     """15 random-start epochs: every item factor (updated last) solves its normal equations, and
     every user has a finite factor of length 20."""
-    model, triples = _fit(spark, sf_dir, 20, 15, init="random"), ratings.rating_triples(_base(spark, sf_dir)["indexed"])
+    model, triples = _fit(spark, sf_dir, 20, 15, init="random"), ratings.rating_triples(_indexed(spark, sf_dir)["indexed"])
     items = _residuals(triples, model.item_factors, "asin_index", model.user_factors, "reviewer_index", lambda n: F.lit(1.0))
     users = triples.groupBy("reviewer_index").agg(F.count("*").alias("n")).join(model.user_factors, "reviewer_index", "left")
     fine = F.coalesce((F.size("features") == 20) & F.forall("features", lambda x: ~F.isnan(x)), F.lit(False))
@@ -378,7 +386,7 @@ def q_user_lists_json_roundtrip(spark, sf_dir):
 def _cos(spark, sf_dir):
     b = _pairs(spark, sf_dir)
     if "cos" not in b:
-        b["cos"] = cut_lineage(similarity.user_cosine(b["pairs"]))
+        b["cos"] = staged(similarity.user_cosine(b["pairs"]), "cos")[0]
     return b
 
 
@@ -401,7 +409,7 @@ def q_similar_users_top10_all(spark, sf_dir):
 def _cos_floor(spark, sf_dir):
     b = _pairs(spark, sf_dir)
     if "cos_floor" not in b:
-        b["cos_floor"] = cut_lineage(similarity.user_cosine(b["pairs"], min_cos=0.1))
+        b["cos_floor"] = staged(similarity.user_cosine(b["pairs"], min_cos=0.1), "cos-floor")[0]
     return b["cos_floor"]
 
 
@@ -535,7 +543,8 @@ def q_builtin_recommend(spark, sf_dir):
 def _example_lines(spark, sf_dir):
     """Training lines ``([x…], [y…], r)`` rendered from the arithmetic factors (k = 20)."""
     X, Y = _arith_factors(spark, sf_dir, PRED_K)
-    both = predict.with_factors(_base(spark, sf_dir)["indexed"], X, Y)
+    b = _indexed(spark, sf_dir)
+    both = predict.with_factors(b["indexed"], X, Y, b["n_users"], b["n_items"], PRED_K)
     return both.select(example_line("reviewer_latent_vector", "asin_latent_vector", "overall").alias("value"))
 
 
@@ -559,7 +568,7 @@ def q_examples_roundtrip(spark, sf_dir):
     accepted and rejected counts and the label sum."""
     lines = _example_lines(spark, sf_dir)
     bad = spark.createDataFrame([("([1.0], [2.0], 3.0)",), ("not a line",), ("([NaN], [2.0], 3.0)",), ("",)], "value string")
-    wide = _base(spark, sf_dir)["indexed"].groupBy().agg(F.concat(
+    wide = _indexed(spark, sf_dir)["indexed"].groupBy().agg(F.concat(
         F.lit("(["), F.array_join(F.array_repeat(F.lit("0.5"), 2 * PRED_K), ", "), F.lit("], [], NaN)")).alias("value"))
     path = f"{ensure_checkpoint_dir(spark)}/staged/lines-{uuid.uuid4().hex}"
     lines.unionByName(bad).unionByName(wide).write.text(path)
@@ -604,7 +613,7 @@ def q_reviews_json_roundtrip(spark, sf_dir):
 
 def _mlp(spark, sf_dir):
     """MLP on the learnt k = 20 factors (15 plain-λ ALS epochs), trained 30 epochs."""
-    b = _base(spark, sf_dir)
+    b = _indexed(spark, sf_dir)
     if "mlp" not in b:
         model = _fit(spark, sf_dir, 20, 15, init="random")
         ex = cut_lineage(predict.with_factors(b["indexed"], model.user_factors, model.item_factors).select(
@@ -635,7 +644,7 @@ ADAM = dict(epochs=5, lr=0.02, hidden=(2,), seed=7)
 def q_mlp_adam_steps(spark, sf_dir):
     """Predictions of a small net (two inputs, two hidden units) after five full-batch Adam steps in barrier stages."""
     X, Y = _arith_factors(spark, sf_dir, 1)
-    ex = predict.with_factors(_base(spark, sf_dir)["indexed"], X, Y).select(
+    ex = predict.with_factors(_indexed(spark, sf_dir)["indexed"], X, Y).select(
         F.concat("reviewer_latent_vector", "asin_latent_vector").alias("features"), F.col("overall").alias("label"))
     net = mlp_sync.fit_adam(ex, batch=1 << 40, **ADAM)
     return mlp.predict_mlp(net, ex).select("label", F.round("prediction", 5).alias("prediction"))

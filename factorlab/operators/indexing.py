@@ -57,12 +57,9 @@ def dense_indexes(reviews: DataFrame, specs: list[tuple[str, str]],
     (partition, tag), gives each tag's running offset across partitions and the number of
     rows of lower tags inside a partition (rows are sorted by tag, then id).
     """
-    tagged = None
-    for tag, (column, _) in enumerate(specs):
-        part = (reviews.select(F.lit(tag).alias("_tag"), F.col(column).cast("string").alias("_id"))
-                .where(F.col("_id").isNotNull()))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    ids = tagged.distinct()
+    entries = [F.struct(F.lit(tag).alias("_tag"), F.col(column).cast("string").alias("_id")) for tag, (column, _) in enumerate(specs)]
+    tagged = reviews.select(F.explode(F.array(*entries)).alias("_e")).select("_e._tag", "_e._id")      # reviews are read once
+    ids = tagged.where(F.col("_id").isNotNull()).distinct()
     ranged = (ids.repartitionByRange(num_partitions, "_tag", "_id") if num_partitions
               else ids.repartitionByRange("_tag", "_id"))
     ranged = cut_lineage(ranged.sortWithinPartitions("_tag", "_id"))

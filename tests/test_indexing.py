@@ -1,6 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from factorlab.operators import indexing
 from factorlab.sources.reviews import clean_reviews, ratings_from_orders
 from tests.conftest import SF
@@ -41,3 +42,25 @@ def test_combined_indexes_equal_separate_ones(spark):
             joined = got.join(ref, col)
             assert got.count() == ref.count() == joined.count()
             assert joined.where(f"ref != {idx}").count() == 0
+
+
+def test_indexes_read_the_reviews_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for rb in batches:
+            seen.add(rb.num_rows)
+            yield rb
+
+    rows = spark.range(100).selectExpr("concat('U', id % 7) AS reviewerID", "concat('P', id % 11) AS asin", "1.0D AS overall")
+    reviews = rows.mapInArrow(counted, rows.schema)
+    items, users = indexing.dense_indexes(reviews, [("asin", "asin_index"), ("reviewerID", "reviewer_index")])
+    assert (items.count(), users.count()) == (11, 7) and seen.value == 100
+
+
+def test_index_queries_leave_the_ratings_alone(spark, tmp_path):
+    for name in ("orders", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+    assert entry.queries()["user_index"](spark, str(tmp_path)).count() == 150
+    made = entry._base(spark, str(tmp_path))
+    assert "indexed" not in made and "pairs" not in made
