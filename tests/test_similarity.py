@@ -82,3 +82,14 @@ def test_dense_similarity_vector(tiny):
     vec = {r[0]: list(r[1]) for r in similarity.similarity_vectors(similarity.user_cosine(pairs), 3).collect()}
     assert vec[1][2] == 0.0 and abs(vec[1][0] - 1) < 1e-15 and vec[1][1] == vec[2][0]
     assert F is not None
+
+
+def test_cosine_joins_no_table_of_pairs(spark):
+    rows = [(u, i, (u * i) % 5 + 1) for u in range(1, 30) for i in range(1, 20) if (u + i) % 3]
+    pairs = spark.createDataFrame(rows, "reviewer_index int, asin_index int, rating int")
+    plain = {(r.u, r.v): r.cos for r in similarity.user_cosine(pairs, block_users=7).collect()}
+    split = similarity.user_cosine(pairs, block_users=7, max_group_rows=40)
+    assert {(r.u, r.v): r.cos for r in split.collect()} == plain
+    plan = similarity.user_cosine(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("FlatMapGroupsInArrow")]
+    assert "Join" not in above
