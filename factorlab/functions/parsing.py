@@ -27,7 +27,8 @@ def parse_examples(lines: DataFrame, width: int | None = None, column: str = "va
     ``width`` is the expected number of features (2k). If not given, the most frequent
     width among lines that parsed as numbers is used (one small aggregate).
     """
-    vals = lines.select(parse_values(F.col(column)).alias("_v"))
+    # one generated row per line: filters stay above it, so a line is parsed once and not again in every condition
+    vals = lines.select(F.explode(F.array(parse_values(F.col(column)))).alias("_v"))
     vals = vals.select(
         "_v",
         F.size("_v").alias("n_values"),

@@ -31,3 +31,17 @@ def test_mlp_beats_median(spark):
     pred = mlp.predict_mlp(net, df)
     m = pred.agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0]
     assert m < np.abs(y - np.median(y)).mean() * 0.5
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([(x,) for x in LINES], "value string").repartition(1)
+    plan = accepted_examples(parse_examples(lines, width=4))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
+def test_the_width_is_that_of_most_numeric_lines(spark):
+    two, three = "([1.0], [2.0], 3.0)", "([1.0, 2.0], [2.0], 3.0)"
+    for lines, good in (([two, three, three], 2), ([two, three, "a, b, c, d", "a, b, c, d"], 1), (["a, b", "c, d", two], 1),
+                        (["a, b"], 0), (["", "7"], 1), ([two] * 3 + ["a, b, c, d"] * 2, 3)):
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        assert parse_examples(df).where("accepted").count() == good
