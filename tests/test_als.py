@@ -162,3 +162,31 @@ def test_id_stats_bounds(spark):
     assert als.id_stats(dense, "u", "i") == (3, 2, 3)
     odd = spark.createDataFrame([(-5, 0, 1.0), (-3, 0, 1.0), (-3, 7, 1.0)], "u int, i int, r double")
     assert als.id_stats(odd, "u", "i") == (3, 2, 2)   # exact distinct counts below 1
+
+
+def test_factors_are_shipped_in_packed_pieces(spark, monkeypatch):
+    """A rating slice gets a few binary pieces, not one row per factor, and every factor it needs once."""
+    monkeypatch.setattr(als, "_PIECE", 4)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"u": rng.integers(1, 40, 400).astype("int32"), "i": rng.integers(1, 60, 400).astype("int32"),
+                        "overall": rng.integers(1, 6, 400).astype(float)})
+    keyed = als.prepare_keyed(spark.createDataFrame(pdf), "u", "i", num_partitions=3, max_rows_per_group=10)
+    links = keyed.links().collect()
+    assert len(links) <= 3 * 3 and len({(r["_q"], r["_pid"]) for r in links}) == len(links)
+    needed = {(i, r["_pid"]) for r in links for i in r["ids"]}
+    assert sum(len(r["ids"]) for r in links) == len(needed)
+    assert needed == {(r["i"], r["_pid"]) for r in keyed.df.select("i", "_pid").distinct().collect()}
+    Y = als.initial_factors(spark.createDataFrame(pdf).where("i <> 7"), "i", 3)     # one item without a factor
+    packed = {r["id"]: r["features"] for r in als.half_step(keyed, Y, 3, 1.0, 0).collect()}
+    joined = {r["id"]: r["features"] for r in als.half_step(keyed, Y, 3, 1.0).collect()}
+    assert packed.keys() == joined.keys() and all(np.allclose(packed[u], joined[u], atol=1e-12) for u in packed)
+
+
+def test_ratings_are_laid_out_once(spark, monkeypatch):
+    """Preparing the ratings writes no copy of them beside the persisted layout."""
+    written = []
+    real = als.cut_lineage
+    monkeypatch.setattr(als, "cut_lineage", lambda df: written.append(df.columns) or real(df))
+    df = spark.createDataFrame([(1, 1, 5.0), (2, 1, 3.0), (2, 2, 4.0)], "u int, i int, overall double")
+    als.prepare_keyed(df, "u", "i")
+    assert not any("r" in columns for columns in written)
