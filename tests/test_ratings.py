@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from factorlab.functions.vectors import scatter_dense, scatter_joined
 from factorlab.operators import indexing, ratings, similarity
 from factorlab.sources.reviews import clean_reviews
 
@@ -28,3 +31,27 @@ def test_lists_sorted(tiny):
 def test_norms(tiny):
     norms = {r[0]: r[1] for r in similarity.user_norms(_pairs(tiny)).collect()}
     assert norms == {1: 34.0, 2: 17.0, 3: 16.0}
+
+
+def test_joined_matrix_rows(spark, tiny):
+    pairs = _pairs(tiny)
+    for make in (ratings.user_item_matrix, ratings.item_user_matrix):
+        dense = make(pairs, 7)
+        key = dense.columns[0]
+        want = {r[0]: r[1] for r in dense.select(key, F.array_join("ratings", ",")).collect()}
+        assert {r[0]: r[1] for r in make(pairs, 7, joined=",").collect()} == want
+    assert {r[0]: r[1] for r in ratings.user_item_matrix(pairs, 3, joined=",").collect()} == {1: "5,3,0", 2: "4,0,1", 3: "0,0,4"}
+    odd = spark.createDataFrame([(2, [(1, None), (4, 2)]), (3, [(2, 3), (6, None)]), (4, [(6, 1)]), (5, None)],
+                                "k int, e array<struct<pos:int,val:int>>")
+    for r in odd.select(scatter_joined("e", 6, ";").alias("a"), F.array_join(scatter_dense("e", 6), ";").alias("b")).collect():
+        assert r.a == r.b
+    none = spark.createDataFrame([(1, [])], "k int, e array<struct<pos:int,val:int>>")
+    assert none.select(scatter_joined("e", 3, ";"), scatter_joined("e", 0, ";")).first()[:] == ("0;0;0", "")
+
+
+def test_long_matrix_row_without_its_array(spark):
+    width = 300_000_000                  # as an array of boxed numbers this row does not fit the driver
+    pairs = spark.createDataFrame([(1, 2, 5), (1, width, 3)], "reviewer_index int, asin_index int, rating int")
+    row = ratings.user_item_matrix(pairs, width, joined=",").select(
+        F.octet_length("ratings").alias("n"), F.expr("left(ratings, 7)").alias("a"), F.expr("right(ratings, 5)").alias("z")).first()
+    assert (row.n, row.a, row.z) == (2 * width - 1, "0,5,0,0", "0,0,3")
