@@ -1,3 +1,7 @@
+import contextlib
+import io
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from factorlab.functions.vectors import scatter_dense, scatter_joined
@@ -55,3 +59,26 @@ def test_long_matrix_row_without_its_array(spark):
     row = ratings.user_item_matrix(pairs, width, joined=",").select(
         F.octet_length("ratings").alias("n"), F.expr("left(ratings, 7)").alias("a"), F.expr("right(ratings, 5)").alias("z")).first()
     assert (row.n, row.a, row.z) == (2 * width - 1, "0,5,0,0", "0,0,3")
+
+
+def test_many_small_matrix_blocks(spark):
+    at = np.random.default_rng(3).integers(1, 50_000, (30_000, 2))
+    rows = {(int(u), int(i)): int((u + i) % 5 + 1) for u, i in at}
+    pairs = spark.createDataFrame([(u, i, r) for (u, i), r in rows.items()], "reviewer_index int, asin_index int, rating int")
+    blocks = ratings.matrix_blocks(pairs, block_rows=64, block_cols=256)
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        blocks.explain()
+    assert "FlatMapGroupsInArrow" not in plan.getvalue()          # no Python call per block
+    found = [(r.row_block, r.col_block) for r in blocks.select("row_block", "col_block").collect()]
+    assert len(found) == len(set(found)) > 25_000
+    assert {(r.reviewer_index, r.asin_index): r.rating for r in ratings.matrix_cells(blocks).collect()} == rows
+
+
+def test_matrix_block_over_many_batches(spark):
+    pairs = spark.range(60_000).selectExpr("cast(id % 300 + 1 as int) reviewer_index", "cast(id div 300 + 1 as int) asin_index",
+                                           "cast(id % 5 + 1 as int) rating")
+    blocks = ratings.matrix_blocks(pairs, block_rows=256, block_cols=1024)
+    sizes = {(b.row_block, b.col_block): (len(b.indptr), b.indptr[-1], len(b["values"])) for b in blocks.collect()}
+    assert sizes == {(0, 0): (257, 51_200, 51_200), (1, 0): (257, 8_800, 8_800)}
+    assert ratings.matrix_cells(blocks).exceptAll(pairs).count() == 0 and ratings.matrix_cells(blocks).count() == 60_000
