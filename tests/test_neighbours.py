@@ -203,3 +203,28 @@ def test_pieces_of_the_dense_vectors(spark):
     for r in similarity.similarity_pieces(cos, n, width=32).collect():
         part = whole[r.reviewer_index][r.piece * 32:(r.piece + 1) * 32]
         assert r.Similarity == part and any(part)
+
+
+def test_vectors_from_lists_without_a_pair_table(spark):
+    pairs = table(spark, structured(6))
+    cos = similarity.user_cosine(pairs)
+    want = {(r.u, r.v): r.cos for r in similarity.symmetric(cos).collect()}
+    n = max(u for u, _ in want)
+    vectors = {r.reviewer_index: r.Similarity for r in similarity.similarity_vectors(cos, n).collect()}
+    for sizes in ({}, {"max_products": 500, "max_group_rows": 50}):
+        lists = similarity.user_cosine(pairs, by_user=True, **sizes)
+        got = [(r.reviewer_index, e.pos, e.val) for r in lists.collect() for e in r.entries]
+        assert len(got) == len(want) and {(u, v): c for u, v, c in got} == want
+        assert {r.reviewer_index: r.Similarity for r in similarity.similarity_vectors(lists, n).collect()} == vectors
+    assert similarity.user_cosine(pairs.where("reviewer_index < 0"), by_user=True).count() == 0
+
+
+def test_similarity_vector_stages_no_cosines(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    labels, kept = [], entry.staged
+    monkeypatch.setattr(entry, "staged", lambda df, label: labels.append(label) or kept(df, label))
+    monkeypatch.setattr(entry, "_MEMO", {})
+    rows = entry.queries()["similarity_vector"](spark, "/root/testdata/sf0.001")
+    users = entry.queries()["user_index"](spark, "/root/testdata/sf0.001").count()
+    assert rows.count() == users * users and "cos" not in labels
