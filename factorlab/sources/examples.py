@@ -24,6 +24,11 @@ def write_examples_text(examples: DataFrame, path: str, user_vec="user_vec", ite
     examples.select(example_line(user_vec, item_vec, label).alias("value")).write.mode(mode).text(path)
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Lines as gzip text at zlib's level 4: a few hundredths larger than at its default level, in less than half the time."""
+    lines.write.option("zlib.compress.level", "FOUR").text(path, compression="gzip")
+
+
 def read_examples_text(spark: SparkSession, path: str, width: int | None = None, encoding: str = "UTF-8") -> DataFrame:
     """Parsed training lines; files in another ``encoding`` (ISO-8859-1, for instance) go through the CSV reader, which
     decodes it, with a separator and quotes that no line holds."""

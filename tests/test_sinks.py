@@ -40,3 +40,27 @@ def test_staged_table_and_release(spark):
     assert table.count() == 5
     release(spark, path)
     assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_quarantine_write_is_not_sorted_and_keeps_the_setting(spark):
+    from factorlab.sources.quarantine import split_rejects
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    rows = spark.range(1000).selectExpr("id", "if(id % 7 = 0, 'seven', null) reason").repartition(3)
+    checked = split_rejects(rows)
+    assert (checked.n_accepted, checked.n_rejected) == (857, 143)
+    assert checked.accepted.count() == 857 and {r.reason for r in checked.rejected.collect()} == {"seven"}
+    assert spark.conf.get(key, None) == before
+
+
+def test_lines_written_fast_read_back(spark, tmp_path):
+    from factorlab.sources.examples import write_lines
+
+    lines = spark.range(20_000).selectExpr("concat('([', cast(rand(3) as string), '], [', cast(rand(4) as string), '], 1.0)') value")
+    fast, slow = str(tmp_path / "fast"), str(tmp_path / "slow")
+    write_lines(lines, fast)
+    lines.write.text(slow, compression="gzip")
+    assert sorted(r[0] for r in spark.read.text(fast).collect()) == sorted(r[0] for r in spark.read.text(slow).collect())
+    size = lambda p: sum(f.stat().st_size for f in (tmp_path / p).glob("*.gz"))
+    assert size("slow") != size("fast") < 1.1 * size("slow")
