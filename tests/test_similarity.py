@@ -93,3 +93,40 @@ def test_cosine_joins_no_table_of_pairs(spark):
     plan = similarity.user_cosine(pairs)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("FlatMapGroupsInArrow")]
     assert "Join" not in above
+
+
+def test_packed_table_pieces_and_best_equal_the_block_products(spark):
+    rng = np.random.default_rng(11)
+    rows = {(int(u), int(i)): int(r) for u, i, r in zip(rng.integers(1, 90, 900), rng.integers(1, 60, 900), rng.integers(0, 6, 900))}
+    rows |= {(7, i): 5 for i in range(1, 60)} | {(90 + k, 61 + k): 2 for k in range(3)}
+    pairs = spark.createDataFrame([(*k, r) for k, r in rows.items()], "reviewer_index int, asin_index int, rating int")
+    blocks = similarity.user_cosine(pairs, block_users=16).collect()
+    want = {(r.u, r.v): r.cos for r in blocks}
+    some = dict(max_group_rows=200, max_products=700)
+    packed = similarity.user_cosine(pairs, **some)
+    got = [tuple(r) for r in packed.collect()]
+    assert len(got) == len(want) and {(u, v): c for u, v, c in got} == want
+    table = spark.createDataFrame([(*k, c) for k, c in want.items()], "u int, v int, cos double")
+    both = sorted(map(tuple, similarity.symmetric(table).collect()))
+    assert both == sorted([(u, v, c) for (u, v), c in want.items()] + [(v, u, c) for (u, v), c in want.items() if u != v])
+    for n in (1, 4):
+        assert sorted(map(tuple, similarity.similar_users_all(None, n, pairs, **some).collect())) == sorted(
+            map(tuple, similarity.similar_users_all(table, n).collect()))
+    for length, width in ((92, 8), (95, 64), (200, 7)):
+        direct = similarity.similarity_pieces(None, length, width, pairs, **some).collect()
+        assert sorted(map(tuple, direct)) == sorted(map(tuple, similarity.similarity_pieces(table, length, width).collect()))
+
+
+def test_cosines_read_once_are_not_staged(spark, monkeypatch):
+    """A user with far more products than a group should hold takes the blocks that also split items; no other pair is shuffled."""
+    pairs = spark.createDataFrame([(u, i, (u + i) % 5 + 1) for u in range(1, 30) for i in range(1, 9)],
+                                  "reviewer_index int, asin_index int, rating int")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    plain = similarity.user_cosine(pairs)
+    assert "ga#" in plan(plain) and "gb#" not in plan(plain)
+    assert plan(similarity.similarity_mass(plain)).count("FlatMapGroupsInArrow") == plan(plain).count("FlatMapGroupsInArrow")
+    want = sorted(map(tuple, plain.collect()))
+    empty = spark.createDataFrame([(1, 1, 2), (2, 1, None)], pairs.schema)
+    assert "gb#" in plan(similarity.user_cosine(empty))
+    monkeypatch.setattr(similarity, "_HOT_PRODUCTS", 100)
+    assert "gb#" in plan(similarity.user_cosine(pairs)) and sorted(map(tuple, similarity.user_cosine(pairs).collect())) == want
