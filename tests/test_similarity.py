@@ -130,3 +130,30 @@ def test_cosines_read_once_are_not_staged(spark, monkeypatch):
     assert "gb#" in plan(similarity.user_cosine(empty))
     monkeypatch.setattr(similarity, "_HOT_PRODUCTS", 100)
     assert "gb#" in plan(similarity.user_cosine(pairs)) and sorted(map(tuple, similarity.user_cosine(pairs).collect())) == want
+
+
+def test_score_product_in_parts_of_the_left_side(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = {(int(u), int(i)): int(r) for u, i, r in zip(rng.integers(1, 60, 500), rng.integers(1, 50, 500), rng.integers(1, 6, 500))}
+    pairs = spark.createDataFrame([(*k, r) for k, r in rows.items()], "reviewer_index int, asin_index int, rating int")
+    cos = similarity.user_cosine(pairs, block_users=16)
+    want = {(r[0], r[1]): r[2] for r in similarity.neighbour_scores(pairs, cos).collect()}
+    seen, real = [], similarity._product_sums
+    monkeypatch.setattr(similarity, "_product_sums", lambda parts: seen.append(parts) or real(parts))
+    monkeypatch.setattr(similarity, "_PART_ROWS", 150)
+    got = similarity.neighbour_scores(pairs, cos, block_users=16, block_items=20)
+    rows = got.collect()
+    assert seen[0] > 2 and len(rows) == len(want)
+    assert all(abs(s - want[(u, i)]) < 1e-12 for u, i, s in rows)
+
+
+def test_score_vectors_from_dense_pieces(spark):
+    rows = [(u, i, u + i / 64) for u in (1, 2, 9) for i in range(1, 41) if (u + i // 6) % 3] + [(4, 40, 0.5), (5, 1, 0.25)]
+    scores = spark.createDataFrame(rows, "reviewer_index int, asin_index int, score double")
+    for n, width in ((40, 7), (41, 8), (100, 4096), (64, 8)):
+        vec = similarity.score_vectors(scores, n, width)
+        assert vec._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        want = {u: [0.0] * n for u, _, _ in rows}
+        for u, i, s in rows:
+            want[u][i - 1] = s
+        assert {r[0]: list(r[1]) for r in vec.collect()} == want
