@@ -45,3 +45,24 @@ def test_the_width_is_that_of_most_numeric_lines(spark):
                         (["a, b"], 0), (["", "7"], 1), ([two] * 3 + ["a, b, c, d"] * 2, 3)):
         df = spark.createDataFrame([(x,) for x in lines], "value string")
         assert parse_examples(df).where("accepted").count() == good
+
+
+def test_gradients_are_single_and_weights_double(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    X, real, kinds = rng.random((900, 3)), mlp._grad, set()
+    y = X @ rng.random(3)
+    batches = [pa.RecordBatch.from_arrays([pa.array(X[s:s + 400].tolist()), pa.array(y[s:s + 400])], names=["features", "label"])
+               for s in (0, 400, 800)]
+    model = mlp.init_mlp(3, (8, 4), 1)
+
+    def weights(grad):
+        monkeypatch.setattr(mlp, "_grad", grad)
+        row = next(mlp._train_fn(model, 100, 1e-2, 0.9, 0.999, 1e-7, "features", "label")(iter(batches)))
+        return row.column("total")[0].values.to_numpy() / row.column("n")[0].as_py()
+
+    single = weights(lambda *a: kinds.add((a[1].dtype, a[2].dtype, a[3].dtype, (g := real(*a)).dtype)) or g)
+    double = weights(lambda m, w, a, b: real(m, w.astype(float), a.astype(float), b.astype(float)))
+    assert kinds == {(np.dtype("float32"),) * 4} and single.dtype == np.float64
+    assert 0 < np.abs(single - double).max() < 1e-3
